@@ -1,0 +1 @@
+"""Correctness checks: DuckDB oracle SQL and a Spark-vs-oracle comparer."""
