@@ -21,7 +21,8 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, app: str = "tallyforge",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
     """Return a session with the library defaults.
 
     On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
@@ -32,6 +33,8 @@ def build_session(master: str | None = None, app: str = "tallyforge",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:   # only effective when this call starts the JVM (local runs)
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
