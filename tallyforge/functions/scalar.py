@@ -57,3 +57,23 @@ def recent(col, as_of: str | _dt.datetime, days: int) -> Column:
     """
     bound = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS")
     return _c(col).cast("timestamp_ntz") > bound
+
+
+EXACT = "decimal(38,10)"
+
+
+def round_exact(col, scale: int = 2) -> Column:
+    """``ROUND(x, scale)`` of a T-SQL NUMERIC expression.
+
+    The text's ``x * 1.0 / y * 0.4 + ...`` is exact decimal arithmetic, so
+    a value like 2.155 rounds half up to 2.16; the same sum in doubles is
+    2.15499... and would round down.  Rounding the decimal form keeps the
+    text's result; the value is returned as double.
+    """
+    return F.round(_c(col).cast(EXACT), scale).cast("double")
+
+
+def dec(value: str) -> Column:
+    """An exact decimal literal (``F.lit(0.2)`` would be a double)."""
+    from decimal import Decimal
+    return F.lit(Decimal(value))

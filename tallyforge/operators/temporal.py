@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 def extremes_around(values: DataFrame, probes: DataFrame, key: str, value_date: str, value: str,
                     start: str, end: str, before: str = "before", after: str = "after") -> DataFrame:
-    """For each distinct probe row (key, start, end): ``before`` = MIN(value)
-    over value rows with date <= start, ``after`` = MAX(value) over rows with
-    date >= end (NULL when none).  ``probes`` rows whose key has no value
-    rows get NULLs.  Returns ``key, start, end, before, after``.
+    """Append to every ``probes`` row ``before`` = MIN(value) over the value
+    rows of its key dated <= its ``start``, and ``after`` = MAX(value) over
+    those dated >= its ``end`` (NULL when none, or when the probe date is
+    NULL).  Probe rows and their other columns are returned unchanged.
     """
     per_day = (values.select(F.col(key), F.col(value_date).alias("_d"), F.col(value).alias("_v"))
                .groupBy(key, "_d").agg(F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax")))
-    p = probes.select(key, start, end).distinct()
+    p = probes
     # kind 0 = value day, 1 = probe; on the same day values come first in
     # both directions, so "<=" and ">=" include that day's values.
     vals = per_day.select(key, "_d", F.lit(0).alias("_k"), "_vmin", "_vmax")
@@ -51,5 +51,4 @@ def extremes_around(values: DataFrame, probes: DataFrame, key: str, value_date:
          .where(F.col("_k") == 1).select(key, F.col("_d").alias(start), F.col("_run").alias(before)))
     a = (vals.unionByName(ends).withColumn("_run", F.max("_vmax").over(down))
          .where(F.col("_k") == 1).select(key, F.col("_d").alias(end), F.col("_run").alias(after)))
-    return (p.join(b, [key, start], "left").join(a, [key, end], "left")
-            .select(key, start, end, before, after))
+    return p.join(b, [key, start], "left").join(a, [key, end], "left")

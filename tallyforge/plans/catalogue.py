@@ -9,7 +9,7 @@ where only row counts can be compared.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,10 @@ from ..sources.tables import load
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Builder, str | None]] = {}
+# oracle SQL text -> the body written against the report tables (without
+# the driver re-aiming prefix), so the same naive SQL runs on fixtures
+BODIES: dict[str, str] = {}
+SCHEMA_OF: dict[str, str] = {}   # oracle SQL text -> "v1" / "v2"
 
 
 def register(key: str, sql: str | None):
@@ -30,24 +34,40 @@ def register(key: str, sql: str | None):
     return deco
 
 
-def driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return load(spark, sf_dir)
+# ``source`` is a directory of driver parquet tables, or -- for tests -- a
+# mapping of already built tables in the report schema.
 
+def driver(spark: SparkSession, source) -> dict[str, DataFrame]:
+    if isinstance(source, Mapping):
+        return dict(source)
+    return load(spark, source)
 
-def v1(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_views(driver(spark, sf_dir), V1)
 
+def v1(spark: SparkSession, source) -> dict[str, DataFrame]:
+    if isinstance(source, Mapping):
+        return dict(source)
+    return build_views(driver(spark, source), V1)
 
-def v2(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
-    return build_views(driver(spark, sf_dir), V2, names)
+
+def v2(spark: SparkSession, source, names) -> dict[str, DataFrame]:
+    if isinstance(source, Mapping):
+        return {n: source[n] for n in names}
+    return build_views(driver(spark, source), V2, names)
+
+
+def _with(specs, names: str, body: str) -> str:
+    sql = views_sql(specs, names.split()) + "\n" + body
+    BODIES[sql] = "WITH " + body.lstrip()[1:] if body.lstrip().startswith(",") else body
+    SCHEMA_OF[sql] = "v1" if specs is V1 else "v2"
+    return sql
 
 
 def with_v1(names: str, body: str) -> str:
-    return views_sql(V1, names.split()) + "\n" + body
+    return _with(V1, names, body)
 
 
 def with_v2(names: str, body: str) -> str:
-    return views_sql(V2, names.split()) + "\n" + body
+    return _with(V2, names, body)
 
 
 # importing the sections registers their keys

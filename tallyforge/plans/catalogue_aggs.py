@@ -10,7 +10,7 @@ from ..functions import (
     avg_ratio_skip_zero, count_where, guarded_corr, id_list, id_text, max_where,
     min_where, pct, ratio, signed_sum, sum_where, weighted_sum,
 )
-from ..functions.scalar import days_between
+from ..functions.scalar import EXACT, dec, days_between, round_exact
 from ..operators import joins, nested
 from ..operators.factor import cross_moments, repeat_factor, within_key_zero_corr
 from ..operators.scoring import weighted_score, with_global_max
@@ -248,12 +248,14 @@ def distinct_ratio(spark, d):
 
 
 @register("sum_ratio", """SELECT l_linestatus,
-    round(SUM(l_discount) * 1.0 / NULLIF(SUM(l_tax), 0) * 100, 2) AS discount_tax_pct
+    CAST(round(CAST(SUM(l_discount) * 1.0 / NULLIF(SUM(l_tax), 0) AS DECIMAL(38,10)) * 100, 2) AS DOUBLE)
+      AS discount_tax_pct
     FROM lineitem GROUP BY l_linestatus""")
 def sum_ratio(spark, d):
     li = driver(spark, d)["lineitem"]
     return li.groupBy("l_linestatus").agg(
-        F.round(ratio(F.sum("l_discount"), F.sum("l_tax"), guard=0, scale=100.0), 2).alias("discount_tax_pct"))
+        round_exact(ratio(F.sum("l_discount"), F.sum("l_tax"), guard=0).cast(EXACT) * dec("100"))
+        .alias("discount_tax_pct"))
 
 
 @register("global_aggregate", """SELECT COUNT(*) AS total_orders, COUNT(DISTINCT o_custkey) AS customers,
@@ -403,13 +405,13 @@ def derived_table(spark, d):
     return x.join(t["orders"], F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_custkey", "n_lines")
 
 
-@register("id_list", """SELECT o_custkey, list_sort(list(o_orderkey)) AS order_ids FROM orders GROUP BY o_custkey""")
+@register("id_list", """SELECT o_custkey, list_sort(list(o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)) AS order_ids FROM orders GROUP BY o_custkey""")
 def id_list_q(spark, d):
     o = driver(spark, d)["orders"]
     return o.groupBy("o_custkey").agg(id_list("o_orderkey").alias("order_ids"))
 
 
-@register("id_text", """SELECT o_custkey, array_to_string(list_sort(list(o_orderkey)), ',') AS order_ids_csv
+@register("id_text", """SELECT o_custkey, array_to_string(list_sort(list(o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)), ',') AS order_ids_csv
     FROM orders GROUP BY o_custkey""")
 def id_text_q(spark, d):
     o = driver(spark, d)["orders"]
@@ -417,7 +419,7 @@ def id_text_q(spark, d):
 
 
 @register("group_then_correlated", """SELECT c.c_mktsegment, COUNT(*) AS customers, round(AVG(c.c_acctbal), 6) AS avg_balance,
-    (SELECT array_to_string(list_sort(list(c2.c_custkey)), ',') FROM customer c2
+    (SELECT array_to_string(list_sort(list(c2.c_custkey) FILTER (WHERE c2.c_custkey IS NOT NULL)), ',') FROM customer c2
       WHERE c2.c_mktsegment = c.c_mktsegment AND c2.c_acctbal > 9900) AS rich_ids
     FROM customer c WHERE c.c_nationkey < 10 GROUP BY c.c_mktsegment""")
 def group_then_correlated(spark, d):
@@ -444,8 +446,8 @@ def round_cast(spark, d):
 
 
 @register("related_ids", """SELECT c_custkey, c_name, CAST(to_json(struct_pack(
-      order_ids := COALESCE((SELECT list_sort(list(o_orderkey)) FROM orders WHERE o_custkey = c_custkey), []::BIGINT[]),
-      event_ids := COALESCE((SELECT list_sort(list(event_id)) FROM events WHERE user_id = c_custkey), []::BIGINT[])
+      order_ids := COALESCE((SELECT list_sort(list(o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)) FROM orders WHERE o_custkey = c_custkey), []::BIGINT[]),
+      event_ids := COALESCE((SELECT list_sort(list(event_id) FILTER (WHERE event_id IS NOT NULL)) FROM events WHERE user_id = c_custkey), []::BIGINT[])
     )) AS VARCHAR) AS related_entities FROM customer""")
 def related_ids_q(spark, d):
     t = driver(spark, d)

@@ -31,10 +31,9 @@ def _skill_by_expedition(t: Tables, base: DataFrame, per_expedition: bool) -> Da
     ds = t["DWARF_SKILLS"].select("dwarf_id", "date", "experience")
     trips = (em.join(base.select("expedition_id", "departure_date", "return_date"), "expedition_id")
              .join(ds.select("dwarf_id").distinct(), "dwarf_id", "left_semi"))
-    ext = extremes_around(ds, trips, "dwarf_id", "date", "experience",
-                          "departure_date", "return_date", "exp_before", "exp_after")
-    gain = (trips.select("dwarf_id", "expedition_id", "departure_date", "return_date").distinct()
-            .join(ext, ["dwarf_id", "departure_date", "return_date"], "left")
+    pairs = trips.select("dwarf_id", "expedition_id", "departure_date", "return_date").distinct()
+    gain = (extremes_around(ds, pairs, "dwarf_id", "date", "experience",
+                            "departure_date", "return_date", "exp_before", "exp_after")
             .select("dwarf_id", "expedition_id",
                     (F.coalesce("exp_after", F.lit(0)) - F.coalesce("exp_before", F.lit(0))).alias("gain")))
     if per_expedition:

@@ -11,7 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import count_where, id_text, pct, ratio
+from ..functions import count_where, dec, id_text, pct, ratio, round_exact
+from ..functions.scalar import EXACT
 from ..functions.scalar import recent
 from ..operators.factor import repeat_factor
 from ..operators.joins import substring_join
@@ -51,9 +52,9 @@ def defense_effectiveness(t: Tables) -> DataFrame:
     of the type as objects."""
     dse = structure_effectiveness(t)
     g = dse.groupBy("defense_type").agg(
-        F.round(ratio(F.sum("successful_defenses"), F.sum("attacks_defended"), guard=0, scale=100.0), 2)
-        .alias("effectiveness_rate"),
-        F.round(F.avg("avg_enemy_casualties"), 2).alias("avg_enemy_casualties"))
+        round_exact(ratio(F.sum("successful_defenses"), F.sum("attacks_defended"), guard=0).cast(EXACT)
+                    * dec("100")).alias("effectiveness_rate"),
+        round_exact(F.avg("avg_enemy_casualties")).alias("avg_enemy_casualties"))
     ids = t["defense_structures"].select(F.col("type").alias("defense_type"), "structure_id")
     return nested_objects(g, "defense_type", ids, "defense_type", ["structure_id"], "structure_ids",
                           order=["structure_id"])
@@ -85,12 +86,14 @@ def zone_vulnerability(t: Tables) -> DataFrame:
 
 def vulnerability_analysis(t: Tables) -> DataFrame:
     zv = zone_vulnerability(t)
-    score = F.round(
-        ratio("breaches", "total_attacks", guard=0) * 0.4
-        + (F.lit(5) - F.col("fortification_level")) * 0.2
-        + F.col("access_points") * 0.1
-        + (F.lit(120) - F.coalesce("min_response_time", F.lit(120))) / F.lit(120.0) * 0.1
-        + (F.lit(3) - F.col("defense_structures")) * 0.2, 2)
+    # NUMERIC arithmetic as in the text; the two divisions are taken to
+    # 10 decimals, the integer terms stay exact.
+    score = round_exact(
+        ratio("breaches", "total_attacks", guard=0).cast(EXACT) * dec("0.4")
+        + (F.lit(5) - F.col("fortification_level")) * dec("0.2")
+        + F.col("access_points") * dec("0.1")
+        + ((F.lit(120) - F.coalesce("min_response_time", F.lit(120))) / F.lit(120.0)).cast(EXACT) * dec("0.1")
+        + (F.lit(3) - F.col("defense_structures")) * dec("0.2"))
     out = zv.select(F.col("location_id").alias("zone_id"), "zone_name", score.alias("vulnerability_score"),
                     F.col("breaches").alias("historical_breaches"), "fortification_level", "access_points")
     structs = t["defense_structures"].select(F.col("location_id").alias("zone_id"), "structure_id")

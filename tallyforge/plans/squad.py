@@ -52,9 +52,8 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
     spans = (sm.select("squad_id", "dwarf_id").distinct()
              .join(battles.select("squad_id", "first_battle", "last_battle"), "squad_id")
              .join(ds.select("dwarf_id").distinct(), "dwarf_id", "left_semi"))
-    ext = extremes_around(ds, spans, "dwarf_id", "date", "experience",
-                          "first_battle", "last_battle", "exp_before", "exp_after")
-    gains = spans.join(ext, ["dwarf_id", "first_battle", "last_battle"], "left")
+    gains = extremes_around(ds, spans, "dwarf_id", "date", "experience",
+                            "first_battle", "last_battle", "exp_before", "exp_after")
     skill_summary = gains.groupBy("squad_id").agg(F.avg(
         F.coalesce("exp_after", F.lit(0)) - F.coalesce("exp_before", F.lit(0))).alias("avg_combat_skill_improvement"))
 
