@@ -67,44 +67,57 @@ def edge_both_ways(nodes: DataFrame, edges: DataFrame, node_key: str,
     return fwd.unionByName(rev)
 
 
-def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None) -> Column:
+def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
+                   key_chars: str | None = None) -> Column:
     """All distinct substrings of ``text`` with length 1..``max_len``.
 
-    ``pattern`` (a regex) keeps only substrings that could equal a key,
-    e.g. ``'^[0-9]+$'`` for integer ids, which shrinks the exploded side.
-    Empty or NULL text yields an empty array.
+    ``key_chars`` (a regex character class such as ``'[-0-9]'``) says which
+    characters a key's text can contain: substrings are then enumerated
+    only inside the maximal runs of those characters -- a substring that
+    crosses any other character cannot equal a key -- which cuts the
+    candidates from ~``max_len * len(text)`` to ~``max_len * digits``.
+    ``pattern`` (a regex) then keeps only substrings shaped like a key,
+    e.g. ``'^-?[0-9]+$'``.  Empty or NULL text yields an empty array.
     """
-    s = text
-    n = F.length(s)
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.least(F.lit(max_len), n - i + 1), F.lit(1))),
-            lambda k: F.substring(s, i, k))))
-    subs = F.array_distinct(subs)
+    def all_subs(s: Column) -> Column:
+        n = F.length(s)
+        subs = F.flatten(F.transform(
+            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+            lambda i: F.transform(
+                F.sequence(F.lit(1), F.greatest(F.least(F.lit(max_len), n - i + 1), F.lit(1))),
+                lambda k: F.substring(s, i, k))))
+        return F.when(n > 0, subs).otherwise(F.array().cast("array<string>"))
+
+    if key_chars is not None:
+        runs = F.regexp_extract_all(text, F.lit(f"{key_chars}+"), 0)
+        subs = F.flatten(F.transform(runs, all_subs))
+    else:
+        subs = all_subs(text)
     if pattern is not None:
         subs = F.filter(subs, lambda x: x.rlike(pattern))
-    return F.when(n > 0, subs).otherwise(F.array().cast("array<string>"))
+    return F.coalesce(F.array_distinct(subs), F.array().cast("array<string>"))
 
 
 def substring_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: str,
                    how: str = "left", max_len: int = 10,
-                   pattern: str | None = None) -> DataFrame:
+                   pattern: str | None = None, key_chars: str | None = None) -> DataFrame:
     """``keys JOIN lists ON CHARINDEX(CAST(key AS VARCHAR(max_len)), list) > 0``.
 
     The naive plan is a nested-loop join (every key against every list).
-    Here each list row is exploded into its distinct substrings of length
-    <= ``max_len`` (at most ``max_len * len(list)`` per row, computed
-    map-side), and the substring is equi-joined to the key's text, so the
-    join is an ordinary hash join that shuffles or broadcasts like any
-    other.  Pairs are the same as the CHARINDEX form: '1' matches inside
-    '12' (use ``token_join`` for exact list members).
+    Here each list row is exploded into its distinct candidate substrings
+    (``substring_keys``, computed map-side), and the candidate is
+    equi-joined to the key's text, so the join is an ordinary hash join
+    that shuffles or broadcasts like any other; a frequent substring is a
+    hot join key that AQE's skew handling splits.  Pairs are the same as
+    the CHARINDEX form: '1' matches inside '12' (use ``token_join`` for
+    exact list members).  For integer keys pass ``key_chars='[-0-9]'`` and
+    ``pattern='^-?[0-9]+$'``.
 
     Result: all columns of ``keys`` and of ``lists`` (``how`` is ``inner``
     or ``left`` from the ``keys`` side).
     """
     exploded = lists.withColumn(
-        "_sub", F.explode(substring_keys(F.col(list_col), max_len, pattern)))
+        "_sub", F.explode(substring_keys(F.col(list_col), max_len, pattern, key_chars)))
     k = keys.withColumn("_key_text", F.col(key_col).cast("string"))
     out = k.join(exploded, F.col("_key_text") == F.col("_sub"), how)
     return out.drop("_key_text", "_sub")

@@ -361,7 +361,7 @@ def substring_join(spark, d):
     t = driver(spark, d)
     j = joins.substring_join(t["nation"].select("n_nationkey"), "n_nationkey",
                              t["events"].select("event_id", "props"), "props",
-                             how="left", max_len=10, pattern="^-?[0-9]+$")
+                             how="left", max_len=10, pattern="^-?[0-9]+$", key_chars="[-0-9]")
     return j.select("n_nationkey", "event_id")
 
 

@@ -40,7 +40,8 @@ def structure_effectiveness(t: Tables, max_len: int = 10) -> DataFrame:
     exploded substrings (``operators.joins.substring_join``)."""
     ds = t["defense_structures"].select("structure_id", F.col("type").alias("defense_type"), "quality")
     ca = t["creature_attacks"].select("attack_id", "outcome", "enemy_casualties", "defense_structures_used")
-    j = substring_join(ds, "structure_id", ca, "defense_structures_used", how="left", max_len=max_len)
+    j = substring_join(ds, "structure_id", ca, "defense_structures_used", how="left", max_len=max_len,
+                       pattern="^-?[0-9]+$", key_chars="[-0-9]")
     return j.groupBy("structure_id", "defense_type", "quality").agg(
         F.count_distinct("attack_id").alias("attacks_defended"),
         count_where(F.col("outcome") == REPELLED).alias("successful_defenses"),
