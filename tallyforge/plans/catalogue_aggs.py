@@ -227,7 +227,7 @@ def fanout_factor(spark, d):
 @register("global_ratio", """SELECT
     CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) * 100.0 / NULLIF(COUNT(*), 0) AS DECIMAL(5,2)) AS finished_pct,
     CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) * 1.0 /
-         NULLIF(SUM(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END), 1) AS DECIMAL(10,2)) AS finished_per_open
+         NULLIF(NULLIF(SUM(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END), 1), 0) AS DECIMAL(10,2)) AS finished_per_open
     FROM orders""")
 def global_ratio(spark, d):
     o = driver(spark, d)["orders"]
@@ -238,7 +238,7 @@ def global_ratio(spark, d):
 
 
 @register("distinct_ratio", """SELECT l_returnflag,
-    round(COUNT(DISTINCT l_orderkey) * 1.0 / NULLIF(COUNT(DISTINCT l_partkey), 1) * 100, 6) AS order_part_ratio
+    round(COUNT(DISTINCT l_orderkey) * 1.0 / NULLIF(NULLIF(COUNT(DISTINCT l_partkey), 1), 0) * 100, 6) AS order_part_ratio
     FROM lineitem GROUP BY l_returnflag""")
 def distinct_ratio(spark, d):
     li = driver(spark, d)["lineitem"]
@@ -295,7 +295,7 @@ def lag_over_group(spark, d):
 
 
 @register("global_max_share", """WITH t AS (SELECT l_suppkey, SUM(l_extendedprice) AS total FROM lineitem GROUP BY l_suppkey)
-    SELECT l_suppkey, round(total / NULLIF(MAX(total) OVER (), 1), 6) AS share_of_max FROM t""")
+    SELECT l_suppkey, round(total / NULLIF(NULLIF(MAX(total) OVER (), 1), 0), 6) AS share_of_max FROM t""")
 def global_max_share(spark, d):
     li = driver(spark, d)["lineitem"]
     t = li.groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("total"))
@@ -314,8 +314,8 @@ def days_between_q(spark, d):
 
 @register("scalar_max_score", """WITH s AS (SELECT l_suppkey, SUM(l_quantity) AS qty,
         COUNT(DISTINCT l_orderkey) AS orders_n FROM lineitem GROUP BY l_suppkey)
-    SELECT l_suppkey, CAST(0.6 * (qty * 1.0 / NULLIF((SELECT MAX(qty) FROM s), 1)) +
-        0.4 * (orders_n * 1.0 / NULLIF((SELECT MAX(orders_n) FROM s), 1)) AS DECIMAL(5,2)) AS score FROM s""")
+    SELECT l_suppkey, CAST(0.6 * (qty * 1.0 / NULLIF(NULLIF((SELECT MAX(qty) FROM s), 1), 0)) +
+        0.4 * (orders_n * 1.0 / NULLIF(NULLIF((SELECT MAX(orders_n) FROM s), 1), 0)) AS DECIMAL(5,2)) AS score FROM s""")
 def scalar_max_score(spark, d):
     li = driver(spark, d)["lineitem"]
     s = li.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("qty"),

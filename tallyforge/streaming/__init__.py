@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference consists of single read-only SELECT scripts; it has no
+watermark, window, stateful or late-data operator, so nothing is built
+here.  Every report in ``tallyforge.plans`` is a plain DataFrame function
+and can be applied per micro-batch (``foreachBatch``) by a caller that
+needs it.
+"""

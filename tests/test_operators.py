@@ -21,12 +21,17 @@ def test_substring_vs_token_pairs(spark):
     assert sorted((r.sid, r.aid) for r in tok.collect()) == [(2, 3), (12, 1), (12, 3), (21, 2)]
 
 
-def test_substring_join_matches_instr(spark):
+import pytest
+
+
+@pytest.mark.parametrize("key_chars,pattern", [(None, None), ("[-0-9]", "^-?[0-9]+$")])
+def test_substring_join_matches_instr(spark, key_chars, pattern):
     r = random.Random(5)
     keys = spark.createDataFrame([(i,) for i in range(0, 130, 7)], "k bigint")
-    lists = spark.createDataFrame([(i, ",".join(str(r.randint(0, 150)) for _ in range(r.randint(0, 4))) or None)
+    lists = spark.createDataFrame([(i, "x;".join(str(r.randint(0, 150)) for _ in range(r.randint(0, 4))) or None)
                                    for i in range(40)], "id bigint, txt string")
-    fast = joins.substring_join(keys, "k", lists, "txt", how="left").select("k", "id")
+    fast = joins.substring_join(keys, "k", lists, "txt", how="left", key_chars=key_chars,
+                                pattern=pattern).select("k", "id")
     naive = keys.join(lists, F.expr("instr(txt, cast(k as string)) > 0"), "left").select("k", "id")
     assert sorted(map(tuple, fast.collect()), key=repr) == sorted(map(tuple, naive.collect()), key=repr)
 
