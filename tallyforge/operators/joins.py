@@ -118,19 +118,39 @@ def substring_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: st
     """
     exploded = lists.withColumn(
         "_sub", F.explode(substring_keys(F.col(list_col), max_len, pattern, key_chars)))
-    k = keys.withColumn("_key_text", F.col(key_col).cast("string"))
-    out = k.join(exploded, F.col("_key_text") == F.col("_sub"), how)
-    return out.drop("_key_text", "_sub")
+    return _left_via_inner(keys, key_col, exploded, "_sub", how)
 
 
 def token_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: str,
                how: str = "left", sep: str = ",") -> DataFrame:
     """Exact-member variant: split the list on ``sep``, trim, equi-join."""
     toks = F.array_distinct(F.transform(F.split(F.col(list_col), sep), lambda t: F.trim(t)))
-    exploded = lists.withColumn("_tok", F.explode(toks))
+    exploded = lists.withColumn("_sub", F.explode(toks))
+    return _left_via_inner(keys, key_col, exploded, "_sub", how)
+
+
+def _left_via_inner(keys: DataFrame, key_col: str, exploded: DataFrame, cand: str, how: str) -> DataFrame:
+    """``keys LEFT JOIN exploded ON text(key) = cand`` built as an inner join
+    plus the unmatched keys.
+
+    The exploded side is the big one and its candidates are skewed (a short
+    id occurs in many lists).  AQE splits skewed partitions of either side
+    of an *inner* join, but not of the non-preserved side of an outer join;
+    so the pairs come from an inner join and keys without any match are
+    added back by a left-anti join with NULL list columns.
+    """
     k = keys.withColumn("_key_text", F.col(key_col).cast("string"))
-    out = k.join(exploded, F.col("_key_text") == F.col("_tok"), how)
-    return out.drop("_key_text", "_tok")
+    pairs = k.join(exploded, F.col("_key_text") == F.col(cand), "inner").drop(cand)
+    if how == "inner":
+        return pairs.drop("_key_text")
+    if how != "left":
+        raise ValueError("how must be 'inner' or 'left'")
+    hit = exploded.select(F.col(cand).alias("_key_text")).distinct()
+    missing = k.join(hit, "_key_text", "left_anti")
+    for f in exploded.schema.fields:
+        if f.name != cand:
+            missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return pairs.unionByName(missing).drop("_key_text")
 
 
 def lookup(df: DataFrame, table: DataFrame, mapping: Mapping[str, str], how: str = "left") -> DataFrame:
