@@ -37,19 +37,19 @@ def register(key: str, sql: str | None):
 # ``source`` is a directory of driver parquet tables, or -- for tests -- a
 # mapping of already built tables in the report schema.
 
-def driver(spark: SparkSession, source) -> dict[str, DataFrame]:
+def driver(spark: SparkSession, source) -> Mapping[str, DataFrame]:
     if isinstance(source, Mapping):
-        return dict(source)
+        return source
     return load(spark, source)
 
 
-def v1(spark: SparkSession, source) -> dict[str, DataFrame]:
+def v1(spark: SparkSession, source) -> Mapping[str, DataFrame]:
     if isinstance(source, Mapping):
-        return dict(source)
+        return source
     return build_views(driver(spark, source), V1)
 
 
-def v2(spark: SparkSession, source, names) -> dict[str, DataFrame]:
+def v2(spark: SparkSession, source, names) -> Mapping[str, DataFrame]:
     if isinstance(source, Mapping):
         return {n: source[n] for n in names}
     return build_views(driver(spark, source), V2, names)

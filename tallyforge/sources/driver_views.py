@@ -198,9 +198,11 @@ def build_view(tables: Mapping[str, DataFrame], spec: ViewSpec) -> DataFrame:
 
 
 def build_views(tables: Mapping[str, DataFrame], specs: Mapping[str, ViewSpec],
-                names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """Lazy DataFrames for the named views (all of ``specs`` by default)."""
-    return {n: build_view(tables, specs[n]) for n in (names or specs)}
+                names: Iterable[str] | None = None) -> Mapping[str, DataFrame]:
+    """The named views (all of ``specs`` by default), each built -- and its
+    driver tables opened -- only when a report asks for it."""
+    from .tables import LazyTables
+    return LazyTables(list(names or specs), lambda n: build_view(tables, specs[n]))
 
 
 def view_sql(spec: ViewSpec) -> str:

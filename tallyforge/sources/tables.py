@@ -7,7 +7,7 @@ later ``where`` is pushed into it (``PushedFilters``) by Catalyst.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +31,33 @@ def scan(spark: SparkSession, base_dir: str, name: str,
     return df
 
 
+class LazyTables(Mapping):
+    """Name -> DataFrame, each built on first access.
+
+    ``spark.read.parquet`` lists files and reads footers when it is called,
+    so a query should open only the tables it touches.
+    """
+
+    def __init__(self, names: Iterable[str], make: Callable[[str], DataFrame]):
+        self._names = list(names)
+        self._make = make
+        self._cache: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._cache:
+            self._cache[name] = self._make(name)
+        return self._cache[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def load(spark: SparkSession, base_dir: str,
-         names: Iterable[str] = DRIVER_TABLES[:8]) -> dict[str, DataFrame]:
-    """Lazily open several tables; nothing is read until an action runs."""
-    return {n: scan(spark, base_dir, n) for n in names}
+         names: Iterable[str] = DRIVER_TABLES[:8]) -> LazyTables:
+    """Open tables on demand; nothing is read until an action runs."""
+    return LazyTables(names, lambda n: scan(spark, base_dir, n))
