@@ -50,11 +50,12 @@ def edge_both_ways(nodes: DataFrame, edges: DataFrame, node_key: str,
                    node_name: str, src: str, dst: str, kind: str,
                    out_names: tuple[str, str, str] = ("name", "relationship", "related_name"),
                    ) -> DataFrame:
-    """Each edge ``src -> dst`` listed from both ends, UNION ALL.
+    """Each edge ``src -> dst`` listed from both ends (the text's UNION ALL
+    of two self-joins).
 
-    One pass joins the edge table to node names for both ends; the second
-    direction is the same joined rows with the ends swapped, so the edge
-    table is joined once instead of twice.
+    The edge table is joined to the node names once for both ends, and
+    every joined row emits its two directions through ``explode`` -- one
+    pass over the edges instead of two unioned join pipelines.
     """
     a = nodes.select(F.col(node_key).alias("_a_key"), F.col(node_name).alias("_a_name"))
     b = nodes.select(F.col(node_key).alias("_b_key"), F.col(node_name).alias("_b_name"))
@@ -62,9 +63,9 @@ def edge_both_ways(nodes: DataFrame, edges: DataFrame, node_key: str,
              .join(a, F.col("_src") == F.col("_a_key"))
              .join(b, F.col("_dst") == F.col("_b_key")))
     n, k, r = out_names
-    fwd = named.select(F.col("_a_name").alias(n), F.col("_kind").alias(k), F.col("_b_name").alias(r))
-    rev = named.select(F.col("_b_name").alias(n), F.col("_kind").alias(k), F.col("_a_name").alias(r))
-    return fwd.unionByName(rev)
+    both = F.array(F.struct(F.col("_a_name").alias(n), F.col("_kind").alias(k), F.col("_b_name").alias(r)),
+                   F.struct(F.col("_b_name").alias(n), F.col("_kind").alias(k), F.col("_a_name").alias(r)))
+    return named.select(F.explode(both).alias("_e")).select(f"_e.{n}", f"_e.{k}", f"_e.{r}")
 
 
 def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
