@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import (
-    avg_ratio_skip_zero, count_where, guarded_corr, id_list, id_text, max_where,
+    avg_ratio_skip_zero, count_where, guarded_corr, max_where,
     min_where, pct, ratio, signed_sum, sum_where, weighted_sum,
 )
 from ..functions.scalar import EXACT, dec, days_between, round_exact
@@ -408,14 +408,14 @@ def derived_table(spark, d):
 @register("id_list", """SELECT o_custkey, list_sort(list(o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)) AS order_ids FROM orders GROUP BY o_custkey""")
 def id_list_q(spark, d):
     o = driver(spark, d)["orders"]
-    return o.groupBy("o_custkey").agg(id_list("o_orderkey").alias("order_ids"))
+    return nested.id_list_parts(o, "o_custkey", "o_orderkey", "order_ids").drop(nested.PART)
 
 
 @register("id_text", """SELECT o_custkey, array_to_string(list_sort(list(o_orderkey) FILTER (WHERE o_orderkey IS NOT NULL)), ',') AS order_ids_csv
     FROM orders GROUP BY o_custkey""")
 def id_text_q(spark, d):
     o = driver(spark, d)["orders"]
-    return o.groupBy("o_custkey").agg(id_text("o_orderkey").alias("order_ids_csv"))
+    return nested.id_list_parts(o, "o_custkey", "o_orderkey", "order_ids_csv", text=True).drop(nested.PART)
 
 
 @register("group_then_correlated", """SELECT c.c_mktsegment, COUNT(*) AS customers, round(AVG(c.c_acctbal), 6) AS avg_balance,
@@ -429,7 +429,8 @@ def group_then_correlated(spark, d):
     c = driver(spark, d)["customer"]
     g = c.where(F.col("c_nationkey") < 10).groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("customers"), F.round(F.avg("c_acctbal"), 6).alias("avg_balance"))
-    ids = c.where(F.col("c_acctbal") > 9900).groupBy("c_mktsegment").agg(id_text("c_custkey").alias("rich_ids"))
+    ids = nested.id_list_parts(c.where(F.col("c_acctbal") > 9900), "c_mktsegment", "c_custkey", "rich_ids",
+                               text=True).drop(nested.PART)
     return g.join(ids, "c_mktsegment", "left")
 
 

@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_where, id_list, pct, ratio
+from ..functions import count_where, pct, ratio
 from ..functions.scalar import days_between
 from ..operators.joins import summary_star
+from ..operators.nested import Child, related_ids
 from ..operators.scoring import weighted_score
 from ..operators.temporal import extremes_around
 
@@ -51,13 +52,10 @@ def expedition_scorecard(t: Tables, completed: str = "Completed",
         "expedition_id", "destination", "status", "departure_date", "return_date")
     members = t["EXPEDITION_MEMBERS"].groupBy("expedition_id").agg(
         F.count(F.lit(1)).alias("total_members"),
-        count_where(F.col("survived") == 1).alias("survived_members"),
-        id_list("dwarf_id").alias("member_ids"))
+        count_where(F.col("survived") == 1).alias("survived_members"))
     arts = t["EXPEDITION_ARTIFACTS"].groupBy("expedition_id").agg(
-        F.coalesce(F.sum("value"), F.lit(0)).cast(MONEY).alias("artifacts_value"),
-        id_list("artifact_id").alias("artifact_ids"))
-    sites = t["EXPEDITION_SITES"].groupBy("expedition_id").agg(
-        F.count(F.lit(1)).alias("discovered_sites"), id_list("site_id").alias("site_ids"))
+        F.coalesce(F.sum("value"), F.lit(0)).cast(MONEY).alias("artifacts_value"))
+    sites = t["EXPEDITION_SITES"].groupBy("expedition_id").agg(F.count(F.lit(1)).alias("discovered_sites"))
     enc = t["EXPEDITION_CREATURES"].groupBy("expedition_id").agg(
         F.count(F.lit(1)).alias("encounters_total"),
         count_where(F.col("outcome").isin(list(success))).alias("encounters_success"))
@@ -81,8 +79,7 @@ def expedition_scorecard(t: Tables, completed: str = "Completed",
         (0.10, ratio(skill_c, "max_skill", guard=1)),
         (0.10, F.lit(1.0) - ratio(dur, "max_dur", guard=1)),
     ], dtype="decimal(5,2)")
-    empty = F.array().cast("array<bigint>")
-    return j.select(
+    scored = j.select(
         "expedition_id", "destination", "status",
         pct("survived_members", "total_members", guard=0).alias("survival_rate"),
         "artifacts_value",
@@ -90,8 +87,10 @@ def expedition_scorecard(t: Tables, completed: str = "Completed",
         pct("encounters_success", "encounters_total", guard=0).alias("encounter_success_rate"),
         skill_c.alias("skill_improvement"),
         dur.alias("expedition_duration"),
-        score.alias("overall_success_score"),
-        F.struct(F.coalesce("member_ids", empty).alias("member_ids"),
-                 F.coalesce("artifact_ids", empty).alias("artifact_ids"),
-                 F.coalesce("site_ids", empty).alias("site_ids")).alias("related_entities"),
-    ).orderBy(F.desc("overall_success_score"))
+        score.alias("overall_success_score"))
+    # id lists: each child grouped alone, [] when none (COALESCE(csv, ''))
+    return related_ids(scored, "expedition_id", {
+        "member_ids": Child(t["EXPEDITION_MEMBERS"], "expedition_id", "dwarf_id"),
+        "artifact_ids": Child(t["EXPEDITION_ARTIFACTS"], "expedition_id", "artifact_id"),
+        "site_ids": Child(t["EXPEDITION_SITES"], "expedition_id", "site_id"),
+    }).orderBy(F.desc("overall_success_score"))

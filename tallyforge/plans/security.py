@@ -16,7 +16,7 @@ from ..functions.scalar import EXACT
 from ..functions.scalar import recent
 from ..operators.factor import repeat_factor
 from ..operators.joins import substring_join
-from ..operators.nested import nested_objects, section
+from ..operators.nested import PART, id_list_parts, nested_objects, section
 
 Tables = Mapping[str, DataFrame]
 
@@ -159,8 +159,10 @@ def active_threats(t: Tables, as_of: str | _dt.datetime, days: int = 90) -> Data
         F.try_divide(F.sum(F.col("_k") * F.col("_sx")), F.sum(F.col("_k") * F.col("_tx"))).alias("territory_proximity"))
     s = seen.groupBy("type").agg(F.max("date").alias("last_sighting_date"),
                                  F.count_distinct("sighting_id").alias("estimated_numbers"))
-    ids = c.groupBy("type").agg(id_text("creature_id").alias("creature_ids"))
-    return (w.join(s, "type").join(ids, "type", "left")
+    ids = (id_list_parts(c, "type", "creature_id", "creature_ids", text=True).drop(PART)
+           .withColumnRenamed("type", "_t"))
+    ws = w.join(s.withColumnRenamed("type", "_s"), w["type"].eqNullSafe(F.col("_s"))).drop("_s")
+    return (ws.join(ids, ws["type"].eqNullSafe(ids["_t"]), "left")
             .select(F.col("type").alias("creature_type"), "threat_level", "last_sighting_date",
                     "territory_proximity", "estimated_numbers", "creature_ids"))
 

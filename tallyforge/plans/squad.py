@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_where, id_list, pct, ratio
+from ..functions import count_where, pct, ratio
 from ..operators.factor import within_key_zero_corr
 from ..operators.joins import summary_star
+from ..operators.nested import Child, related_ids
 from ..operators.scoring import weighted_score, with_global_max
 from ..operators.temporal import extremes_around
 
@@ -26,21 +27,17 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
     battles = sb.groupBy("squad_id").agg(
         F.count(F.lit(1)).alias("total_battles"), count_where(win).alias("victories"),
         F.sum("casualties").alias("total_casualties"), F.sum("enemy_casualties").alias("total_enemy_casualties"),
-        F.min("date").alias("first_battle"), F.max("date").alias("last_battle"),
-        id_list("report_id").alias("battle_report_ids"))
+        F.min("date").alias("first_battle"), F.max("date").alias("last_battle"))
     sm = t["SQUAD_MEMBERS"]
     members = sm.groupBy("squad_id").agg(
         F.count_distinct("dwarf_id").alias("total_members_ever"),
-        count_where(F.col("exit_date").isNull()).alias("current_members"),
-        id_list("dwarf_id").alias("member_ids"))
-    equipment = (t["SQUAD_EQUIPMENT"].join(t["EQUIPMENT"].select("equipment_id", "quality"), "equipment_id")
-                 .groupBy("squad_id").agg(F.avg("quality").alias("avg_equipment_quality"),
-                                          id_list("equipment_id").alias("equipment_ids")))
+        count_where(F.col("exit_date").isNull()).alias("current_members"))
+    squad_eq = t["SQUAD_EQUIPMENT"].join(t["EQUIPMENT"].select("equipment_id", "quality"), "equipment_id")
+    equipment = squad_eq.groupBy("squad_id").agg(F.avg("quality").alias("avg_equipment_quality"))
     st = t["SQUAD_TRAINING"]
     training = st.groupBy("squad_id").agg(
         F.count(F.lit(1)).alias("total_training_sessions"),
-        F.avg("effectiveness").alias("avg_training_effectiveness"),
-        id_list("schedule_id").alias("training_ids"))
+        F.avg("effectiveness").alias("avg_training_effectiveness"))
     corr = within_key_zero_corr(
         st.select("squad_id", "effectiveness"),
         sb.select("squad_id", F.when(win, 1).otherwise(0).alias("victory_flag")),
@@ -72,8 +69,7 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
         (0.15, ratio("avg_combat_skill_improvement", "_max_skill", guard=1)),
         (0.15, F.col("training_battle_correlation")),
     ], dtype="decimal(5,3)")
-    empty = F.array().cast("array<bigint>")
-    return j.select(
+    out = j.select(
         "squad_id", "squad_name", "formation_type", "leader_name", "total_battles", "victories",
         pct("victories", "total_battles", guard=0).alias("victory_percentage"),
         pct(cas, cas + enemy, guard=0).alias("casualty_rate"),
@@ -84,8 +80,10 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
         pct("current_members", "total_members_ever", guard=0).alias("retention_rate"),
         "avg_equipment_quality", "total_training_sessions", "avg_training_effectiveness",
         "training_battle_correlation", "avg_combat_skill_improvement",
-        score.alias("overall_effectiveness_score"),
-        F.struct(F.coalesce("member_ids", empty).alias("member_ids"),
-                 F.coalesce("equipment_ids", empty).alias("equipment_ids"),
-                 F.coalesce("battle_report_ids", empty).alias("battle_report_ids"),
-                 F.coalesce("training_ids", empty).alias("training_ids")).alias("related_entities"))
+        score.alias("overall_effectiveness_score"))
+    return related_ids(out, "squad_id", {
+        "member_ids": Child(sm, "squad_id", "dwarf_id"),
+        "equipment_ids": Child(squad_eq, "squad_id", "equipment_id"),
+        "battle_report_ids": Child(sb, "squad_id", "report_id"),
+        "training_ids": Child(st, "squad_id", "schedule_id"),
+    })

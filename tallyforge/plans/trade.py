@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import id_list, signed_sum, weighted_sum
 from ..operators.factor import cross_moments, repeat_factor
-from ..operators.nested import section
+from ..operators.nested import PART, id_list_parts, section
 
 Tables = Mapping[str, DataFrame]
 MONEY = "decimal(18,2)"
@@ -83,11 +83,15 @@ def civilization_caravans(t: Tables) -> DataFrame:
 
 def import_dependencies(t: Tables) -> DataFrame:
     g = t["CARAVAN_GOODS"].join(t["CARAVANS"].select("caravan_id"), "caravan_id")
-    return g.groupBy("material_type").agg(
+    agg = g.groupBy("material_type").agg(
         weighted_sum("quantity", "material_type", IMPORT_WEIGHTS, IMPORT_DEFAULT_WEIGHT).alias("dependency_score"),
         F.sum("quantity").alias("total_imported"),
-        F.count_distinct("caravan_id").alias("import_diversity"),
-        id_list("material_id").alias("resource_ids"))
+        F.count_distinct("caravan_id").alias("import_diversity"))
+    # resource ids per material type: a category-level list, split into
+    # bounded parts (several rows for a very large type)
+    ids = id_list_parts(g, "material_type", "material_id", "resource_ids").drop(PART)
+    ids = ids.withColumnRenamed("material_type", "_mt")
+    return agg.join(ids, agg["material_type"].eqNullSafe(ids["_mt"]), "left").drop("_mt")
 
 
 def _product_fanout(t: Tables) -> DataFrame:

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import id_list, pct, ratio, sum_where
+from ..functions import pct, ratio, sum_where
 from ..functions.scalar import days_between
 from ..operators.factor import within_key_zero_corr
 from ..operators.joins import summary_star
+from ..operators.nested import Child, related_ids
 
 Tables = Mapping[str, DataFrame]
 MONEY = "decimal(18,2)"
@@ -40,24 +41,20 @@ def workshop_efficiency(t: Tables) -> DataFrame:
         F.min("production_date").alias("first_prod"), F.max("production_date").alias("last_prod"),
         F.count_distinct(F.to_date("production_date")).alias("active_days"))
     craft = t["WORKSHOP_CRAFTSDWARVES"].groupBy("workshop_id").agg(
-        F.count_distinct("dwarf_id").alias("num_craftsdwarves"), id_list("dwarf_id").alias("craftsdwarf_ids"))
+        F.count_distinct("dwarf_id").alias("num_craftsdwarves"))
     prod = prod_rows.groupBy("workshop_id").agg(
         F.sum("quantity").alias("total_quantity_produced"),
-        F.sum(F.col("quantity") * F.col("value")).cast(MONEY).alias("total_production_value"),
-        id_list("product_id").alias("product_ids"))
+        F.sum(F.col("quantity") * F.col("value")).cast(MONEY).alias("total_production_value"))
     materials = t["WORKSHOP_MATERIALS"].groupBy("workshop_id").agg(
-        sum_where("quantity", F.col("is_input") == 1, 0).alias("total_input_qty"),
-        id_list("material_id").alias("material_ids"))
-    projects = t["PROJECTS"].groupBy("workshop_id").agg(id_list("project_id").alias("project_ids"))
+        sum_where("quantity", F.col("is_input") == 1, 0).alias("total_input_qty"))
     skill = skill_per_craftsdwarf(t)
     avg_skill = skill.groupBy("workshop_id").agg(F.avg("avg_skill").alias("_avg_skill"))
     corr = within_key_zero_corr(skill, prod_rows.select("workshop_id", "quality"), "workshop_id",
                                 "avg_skill", "quality", "skill_quality_correlation")
 
-    j = summary_star(w, "workshop_id", [wp_summary, craft, prod, materials, projects, avg_skill, corr])
+    j = summary_star(w, "workshop_id", [wp_summary, craft, prod, materials, avg_skill, corr])
     period = days_between("first_prod", "last_prod") + 1
-    empty = F.array().cast("array<bigint>")
-    return j.select(
+    out = j.select(
         "workshop_id", "workshop_name", "workshop_type", "num_craftsdwarves",
         "total_quantity_produced", "total_production_value",
         ratio("total_quantity_produced", period, guard=0, dtype="decimal(10,2)").alias("daily_production_rate"),
@@ -67,8 +64,10 @@ def workshop_efficiency(t: Tables) -> DataFrame:
         ratio("total_quantity_produced", "total_input_qty", guard=1, dtype="decimal(10,2)")
         .alias("material_conversion_ratio"),
         F.col("_avg_skill").cast("decimal(5,2)").alias("average_craftsdwarf_skill"),
-        "skill_quality_correlation",
-        F.struct(F.coalesce("craftsdwarf_ids", empty).alias("craftsdwarf_ids"),
-                 F.coalesce("product_ids", empty).alias("product_ids"),
-                 F.coalesce("material_ids", empty).alias("material_ids"),
-                 F.coalesce("project_ids", empty).alias("project_ids")).alias("related_entities"))
+        "skill_quality_correlation")
+    return related_ids(out, "workshop_id", {
+        "craftsdwarf_ids": Child(t["WORKSHOP_CRAFTSDWARVES"], "workshop_id", "dwarf_id"),
+        "product_ids": Child(prod_rows, "workshop_id", "product_id"),
+        "material_ids": Child(t["WORKSHOP_MATERIALS"], "workshop_id", "material_id"),
+        "project_ids": Child(t["PROJECTS"], "workshop_id", "project_id"),
+    })

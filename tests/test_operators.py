@@ -138,3 +138,22 @@ def test_extremes_around_matches_naive(spark):
         F.min(F.when(F.col("d") <= F.col("s"), F.col("v"))).alias("b"),
         F.max(F.when(F.col("d") >= F.col("e"), F.col("v"))).alias("a")).collect()}
     assert fast == slow
+
+
+def test_related_ids_splits_large_lists_into_parts(spark):
+    p = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
+    c = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 7), (2, 7)], "fk bigint, id bigint")
+    out = nested.related_ids(p, "k", {"ids": nested.Child(c, "fk", "id")}, max_ids_per_row=8).collect()
+    by_key = {}
+    for r in out:
+        by_key.setdefault(r.k, []).append(r.related_entities.ids)
+    assert len(by_key[1]) == 5                       # ceil(40 / 8) parts
+    assert sorted(i for part in by_key[1] for i in part) == list(range(40))
+    assert all(part == sorted(part) for part in by_key[1])
+    assert by_key[2] == [[7, 7]] and by_key[3] == [[]]
+
+
+def test_id_list_parts_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, id bigint")
+    out = {r.g: r.ids for r in nested.id_list_parts(df, "g", "id", "ids").collect()}
+    assert out == {None: [1, 2], "a": [3]}
