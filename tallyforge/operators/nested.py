@@ -20,7 +20,7 @@ from ..functions.aggs import id_list
 # parent with more children is written as several rows ("parts"), each
 # holding a disjoint, sorted share of its list; below the bound the output
 # is exactly one row per parent.
-MAX_IDS_PER_ROW = 100_000
+MAX_IDS_PER_ROW = 1_000_000
 PART = "_part"
 
 
