@@ -9,7 +9,7 @@ fix the *logical* shape.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,12 +152,3 @@ def _left_via_inner(keys: DataFrame, key_col: str, exploded: DataFrame, cand: st
         if f.name != cand:
             missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
     return pairs.unionByName(missing).drop("_key_text")
-
-
-def lookup(df: DataFrame, table: DataFrame, mapping: Mapping[str, str], how: str = "left") -> DataFrame:
-    """Left-join ``table`` on ``{df_col: table_col}``."""
-    cond = None
-    for a, b in mapping.items():
-        c = df[a] == table[b]
-        cond = c if cond is None else cond & c
-    return df.join(table, cond, how)

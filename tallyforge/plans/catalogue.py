@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..sources.driver_views import V1, V2, build_views, views_sql
 from ..sources.tables import load

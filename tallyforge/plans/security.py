@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import count_where, dec, id_text, pct, ratio, round_exact
+from ..functions import count_where, dec, pct, ratio, round_exact
 from ..functions.scalar import EXACT
 from ..functions.scalar import recent
 from ..operators.factor import repeat_factor
