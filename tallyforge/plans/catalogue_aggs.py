@@ -490,7 +490,9 @@ def json_keep_nulls(spark, d):
     return nested.to_document(n, keep_nulls=True)
 
 
-@register("json_drop_nulls", None)
+@register("json_drop_nulls", """SELECT CAST('{"n_nationkey":' || n_nationkey || ',"n_name":' || to_json(n_name)
+      || CASE WHEN n_regionkey = 0 THEN '' ELSE ',"leader":' || n_regionkey END || '}' AS VARCHAR) AS document
+    FROM nation""")
 def json_drop_nulls(spark, d):
     n = driver(spark, d)["nation"].select(
         "n_nationkey", "n_name", F.when(F.col("n_regionkey") != 0, F.col("n_regionkey")).alias("leader"))
