@@ -77,7 +77,9 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
         # does not fail the job with a cast overflow
         ratio(enemy, cas, guard=1, dtype="decimal(18,2)").alias("casualty_exchange_ratio"),
         "current_members", "total_members_ever",
-        pct("current_members", "total_members_ever", guard=0).alias("retention_rate"),
+        # open rows over distinct members: passes 100 when a member has several
+        # open rows, so widened from DECIMAL(5,2) like the exchange ratio
+        pct("current_members", "total_members_ever", guard=0, dtype="decimal(18,2)").alias("retention_rate"),
         "avg_equipment_quality", "total_training_sessions", "avg_training_effectiveness",
         "training_battle_correlation", "avg_combat_skill_improvement",
         score.alias("overall_effectiveness_score"))

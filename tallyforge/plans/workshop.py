@@ -15,6 +15,10 @@ from ..operators.nested import Child, related_ids
 
 Tables = Mapping[str, DataFrame]
 MONEY = "decimal(18,2)"
+# The text casts these unbounded ratios to DECIMAL(10,2); under ANSI mode an
+# outlier (one huge workshop) would fail the whole job with a cast
+# overflow, so they are widened.
+WIDE = "decimal(18,2)"
 
 
 def skill_per_craftsdwarf(t: Tables) -> DataFrame:
@@ -57,11 +61,11 @@ def workshop_efficiency(t: Tables) -> DataFrame:
     out = j.select(
         "workshop_id", "workshop_name", "workshop_type", "num_craftsdwarves",
         "total_quantity_produced", "total_production_value",
-        ratio("total_quantity_produced", period, guard=0, dtype="decimal(10,2)").alias("daily_production_rate"),
-        ratio("total_production_value", "total_input_qty", guard=1, dtype="decimal(10,2)")
+        ratio("total_quantity_produced", period, guard=0, dtype=WIDE).alias("daily_production_rate"),
+        ratio("total_production_value", "total_input_qty", guard=1, dtype=WIDE)
         .alias("value_per_material_unit"),
         pct(F.coalesce("active_days", F.lit(0)), period, guard=1).alias("workshop_utilization_percent"),
-        ratio("total_quantity_produced", "total_input_qty", guard=1, dtype="decimal(10,2)")
+        ratio("total_quantity_produced", "total_input_qty", guard=1, dtype=WIDE)
         .alias("material_conversion_ratio"),
         F.col("_avg_skill").cast("decimal(5,2)").alias("average_craftsdwarf_skill"),
         "skill_quality_correlation")
