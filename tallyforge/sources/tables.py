@@ -22,10 +22,32 @@ def table_path(base_dir: str, name: str) -> str:
     return f"{base_dir.rstrip('/')}/{name}.parquet"
 
 
+# Parquet schema inference reads file footers on every open.  For a local
+# path the inferred schema is kept per (path, modification time), so a
+# table opened again unchanged skips it; files are still listed on every
+# open.  Remote paths are always inferred.
+_SCHEMAS: dict[tuple[str, int], object] = {}
+
+
+def _schema_key(path: str) -> tuple[str, int] | None:
+    import os
+    try:
+        return (path, os.stat(path).st_mtime_ns)
+    except OSError:
+        return None
+
+
 def scan(spark: SparkSession, base_dir: str, name: str,
          columns: Iterable[str] | None = None) -> DataFrame:
     """Read one table; restrict to ``columns`` when given."""
-    df = spark.read.parquet(table_path(base_dir, name))
+    path = table_path(base_dir, name)
+    key = _schema_key(path)
+    if key is not None and key in _SCHEMAS:
+        df = spark.read.schema(_SCHEMAS[key]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        if key is not None:
+            _SCHEMAS[key] = df.schema
     if columns is not None:
         df = df.select(*columns)
     return df
