@@ -6,7 +6,7 @@ each run of three); the kept ones form an inverted index from hash to
 of one template that lie close together are a candidate region, which is
 aligned with the template by dynamic programming in a band around the hits'
 diagonals.  A match is reported when at least ``least`` of the template's
-words are aligned, with its coverage and span.  Words outside the templates'
+words, and of the words in its span, are aligned, with coverage and span.  Words outside the templates'
 vocabulary can't be part of a shingle and are passed over by array
 operations; the index has the size of the templates.
 
@@ -166,7 +166,7 @@ def document_matches(ids: np.ndarray, hits, index: Index, least: float) -> list[
             start = d0 - BAND
             lo, hi = max(0, start), min(len(ids), d1 + BAND + len(index.words[t]))
             n, a, b = align(index.words[t], ids[lo:hi], d0 - BAND - lo, d1 + BAND - lo)
-            if n >= least * len(index.words[t]):
+            if n >= least * len(index.words[t]) and n >= least * (b - a + 1):
                 found.append((-n, a + lo, b + lo))
         kept: list[tuple[int, int, int]] = []
         for n, a, b in sorted(found):

@@ -59,7 +59,8 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFra
                  F.sum("_w").over(after).alias("_wleft"))
     level = (F.col("_total") - float(cap) * F.col("_capped")) / F.col("_wleft")
     s = s.withColumn("_level", level)
-    s = s.withColumn("_level", F.min(F.when(F.col("_level") <= F.col("_full"), F.col("_level"))).over(everything))
+    first = F.struct("_full", "_null", "_s", "_level")         # the first source that the level leaves unfilled
+    s = s.withColumn("_level", F.min(F.when(F.col("_level") <= F.col("_full"), first)).over(everything)["_level"])
     target = F.least(F.col("source_size") * float(cap), F.col("_level") * F.col("_w"))
     return s.select("_s", "_null", "source_size", target.alias("target"))
 

@@ -43,7 +43,7 @@ WITH sized AS (
                                  sum(w) FILTER ((b.brim, b.nul, b.s) >= (a.brim, a.nul, a.s)) AS wleft FROM filled b) c
   GROUP BY a.s, a.nul
 ), level AS (
-  SELECT min(level) AS level FROM levels WHERE level <= brim
+  SELECT level FROM levels WHERE level <= brim ORDER BY brim, nul, s LIMIT 1
 ), targets AS (
   SELECT f.s, f.nul, f.source_size, least(f.source_size * {CAP}.0::DOUBLE, l.level * f.w) AS target FROM filled f, level l
 ), classed AS (
