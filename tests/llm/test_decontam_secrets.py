@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyforge.llm import decontam, secret_scan
 from tallyforge.llm.fm_index import FMIndex
@@ -98,7 +99,7 @@ def test_secret_rules_and_network(spark):
     texts += [f"{prose(rng, 20)} {'word-and-more-' + str(rng.randrange(9))} {prose(rng, 9)}" for _ in range(120)]
     texts += [f"key is {key(24)} here" for _ in range(10)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    net = secret_scan.train(df)
+    net = secret_scan.train(df.where(F.col("doc_id") < len(texts) - 10))      # the bare keys have no label
     rows = {r.doc_id: r for r in secret_scan.scan(df, net).collect()}
     assert len(rows) == len(texts)
     added = 0
