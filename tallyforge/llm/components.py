@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut
+from .util import cut, semi
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -46,11 +46,14 @@ def components(edges: DataFrame) -> DataFrame:
         roots.select("node", F.col("node").alias("comp")))
 
 
-def shared_only(keys: DataFrame) -> DataFrame:
-    """Rows (key, node) of the keys that more than one node has."""
-    dup = (keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-           .where("lo < hi").select("key"))
-    return cut(keys.join(dup, "key", "left_semi").distinct())
+def shared_only(keys: DataFrame, unique: bool) -> DataFrame:
+    """Rows (key, node) of the keys that more than one node has; ``unique``
+    says that no (key, node) comes twice, so that a count tells."""
+    if unique:
+        dup = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    else:
+        dup = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    return cut(semi(keys, cut(dup.select("key")), "key").distinct())
 
 
 def linked_components(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:

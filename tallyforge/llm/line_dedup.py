@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
-from .util import cut, without
+from .util import cut, semi, without
 
 BANDS, ROWS = 8, 3
 LEAST = 24
@@ -62,11 +62,11 @@ def band_keys(lines: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go."""
     lines = line_rows(docs.select("doc_id", "text"), least)
-    keys = shared_only(band_keys(lines))
+    keys = shared_only(band_keys(lines), unique=True)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        sets = (lines.select("node", "line").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        nodes = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        sets = (semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"])
                 .select("node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("s")))
         sets = cut(sets)
         left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))

@@ -118,7 +118,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     rows = cut(d.mapInArrow(_summaries(k, percent), schema))
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
-    keys = shared_only(keys)
+    keys = shared_only(keys, unique=False)
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()

@@ -34,6 +34,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BROADCAST_KEYS = 1_500_000      # long keys: about 40 MB as a hash table
+
+
+def semi(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose long ``on`` is among ``keys`` (materialised,
+    distinct): the keys are counted and broadcast up to ``BROADCAST_KEYS``,
+    joined by a shuffle beyond."""
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop input columns whose names an operator is about to produce."""
     return df.drop(*[c for c in df.columns if c in names])
