@@ -6,8 +6,6 @@ cut into the shared checkpoint folder, nothing is gathered anywhere.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,15 +54,32 @@ def shared_only(keys: DataFrame, unique: bool) -> DataFrame:
     return cut(semi(keys, cut(dup.select("key")), "key").distinct())
 
 
-def linked_components(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
-    """Components of the links that ``verify`` confirms among nodes with a
-    common key; ``keys`` (key, node) holds shared keys only.
+def with_sketch(sets: DataFrame) -> DataFrame:
+    """Adds n, the set's size, and a 512-bit parity sketch: every element
+    flips one bit, so the Hamming distance of two sketches is at most the
+    symmetric difference of the sets."""
+    flip = lambda a, h: a.bitwiseXOR(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.shiftright(h, 3).bitwiseAND(F.lit(63).cast("long")).cast("int")))
+
+    def word(w: int):
+        return F.aggregate(F.filter("hashes", lambda h: h.bitwiseAND(F.lit(7).cast("long")) == w), F.lit(0).cast("long"), flip)
+
+    words = [word(w) for w in range(8)]
+    return sets.select("node", F.size("hashes").alias("n"), F.array(*words).alias("sketch"))
+
+
+def linked_components(keys: DataFrame, sets: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
+    """Components of the links (Jaccard similarity of at least ``percent``)
+    among nodes with a common key.  ``keys`` (key, node) holds shared keys
+    only, ``sets`` (node, hashes) their nodes' distinct hashes; both are
+    materialised.
 
     Each round compares a key's nodes with one pivot node and merges what
     links, so a group of g copies takes g comparisons instead of g * g.  What
     is left in a key afterwards, nodes of different components, is compared
-    pair by pair: no link is lost, and pairs inside a component, which can't
-    change the result, are never made."""
+    pair by pair, unless sizes or parity sketches rule the link out: no link
+    is lost, and pairs inside a component, which can't change the result,
+    are never made."""
     tested = edges = labels = None
     for r in range(rounds + 1):
         here = _with_components(keys, labels)
@@ -74,18 +89,23 @@ def linked_components(keys: DataFrame, verify: Callable[[DataFrame], DataFrame],
                      .where("lo < hi").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc")))
             pairs = here.join(pivot, "key").where("comp != pc").select("node", F.col("pn").alias("other"))
         else:
-            mixed = (here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"))
-            here = here.join(mixed, "key", "left_semi")
-            there = here.select("key", F.col("node").alias("other"), F.col("comp").alias("oc"))
-            pairs = here.join(there, "key").where("comp < oc").select("node", "other")
+            mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+            here = cut(here.join(mixed, "key", "left_semi"))
+            own = sets.join(here.select("node").distinct(), "node", "left_semi")
+            here = here.join(cut(with_sketch(own)), "node")
+            there = here.select(*[F.col(c).alias(f"{c}2") for c in ("key", "node", "comp", "n", "sketch")])
+            apart = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+            likely = (F.col("comp") < F.col("comp2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+            likely &= (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
+            pairs = here.join(there, (F.col("key") == F.col("key2")) & likely).select("node", F.col("node2").alias("other"))
         pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         if pairs.isEmpty():
-            break
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
-        good = verify(pairs)
+        good = _similar(pairs, sets, percent)
         edges = cut(good if edges is None else edges.unionByName(good))
         labels = cut(components(edges))
     if labels is None:
@@ -93,6 +113,14 @@ def linked_components(keys: DataFrame, verify: Callable[[DataFrame], DataFrame],
     return labels
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets are similar enough, compared exactly."""
+    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
+    return both.where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
+
+
 def _with_components(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return keys.withColumn("comp", F.col("node"))

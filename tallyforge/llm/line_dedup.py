@@ -63,18 +63,10 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     """(doc_id, text_hash, removed): the line numbers that go."""
     lines = line_rows(docs.select("doc_id", "text"), least)
     keys = shared_only(band_keys(lines), unique=True)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        sets = (semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"])
-                .select("node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("s")))
-        sets = cut(sets)
-        left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-        return both.where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
-
-    labels = linked_components(keys, verify)
+    nodes = cut(keys.select("node").distinct())
+    sets = semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"]).select(
+        "node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("hashes"))
+    labels = linked_components(keys, cut(sets), percent)
     found = lines.select("doc_id", "text_hash", "line_no", "node").join(labels, "node", "left").select(
         "doc_id", "text_hash", "line_no", F.coalesce("comp", "node").alias("comp"))
     found = cut(found)

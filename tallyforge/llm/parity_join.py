@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
-from .util import cut
+from .util import cut, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
@@ -119,19 +119,12 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
     keys = shared_only(keys, unique=False)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-        one = (full.groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r")).join(nodes, "h1", "left_semi")
-               .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_t")))
-        texts = d.join(one, (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
-        sets = cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]))
-        left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-        right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-        both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-        return both.where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
-
-    labels = linked_components(keys, verify)
+    nodes = cut(keys.select(F.col("node").alias("h1")).distinct())
+    one = (semi(full, nodes, "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
+           .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_t")))
+    texts = d.join(one, (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
+    sets = cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]))
+    labels = linked_components(keys, sets, percent)
     classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
     classes = (classes.join(labels.withColumnRenamed("node", "h1"), "h1", "left")
                .select("h1", "h2", "least", F.coalesce("comp", "h1").alias("comp")))
