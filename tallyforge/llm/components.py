@@ -6,6 +6,8 @@ cut into the shared checkpoint folder, nothing is gathered anywhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,18 +70,27 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     return sets.select("node", F.size("hashes").alias("n"), F.array(*words).alias("sketch"))
 
 
-def linked_components(keys: DataFrame, sets: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
+def _likely(percent: int):
+    """What a link's sizes and parity sketches must satisfy."""
+    apart = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    return ((100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
+            & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))))
+
+
+def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
+                      percent: int, rounds: int = 3) -> DataFrame:
     """Components of the links (Jaccard similarity of at least ``percent``)
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
-    only, ``sets`` (node, hashes) their nodes' distinct hashes; both are
-    materialised.
+    only, ``profiles`` (node, n, sketch) their nodes; both are materialised.
+    ``fetch`` takes materialised nodes and gives their sets (node, hashes).
 
     Each round compares a key's nodes with one pivot node and merges what
     links, so a group of g copies takes g comparisons instead of g * g.  What
     is left in a key afterwards, nodes of different components, is compared
-    pair by pair, unless sizes or parity sketches rule the link out: no link
-    is lost, and pairs inside a component, which can't change the result,
-    are never made."""
+    pair by pair.  Pairs whose sizes or parity sketches rule a link out are
+    not compared: no link is lost, and pairs inside a component, which can't
+    change the result, are never made."""
+    second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
     tested = edges = labels = None
     for r in range(rounds + 1):
         here = _with_components(keys, labels)
@@ -87,24 +98,22 @@ def linked_components(keys: DataFrame, sets: DataFrame, percent: int, rounds: in
             order = F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "comp")
             pivot = (here.groupBy("key").agg(F.min(order).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .where("lo < hi").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc")))
-            pairs = here.join(pivot, "key").where("comp != pc").select("node", F.col("pn").alias("other"))
+            pairs = here.join(pivot, "key").where("comp != pc").select("node", F.col("pn").alias("node2")).distinct()
+            pairs = pairs.join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
         else:
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
             here = cut(here.join(mixed, "key", "left_semi"))
-            own = sets.join(here.select("node").distinct(), "node", "left_semi")
-            here = here.join(cut(with_sketch(own)), "node")
-            there = here.select(*[F.col(c).alias(f"{c}2") for c in ("key", "node", "comp", "n", "sketch")])
-            apart = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-            likely = (F.col("comp") < F.col("comp2")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-            likely &= (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
-            pairs = here.join(there, (F.col("key") == F.col("key2")) & likely).select("node", F.col("node2").alias("other"))
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+            here = here.join(profiles, "node")
+            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
+            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
+        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         if pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.unionByName(pairs)
+        sets = fetch(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         good = _similar(pairs, sets, percent)
         edges = cut(good if edges is None else edges.unionByName(good))
         labels = cut(components(edges))

@@ -26,7 +26,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import linked_components, shared_only
+from .components import linked_components, shared_only, with_sketch
 from .util import cut, semi, without
 
 BANDS, ROWS = 8, 3
@@ -66,7 +66,8 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     nodes = cut(keys.select("node").distinct())
     sets = semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"]).select(
         "node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("hashes"))
-    labels = linked_components(keys, cut(sets), percent)
+    sets = cut(sets)
+    labels = linked_components(keys, cut(with_sketch(sets)), lambda _: sets, percent)
     found = lines.select("doc_id", "text_hash", "line_no", "node").join(labels, "node", "left").select(
         "doc_id", "text_hash", "line_no", F.coalesce("comp", "node").alias("comp"))
     found = cut(found)

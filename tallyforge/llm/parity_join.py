@@ -8,8 +8,9 @@ the band's upper end; every shingle flips one bit, so the sketches' Hamming
 distance, and with it the number of differing words, is at most the
 symmetric difference: two linked sets agree in at least one word.  Classes
 are joined on (band, word number, word); sets near the top of a band are
-also sketched for the next one.  Shared words are candidates, which
-``linked_components`` verifies by exact set similarity.
+also sketched for the next one.  Of the candidates, those whose sizes and
+512-bit sketches allow a link are verified by exact set similarity
+(``linked_components``).
 
 Defined results: null or empty text and text without words have an empty
 set, n_shingles 0 and only themselves as component; copies and repeated rows
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
-from .util import cut, semi
+from .util import cut, few, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
@@ -57,12 +58,18 @@ def block_keys(s: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
         word = ((s >> U(32)) * U(m)) >> U(32)
         at = (word * U(64) + (s & U(63))).astype(np.int64)
         odd = (np.bincount(at, minlength=64 * m) & 1).astype(np.uint8)
-        sketch = np.packbits(odd, bitorder="little").view("<u8")
+        words = np.packbits(odd, bitorder="little").view("<u8")
         place = (np.arange(m, dtype=U) << U(16)) + U(b)
-        out.append(mix(mix(sketch) + place * U(0x9E3779B97F4A7C15)))
+        out.append(mix(mix(words) + place * U(0x9E3779B97F4A7C15)))
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """512 parity bits of a whole set, to compare any two sets by."""
+    at = ((s & U(7)) * U(64) + ((s >> U(3)) & U(63))).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=512) & 1).astype(np.uint8), bitorder="little").view("<u8")
+
+
 def set_hashes(s: np.ndarray) -> tuple[int, int]:
     """128 bits that tell a set from others: sums of two mixings."""
     h1, h2 = mix(s ^ U(0x243F6A8885A308D3)).sum(dtype=U), mix(s + U(0x13198A2E03707344)).sum(dtype=U)
@@ -81,7 +88,7 @@ def _summaries(k: int, percent: int):
         bounds = band_bounds(1 << 12)
         for batch in chunks(batches, "text", CHUNK):
             w = split_words(batch.column("text"), SPACE_WORDS)
-            sizes, one, two, keys = [], [], [], []
+            sizes, one, two, sketches, keys = [], [], [], [], []
             for doc in range(batch.num_rows):
                 s = shingles(w, doc, k)
                 if len(s) >= bounds[-3]:
@@ -90,10 +97,12 @@ def _summaries(k: int, percent: int):
                 h = set_hashes(s) if len(s) else (0, 0)
                 one.append(h[0])
                 two.append(h[1])
+                sketches.append(sketch(s))
                 keys.append(block_keys(s, percent, bounds) if len(s) else np.zeros(0, U))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), _lists(keys)], ["doc_id", "text_hash", "n_shingles", "h1", "h2", "keys"])
+                 pa.array(two, pa.int64()), _lists(sketches), _lists(keys)],
+                ["doc_id", "text_hash", "n_shingles", "h1", "h2", "sketch", "keys"])
 
     return run
 
@@ -114,17 +123,22 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     component_id."""
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     id_type = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, keys array<long>"
+    schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, keys array<long>"
     rows = cut(d.mapInArrow(_summaries(k, percent), schema))
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
     keys = shared_only(keys, unique=False)
     nodes = cut(keys.select(F.col("node").alias("h1")).distinct())
-    one = (semi(full, nodes, "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-           .select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_t")))
-    texts = d.join(one, (F.col("text_hash") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
-    sets = cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]))
-    labels = linked_components(keys, sets, percent)
+    profiles = semi(full, nodes, "h1").select(F.col("h1").alias("node"), F.col("n_shingles").alias("n"), "sketch")
+    profiles = cut(profiles.dropDuplicates(["node"]))
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        one = semi(full, wanted.withColumnRenamed("node", "h1"), "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
+        one = cut(one.select(F.col("r.text_hash").alias("text_hash"), F.col("r.doc_id").alias("_id")))
+        texts = d.join(few(one), "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
+        return cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]))
+
+    labels = linked_components(keys, profiles, fetch, percent)
     classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
     classes = (classes.join(labels.withColumnRenamed("node", "h1"), "h1", "left")
                .select("h1", "h2", "least", F.coalesce("comp", "h1").alias("comp")))

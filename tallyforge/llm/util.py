@@ -37,12 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
 BROADCAST_KEYS = 1_500_000      # long keys: about 40 MB as a hash table
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df`` (materialised rows of a few longs), marked for broadcast if it
+    has at most ``BROADCAST_KEYS`` rows; beyond, joins with it shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
+
+
 def semi(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows of ``df`` whose long ``on`` is among ``keys`` (materialised,
-    distinct): the keys are counted and broadcast up to ``BROADCAST_KEYS``,
-    joined by a shuffle beyond."""
-    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    """Rows of ``df`` whose long ``on`` is among ``keys`` (materialised)."""
+    return df.join(few(keys), on, "left_semi")
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
