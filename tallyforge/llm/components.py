@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut, semi
+from .util import cut, few, semi
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+SMALL_GROUP = 32      # nodes of a key that are compared pair by pair at once
+
+
+def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """Each node sends its smallest neighbour to its larger (large star) or
     its smaller (small star) neighbours and, there, to itself."""
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -25,7 +28,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     out = both.join(least, "a").where("b > a" if large else "b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not large:
         out = out.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where("a != b").distinct()
+    return out.where("a != b").coalesce(parts).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
         if not now.n or seen == (now.n, now.x):
             break
         seen = (now.n, now.x)
-        edges = cut(_stars(_stars(edges, True), False))
+        parts = now.n // 100_000 + 1
+        edges = cut(_stars(_stars(edges, True, parts), False, parts))
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(
         roots.select("node", F.col("node").alias("comp")))
@@ -78,23 +82,34 @@ def _likely(percent: int):
 
 
 def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
-                      percent: int, rounds: int = 3) -> DataFrame:
+                      percent: int, rounds: int = 2) -> DataFrame:
     """Components of the links (Jaccard similarity of at least ``percent``)
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
     only, ``profiles`` (node, n, sketch) their nodes; both are materialised.
     ``fetch`` takes materialised nodes and gives their sets (node, hashes).
 
-    Each round compares a key's nodes with one pivot node and merges what
-    links, so a group of g copies takes g comparisons instead of g * g.  What
+    Keys of up to ``SMALL_GROUP`` nodes are compared pair by pair at once.
+    For larger ones, each round compares a key's nodes with one pivot node
+    and merges what links, so a group of g copies takes g comparisons instead of g * g.  What
     is left in a key afterwards, nodes of different components, is compared
     pair by pair.  Pairs whose sizes or parity sketches rule a link out are
     not compared: no link is lost, and pairs inside a component, which can't
     change the result, are never made."""
     second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
+
+    def every_pair(here: DataFrame) -> DataFrame:
+        here = here.join(profiles, "node")
+        there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
+        return here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
+
+    large = cut(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SMALL_GROUP).select("key"))
+    small, keys = keys.join(few(large), "key", "left_anti"), cut(semi(keys, large, "key"))
     tested = edges = labels = None
-    for r in range(rounds + 1):
-        here = _with_components(keys, labels)
-        if r < rounds:
+    for r in range(-1, rounds + 1):
+        here = _with_components(small if r < 0 else keys, labels)
+        if r < 0:
+            pairs = every_pair(here)
+        elif r < rounds:
             order = F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "comp")
             pivot = (here.groupBy("key").agg(F.min(order).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                      .where("lo < hi").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc")))
@@ -102,10 +117,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             pairs = pairs.join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
         else:
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            here = cut(here.join(mixed, "key", "left_semi"))
-            here = here.join(profiles, "node")
-            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
-            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
+            pairs = every_pair(cut(here.join(mixed, "key", "left_semi")))
         pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -118,7 +130,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
         edges = cut(good if edges is None else edges.unionByName(good))
         labels = cut(components(edges))
     if labels is None:
-        return keys.select("node", F.col("node").alias("comp")).limit(0)
+        return profiles.select("node", F.col("node").alias("comp")).limit(0)
     return labels
 
 

@@ -56,7 +56,7 @@ def band_keys(lines: DataFrame) -> DataFrame:
         "node", F.shiftright(F.xxhash64("p"), 32).cast("int").alias("h"))
     sig = h.groupBy("node").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{i}") for i, s in enumerate(SALTS)])
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
-    return cut(sig.select("node", keys.alias("keys"))).select(F.explode("keys").alias("key"), "node")
+    return cut(sig.select("node", keys.alias("keys")), 50_000).select(F.explode("keys").alias("key"), "node")
 
 
 def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
@@ -66,7 +66,7 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     nodes = cut(keys.select("node").distinct())
     sets = semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"]).select(
         "node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("hashes"))
-    sets = cut(sets)
+    sets = cut(sets, 10_000)
     labels = linked_components(keys, cut(with_sketch(sets)), lambda _: sets, percent)
     found = lines.select("doc_id", "text_hash", "line_no", "node").join(labels, "node", "left").select(
         "doc_id", "text_hash", "line_no", F.coalesce("comp", "node").alias("comp"))

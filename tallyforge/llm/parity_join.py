@@ -124,7 +124,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     id_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, keys array<long>"
-    rows = cut(d.mapInArrow(_summaries(k, percent), schema))
+    rows = cut(d.mapInArrow(_summaries(k, percent), schema), 5_000)
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
     keys = shared_only(keys, unique=False)
@@ -136,7 +136,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
         one = semi(full, wanted.withColumnRenamed("node", "h1"), "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
         one = cut(one.select(F.col("r.text_hash").alias("text_hash"), F.col("r.doc_id").alias("_id")))
         texts = d.join(few(one), "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
-        return cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]))
+        return cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]), 2_000)
 
     labels = linked_components(keys, profiles, fetch, percent)
     classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))

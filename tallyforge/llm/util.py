@@ -27,11 +27,13 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or sc.getCheckpointDir()).rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """Materialise ``df`` in the shared folder and cut its lineage; a lost
-    executor loses nothing."""
+    executor loses nothing.  A small result is read in fewer partitions, of
+    about ``rows`` rows, so that the steps after it stay small, too."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    done = df.checkpoint()
+    return done.coalesce(done.count() // rows + 1)
 
 
 BROADCAST_KEYS = 1_500_000      # long keys: about 40 MB as a hash table
