@@ -11,7 +11,6 @@ operators  DataFrame-level operators: anti/semi joins, summary stars,
            documents, weighted scores, factorised fan-out rewrites
 plans      the report specifications (one function per report) and the
            operator catalogue run by ``__spark_entry__``
-streaming  nothing: the reference has no streaming operator (see README)
 """
 
 __all__ = ["session"]

@@ -48,7 +48,7 @@ def weighted_sum(qty, category, weights: Mapping[str, float], default: float) ->
 def trunc_avg(col) -> Column:
     """Integer AVG as SQL Server computes it for an int column: truncated."""
     c = _c(col)
-    return F.try_divide(F.sum(c), F.count(c)).cast("bigint")
+    return F.call_function("div", F.sum(c), F.nullif(F.count(c), F.lit(0)))
 
 
 def min_where(value, cond: Column) -> Column:

@@ -68,7 +68,7 @@ def edge_both_ways(nodes: DataFrame, edges: DataFrame, node_key: str,
     return named.select(F.explode(both).alias("_e")).select(f"_e.{n}", f"_e.{k}", f"_e.{r}")
 
 
-def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
+def substring_keys(text: Column, max_len: int | Column = 10, pattern: str | None = None,
                    key_chars: str | None = None) -> Column:
     """All distinct substrings of ``text`` with length 1..``max_len``.
 
@@ -80,12 +80,14 @@ def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
     ``pattern`` (a regex) then keeps only substrings shaped like a key,
     e.g. ``'^-?[0-9]+$'``.  Empty or NULL text yields an empty array.
     """
+    longest = max_len if isinstance(max_len, Column) else F.lit(max_len)
+
     def all_subs(s: Column) -> Column:
         n = F.length(s)
         subs = F.flatten(F.transform(
             F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.greatest(F.least(F.lit(max_len), n - i + 1), F.lit(1))),
+                F.sequence(F.lit(1), F.greatest(F.least(longest, n - i + 1), F.lit(1))),
                 lambda k: F.substring(s, i, k))))
         return F.when(n > 0, subs).otherwise(F.array().cast("array<string>"))
 
@@ -100,9 +102,9 @@ def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
 
 
 def substring_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: str,
-                   how: str = "left", max_len: int = 10,
+                   how: str = "left",
                    pattern: str | None = None, key_chars: str | None = None) -> DataFrame:
-    """``keys JOIN lists ON CHARINDEX(CAST(key AS VARCHAR(max_len)), list) > 0``.
+    """``keys JOIN lists ON CHARINDEX(CAST(key AS VARCHAR), list) > 0``.
 
     The naive plan is a nested-loop join (every key against every list).
     Here each list row is exploded into its distinct candidate substrings
@@ -111,14 +113,17 @@ def substring_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: st
     that shuffles or broadcasts like any other; a frequent substring is a
     hot join key that AQE's skew handling splits.  Pairs are the same as
     the CHARINDEX form: '1' matches inside '12' (use ``token_join`` for
-    exact list members).  For integer keys pass ``key_chars='[-0-9]'`` and
+    exact list members).  Candidates are as long as the longest key, a one-row
+    aggregate.  For integer keys pass ``key_chars='[-0-9]'`` and
     ``pattern='^-?[0-9]+$'``.
 
     Result: all columns of ``keys`` and of ``lists`` (``how`` is ``inner``
     or ``left`` from the ``keys`` side).
     """
-    exploded = lists.withColumn(
-        "_sub", F.explode(substring_keys(F.col(list_col), max_len, pattern, key_chars)))
+    longest = keys.agg(F.coalesce(F.max(F.length(F.col(key_col).cast("string"))), F.lit(0)).alias("_longest"))
+    exploded = (lists.select("*", longest.scalar().alias("_longest"))
+                .withColumn("_sub", F.explode(substring_keys(F.col(list_col), F.col("_longest"), pattern, key_chars)))
+                .drop("_longest"))
     return _left_via_inner(keys, key_col, exploded, "_sub", how)
 
 

@@ -16,14 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.aggs import id_list
 
-# Largest number of ids (or child objects) one output row carries.  A
-# parent with more children is written as several rows ("parts"), each
-# holding a disjoint, sorted share of its list; below the bound the output
-# is exactly one row per parent.
-MAX_IDS_PER_ROW = 1_000_000
-PART = "_part"
-
-
 class Child(NamedTuple):
     """One child table feeding an id array: ``df.fk`` refers to the parent."""
 
@@ -33,67 +25,52 @@ class Child(NamedTuple):
     where: Column | None = None
 
 
-def _with_parts(df: DataFrame, keys: list[str], item: Column, max_per_row: int) -> DataFrame:
-    """Add ``_part`` in [0, ceil(n_key / max_per_row)) chosen by a hash of
-    ``item``.  The per-key count is a partial aggregate (one row per key)
-    joined back 1:1; keys under the bound all get part 0.  Rows of a hot key
-    are therefore grouped by (key, part) -- spread over many tasks -- and
-    no output row exceeds ~``max_per_row`` items."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select(*[F.col(k).alias(f"_ck_{i}") for i, k in enumerate(keys)], "_n")
-    cond = None
-    for i, k in enumerate(keys):     # NULL-safe: a NULL group keeps its list
-        c = df[k].eqNullSafe(counts[f"_ck_{i}"])
-        cond = c if cond is None else cond & c
-    parts = F.greatest(F.ceil(F.col("_n") / F.lit(float(max_per_row))), F.lit(1))
-    j = df.join(counts, cond).drop(*[f"_ck_{i}" for i in range(len(keys))])
-    return j.withColumn(PART, F.pmod(F.xxhash64(item), parts.cast("bigint"))).drop("_n")
-
-
-def id_list_parts(df: DataFrame, keys: str | list[str], id_col: str | Column, out: str,
-                  max_per_row: int = MAX_IDS_PER_ROW, text: bool = False) -> DataFrame:
-    """``keys..., _part, out``: the sorted id list of each key (STRING_AGG),
-    split into parts of at most ~``max_per_row`` ids.  NULL ids are skipped;
-    ``text=True`` gives comma text instead of an array."""
+def id_lists(df: DataFrame, keys: str | list[str], id_col: str | Column, out: str, text: bool = False) -> DataFrame:
+    """``keys..., out``: the sorted id list of each key (STRING_AGG), NULL
+    ids skipped; ``text=True`` gives comma text instead of an array.  One row
+    per key, so for keys whose lists are of bounded size (an order's lines, a
+    person's items); ``ids_long`` is the form for lists that grow with the
+    data."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    d = df.select(*keys, (F.col(id_col) if isinstance(id_col, str) else id_col).alias("_id")) \
-          .where(F.col("_id").isNotNull())
-    d = _with_parts(d, keys, F.col("_id"), max_per_row)
+    d = df.select(*keys, (F.col(id_col) if isinstance(id_col, str) else id_col).alias("_id")).where(F.col("_id").isNotNull())
     arr = id_list("_id")
     if text:
         arr = F.array_join(F.transform(arr, lambda x: x.cast("string")), ",")
-    return d.groupBy(*keys, PART).agg(arr.alias(out))
+    return d.groupBy(*keys).agg(arr.alias(out))
 
 
-def child_id_lists(child: Child, key: str, field: str, max_per_row: int = MAX_IDS_PER_ROW) -> DataFrame:
-    """``key, _part, field`` where ``field`` is (a part of) the sorted id
-    array of that parent."""
+def _children(child: Child, key: str) -> DataFrame:
     df = child.df if child.where is None else child.df.where(child.where)
-    df = df.select(F.col(child.fk).alias(key), F.col(child.id_col)).where(F.col(key).isNotNull())
-    return id_list_parts(df, key, child.id_col, field, max_per_row)
+    return df.select(F.col(child.fk).alias(key), F.col(child.id_col).alias("id")).where(F.col(key).isNotNull())
+
+
+def ids_long(key: str, children: Mapping[str, Child]) -> DataFrame:
+    """``key, field, id, occurrences``: every parent's child ids in long
+    form, one row per distinct id, whatever the lists' sizes.  Counts combine
+    before the shuffle, and a parent's ids are spread over all tasks."""
+    out = None
+    for field, ch in children.items():
+        rows = (_children(ch, key).where(F.col("id").isNotNull()).groupBy(key, "id").agg(F.count(F.lit(1)).alias("occurrences"))
+                .select(key, F.lit(field).alias("field"), F.col("id").cast("string").alias("id"), "occurrences"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def related_ids(parent: DataFrame, key: str, children: Mapping[str, Child],
-                out: str = "related_entities", empty_as: str = "empty",
-                max_ids_per_row: int = MAX_IDS_PER_ROW) -> DataFrame:
+                out: str = "related_entities", empty_as: str = "empty") -> DataFrame:
     """Attach ``out`` = struct of child-id arrays to every parent row.
 
-    Each child table is grouped alone (partial aggregates), the children
-    are outer-joined on (key, part) -- one row per part, never a product --
-    and the parent is left-joined on the key.  ``empty_as='empty'`` gives
-    ``[]`` for a parent without children (the ``ISNULL(..., '[]')`` and
+    Each child table is grouped alone on the key and left-joined, so the
+    children never multiply and every parent stays one row.  ``empty_as='empty'``
+    gives ``[]`` for a parent without children (the ``ISNULL(..., '[]')`` and
     ``COALESCE(csv, '')`` forms); ``'null'`` keeps NULL.  Parents keep
-    their own NULL columns.  A parent with more than ``max_ids_per_row``
-    children of one kind is returned as several rows (see MAX_IDS_PER_ROW).
+    their own NULL columns.
     """
     cols = list(parent.columns)
-    lists = None
-    for field, ch in children.items():
-        part = child_id_lists(ch, key, field, max_ids_per_row)
-        lists = part if lists is None else lists.join(part, [key, PART], "full")
-    df = parent.join(lists, key, "left")
+    df = parent
     fields = []
     for field, ch in children.items():
+        df = df.join(id_lists(_children(ch, key), key, "id", field), key, "left")
         c = F.col(field)
         if empty_as == "empty":
             dtype = ch.df.schema[ch.id_col].dataType.simpleString()
@@ -104,22 +81,19 @@ def related_ids(parent: DataFrame, key: str, children: Mapping[str, Child],
 
 def nested_objects(parent: DataFrame, key: str, child: DataFrame, fk: str,
                    cols: Sequence[str | Column], out: str,
-                   order: Sequence[str] | None = None,
-                   max_per_row: int = MAX_IDS_PER_ROW) -> DataFrame:
+                   order: Sequence[str] | None = None) -> DataFrame:
     """Attach ``out`` = array of child objects per parent (NULL when none).
 
     The correlated ``(SELECT ... WHERE child.fk = parent.key FOR JSON PATH)``
     of the text: the child is grouped on ``fk`` and left-joined, and a
     parent without children gets NULL, which ``to_json`` omits like
     ``FOR JSON`` does.  ``order`` sorts the array by those struct fields.
-    A parent with more than ``max_per_row`` children is returned as several
-    rows, each with a disjoint share of its objects.
+    Every parent stays one row and every child object comes once.
     """
     sel = [F.col(c) if isinstance(c, str) else c for c in cols]
     obj = F.struct(*sel)
     rows = child.select(F.col(fk).alias(key), obj.alias("_obj")).where(F.col(key).isNotNull())
-    rows = _with_parts(rows, [key], F.col("_obj"), max_per_row)
-    grouped = rows.groupBy(key, PART).agg(F.collect_list("_obj").alias(out)).drop(PART)
+    grouped = rows.groupBy(key).agg(F.collect_list("_obj").alias(out))
     if order:
         grouped = grouped.withColumn(out, _sort_structs(F.col(out), order))
     return parent.join(grouped, key, "left")
@@ -127,7 +101,7 @@ def nested_objects(parent: DataFrame, key: str, child: DataFrame, fk: str,
 
 def _sort_structs(arr: Column, order: Sequence[str]) -> Column:
     """Sort an array of structs by the named fields (``-name`` = descending,
-    NULLs last in both directions, like ORDER BY on SQL Server DESC)."""
+    NULLs first ascending and last descending, as SQL Server orders)."""
     def cmp(a, b):
         res = F.lit(0)
         for spec in reversed(order):

@@ -107,11 +107,6 @@ def older_than_average_without_items(t: Tables) -> DataFrame:
             .select("dwarf_id", "name"))
 
 
-def squads_leader_eq_null(t: Tables) -> DataFrame:
-    """W09 as written: ``leader_id = NULL`` is never true -> no rows."""
-    return t["Squads"].where(F.col("leader_id") == F.lit(None)).select("squad_id", "name")
-
-
 def squads_without_leader(t: Tables) -> DataFrame:
     """W09 as intended: ``leader_id IS NULL``."""
     return t["Squads"].where(F.col("leader_id").isNull()).select("squad_id", "name")

@@ -16,7 +16,7 @@ from ..functions.scalar import EXACT
 from ..functions.scalar import recent
 from ..operators.factor import repeat_factor
 from ..operators.joins import substring_join
-from ..operators.nested import PART, id_list_parts, nested_objects, section
+from ..operators.nested import id_lists, nested_objects, section
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,13 +34,13 @@ def attack_stats(t: Tables) -> DataFrame:
                   .alias("overall_defense_success_rate"))
 
 
-def structure_effectiveness(t: Tables, max_len: int = 10) -> DataFrame:
+def structure_effectiveness(t: Tables) -> DataFrame:
     """Per structure, over structures LEFT JOIN attacks ON CHARINDEX(id,
     defense_structures_used) > 0 -- the substring join, as an equi join on
     exploded substrings (``operators.joins.substring_join``)."""
     ds = t["defense_structures"].select("structure_id", F.col("type").alias("defense_type"), "quality")
     ca = t["creature_attacks"].select("attack_id", "outcome", "enemy_casualties", "defense_structures_used")
-    j = substring_join(ds, "structure_id", ca, "defense_structures_used", how="left", max_len=max_len,
+    j = substring_join(ds, "structure_id", ca, "defense_structures_used", how="left",
                        pattern="^-?[0-9]+$", key_chars="[-0-9]")
     return j.groupBy("structure_id", "defense_type", "quality").agg(
         F.count_distinct("attack_id").alias("attacks_defended"),
@@ -159,7 +159,7 @@ def active_threats(t: Tables, as_of: str | _dt.datetime, days: int = 90) -> Data
         F.try_divide(F.sum(F.col("_k") * F.col("_sx")), F.sum(F.col("_k") * F.col("_tx"))).alias("territory_proximity"))
     s = seen.groupBy("type").agg(F.max("date").alias("last_sighting_date"),
                                  F.count_distinct("sighting_id").alias("estimated_numbers"))
-    ids = (id_list_parts(c, "type", "creature_id", "creature_ids", text=True).drop(PART)
+    ids = (id_lists(c, "type", "creature_id", "creature_ids", text=True)
            .withColumnRenamed("type", "_t"))
     ws = w.join(s.withColumnRenamed("type", "_s"), w["type"].eqNullSafe(F.col("_s"))).drop("_s")
     return (ws.join(ids, ws["type"].eqNullSafe(ids["_t"]), "left")

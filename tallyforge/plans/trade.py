@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions import id_list, signed_sum, weighted_sum
 from ..operators.factor import cross_moments, repeat_factor
-from ..operators.nested import PART, id_list_parts, section
+from ..operators.nested import id_lists, section
 
 Tables = Mapping[str, DataFrame]
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"      # totals keep the width of the sum
 
 # Fixed values used by the report text.
 POSITIVE, NEGATIVE = "positive", "negative"
@@ -89,7 +89,7 @@ def import_dependencies(t: Tables) -> DataFrame:
         F.count_distinct("caravan_id").alias("import_diversity"))
     # resource ids per material type: a category-level list, split into
     # bounded parts (several rows for a very large type)
-    ids = id_list_parts(g, "material_type", "material_id", "resource_ids").drop(PART)
+    ids = id_lists(g, "material_type", "material_id", "resource_ids")
     ids = ids.withColumnRenamed("material_type", "_mt")
     return agg.join(ids, agg["material_type"].eqNullSafe(ids["_mt"]), "left").drop("_mt")
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  AQE re-plans joins from runtime sizes (so a
@@ -38,25 +35,4 @@ def build_session(master: str | None = None, app: str = "tallyforge",
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    A cluster names a shared (distributed) folder there and it is used as
-    is.  Only when the setting is absent -- local tests -- a private scratch
-    folder is created, so that ``DataFrame.checkpoint()`` works.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    path = tempfile.mkdtemp(prefix="tallyforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    return builder.getOrCreate()

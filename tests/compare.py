@@ -2,7 +2,7 @@
 compare row count, column names/types and an order-insensitive multiset of
 values.  Used by the tests and by hand:
 
-    python -m tallyforge.checks.compare [sf_dir] [key ...]
+    python -m tests.compare [sf_dir] [key ...]
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def _norm(v):
 
 def duck_connect(sf_dir: str):
     import duckdb
-    from ..sources.tables import DRIVER_TABLES
+    from tallyforge.sources.tables import DRIVER_TABLES
     con = duckdb.connect()
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
@@ -99,7 +99,7 @@ def compare(spark, con, key, query, sql, sf_dir):
 def main(argv):
     sys.path.insert(0, ".")
     import __spark_entry__ as entry
-    from ..session import build_session
+    from tallyforge.session import build_session
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     spark = build_session("local[8]", shuffle_partitions=8, driver_memory="8g")

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallyforge.checks.compare import compare, duck_connect
+from .compare import compare, duck_connect
 from tallyforge.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"

@@ -8,7 +8,7 @@ import tempfile
 import duckdb
 import pytest
 
-from tallyforge.checks.compare import compare
+from .compare import compare
 from tallyforge.plans.catalogue import BODIES, QUERIES, SCHEMA_OF
 
 from .fixtures import materialise, v1_tables, v2_tables

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tallyforge.functions.aggs import trunc_avg
 from tallyforge.functions import guarded_corr, id_text, pct, ratio
 from tallyforge.operators import joins, nested
 from tallyforge.operators.factor import cross_moments, within_key_zero_corr
@@ -140,20 +141,34 @@ def test_extremes_around_matches_naive(spark):
     assert fast == slow
 
 
-def test_related_ids_splits_large_lists_into_parts(spark):
+def test_every_parent_is_one_row_and_every_child_comes_once(spark):
     p = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
     c = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 7), (2, 7)], "fk bigint, id bigint")
-    out = nested.related_ids(p, "k", {"ids": nested.Child(c, "fk", "id")}, max_ids_per_row=8).collect()
-    by_key = {}
-    for r in out:
-        by_key.setdefault(r.k, []).append(r.related_entities.ids)
-    assert len(by_key[1]) == 5                       # ceil(40 / 8) parts
-    assert sorted(i for part in by_key[1] for i in part) == list(range(40))
-    assert all(part == sorted(part) for part in by_key[1])
-    assert by_key[2] == [[7, 7]] and by_key[3] == [[]]
+    out = {r.k: r.related_entities.ids for r in nested.related_ids(p, "k", {"ids": nested.Child(c, "fk", "id")}).collect()}
+    assert out == {1: list(range(40)), 2: [7, 7], 3: []}
+    two = nested.nested_objects(nested.nested_objects(p, "k", c, "fk", ["id"], "a"), "k", c, "fk", ["id"], "b")
+    rows = two.where("k = 1").collect()
+    assert len(rows) == 1 and len(rows[0].a) == len(rows[0].b) == 40
+    long = nested.ids_long("k", {"ids": nested.Child(c, "fk", "id"), "more": nested.Child(c, "fk", "id", F.col("id") < 3)})
+    got = sorted(tuple(r) for r in long.collect())
+    assert len(got) == 44 and (2, "ids", "7", 2) in got and (1, "more", "2", 1) in got
 
 
-def test_id_list_parts_keeps_null_group(spark):
+def test_id_lists_keep_null_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, id bigint")
-    out = {r.g: r.ids for r in nested.id_list_parts(df, "g", "id", "ids").collect()}
+    out = {r.g: r.ids for r in nested.id_lists(df, "g", "id", "ids").collect()}
     assert out == {None: [1, 2], "a": [3]}
+
+
+def test_substring_join_finds_long_ids(spark):
+    keys = spark.createDataFrame([(12345678901,), (1234567890123456789,), (5,)], "k bigint")
+    lists = spark.createDataFrame([("12345678901,5",), ("x1234567890123456789",)], "l string")
+    got = sorted((r.k, r.l) for r in joins.substring_join(keys, "k", lists, "l", how="inner", pattern="^-?[0-9]+$", key_chars="[-0-9]").collect())
+    naive = sorted((k.k, t.l) for k in keys.collect() for t in lists.collect() if str(k.k) in t.l)
+    assert got == naive and (12345678901, "12345678901,5") in got
+
+
+def test_truncated_average_is_exact_above_2_to_53(spark):
+    df = spark.createDataFrame([(1, 9007199254740993), (2, -3), (2, -4), (3, None)], "g int, v bigint")
+    got = {r.g: r.a for r in df.groupBy("g").agg(trunc_avg("v").alias("a")).collect()}
+    assert got == {1: 9007199254740993, 2: -3, 3: None}
