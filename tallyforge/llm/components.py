@@ -74,9 +74,30 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     return sets.select("node", F.size("hashes").alias("n"), F.array(*words).alias("sketch"))
 
 
+def _apart(a, b):
+    """Hamming distance of two sketches of equal length."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+
+
+def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) less those that the sketches of large sets rule out.
+    512 bits say nothing about sets of thousands; ``wide`` has a bit for each
+    element, its length a power of two, and is empty for sets that ``sketch``
+    serves.  The longer of two is folded (its halves xor-ed), which keeps the
+    bound; sets that may link differ by at most one doubling."""
+    x, y = F.col("wide"), F.col("wide2")
+    half = lambda c: F.floor(F.size(c) / 2).cast("int")
+    fold = lambda c: F.zip_with(F.slice(c, 1, half(c)), F.slice(c, half(c) + 1, half(c)), lambda p, q: p.bitwiseXOR(q))
+    apart = _apart(F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y))
+    fits = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
+    both = pairs.join(profiles.select(F.col("node").alias("a"), "n", "wide"), "a").join(
+        profiles.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("wide").alias("wide2")), "b")
+    return both.where((F.size(x) == 0) | (F.size(y) == 0) | fits).select("a", "b")
+
+
 def _likely(percent: int):
     """What a link's sizes and parity sketches must satisfy."""
-    apart = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    apart = _apart(F.col("sketch"), F.col("sketch2"))
     return ((100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
             & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))))
 
@@ -85,7 +106,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
                       percent: int, rounds: int = 2) -> DataFrame:
     """Components of the links (Jaccard similarity of at least ``percent``)
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
-    only, ``profiles`` (node, n, sketch) their nodes; both are materialised.
+    only, ``profiles`` (node, n, sketch, perhaps wide) their nodes; both are materialised.
     ``fetch`` takes materialised nodes and gives their sets (node, hashes).
 
     Keys of up to ``SMALL_GROUP`` nodes are compared pair by pair at once.
@@ -95,6 +116,8 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     pair by pair.  Pairs whose sizes or parity sketches rule a link out are
     not compared: no link is lost, and pairs inside a component, which can't
     change the result, are never made."""
+    wide, every = "wide" in profiles.columns, profiles
+    profiles = every.select("node", "n", "sketch")
     second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
 
     def every_pair(here: DataFrame) -> DataFrame:
@@ -125,6 +148,8 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
         if pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.unionByName(pairs)
+        if wide:
+            pairs = cut(_wide_enough(pairs, every, percent))
         sets = fetch(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         good = _similar(pairs, sets, percent)
         edges = cut(good if edges is None else edges.unionByName(good))

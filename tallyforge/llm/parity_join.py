@@ -9,7 +9,7 @@ distance, and with it the number of differing words, is at most the
 symmetric difference: two linked sets agree in at least one word.  Classes
 are joined on (band, word number, word); sets near the top of a band are
 also sketched for the next one.  Of the candidates, those whose sizes and
-512-bit sketches allow a link are verified by exact set similarity
+sketches (512 bits, a bit an element for larger sets) allow a link are verified by exact set similarity
 (``linked_components``).
 
 Defined results: null or empty text and text without words have an empty
@@ -70,6 +70,17 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(at, minlength=512) & 1).astype(np.uint8), bitorder="little").view("<u8")
 
 
+def wide_sketch(s: np.ndarray) -> np.ndarray:
+    """A parity bit for each element of a set of more than 512, rounded up to
+    a power of two; folded to 512 bits it is ``sketch``."""
+    if len(s) <= 512:
+        return np.zeros(0, U)
+    j = (len(s) - 1).bit_length() - 9
+    word = (s & U(7)) + (((s >> U(9)) & U((1 << j) - 1)) << U(3))
+    at = (word * U(64) + ((s >> U(3)) & U(63))).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=512 << j) & 1).astype(np.uint8), bitorder="little").view("<u8")
+
+
 def set_hashes(s: np.ndarray) -> tuple[int, int]:
     """128 bits that tell a set from others: sums of two mixings."""
     h1, h2 = mix(s ^ U(0x243F6A8885A308D3)).sum(dtype=U), mix(s + U(0x13198A2E03707344)).sum(dtype=U)
@@ -88,7 +99,7 @@ def _summaries(k: int, percent: int):
         bounds = band_bounds(1 << 12)
         for batch in chunks(batches, "text", CHUNK):
             w = split_words(batch.column("text"), SPACE_WORDS)
-            sizes, one, two, sketches, keys = [], [], [], [], []
+            sizes, one, two, sketches, wide, keys = [], [], [], [], [], []
             for doc in range(batch.num_rows):
                 s = shingles(w, doc, k)
                 if len(s) >= bounds[-3]:
@@ -98,11 +109,12 @@ def _summaries(k: int, percent: int):
                 one.append(h[0])
                 two.append(h[1])
                 sketches.append(sketch(s))
+                wide.append(wide_sketch(s))
                 keys.append(block_keys(s, percent, bounds) if len(s) else np.zeros(0, U))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()),
-                 pa.array(two, pa.int64()), _lists(sketches), _lists(keys)],
-                ["doc_id", "text_hash", "n_shingles", "h1", "h2", "sketch", "keys"])
+                 pa.array(two, pa.int64()), _lists(sketches), _lists(wide), _lists(keys)],
+                ["doc_id", "text_hash", "n_shingles", "h1", "h2", "sketch", "wide", "keys"])
 
     return run
 
@@ -123,13 +135,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     component_id."""
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     id_type = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, keys array<long>"
+    schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, wide array<long>, keys array<long>"
     rows = cut(d.mapInArrow(_summaries(k, percent), schema), 5_000)
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
     keys = shared_only(keys, unique=False)
     nodes = cut(keys.select(F.col("node").alias("h1")).distinct())
-    profiles = semi(full, nodes, "h1").select(F.col("h1").alias("node"), F.col("n_shingles").alias("n"), "sketch")
+    profiles = semi(full, nodes, "h1").select(F.col("h1").alias("node"), F.col("n_shingles").alias("n"), "sketch", "wide")
     profiles = cut(profiles.dropDuplicates(["node"]))
 
     def fetch(wanted: DataFrame) -> DataFrame:

@@ -151,3 +151,46 @@ def test_pipeline_against_brute_rules(spark, tmp_path):
     for a in sets:
         for b in sets:
             assert a == b or 100 * len(sets[a] & sets[b]) < 80 * len(sets[a] | sets[b])
+
+
+def test_wide_sketches_bound_the_difference_when_folded():
+    import numpy as np
+
+    from tallyforge.llm.parity_join import sketch, wide_sketch
+    rng = np.random.default_rng(5)
+    for n, changed in ((520, 3), (1020, 9), (1030, 200), (4000, 700)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[changed:], rng.integers(0, 1 << 63, changed + 10, dtype=np.uint64))))
+        x, y = wide_sketch(a), wide_sketch(b)
+        while len(x) != len(y):
+            x, y = (x[:len(x) // 2] ^ x[len(x) // 2:], y) if len(x) > len(y) else (x, y[:len(y) // 2] ^ y[len(y) // 2:])
+        assert sum(int(v).bit_count() for v in x ^ y) <= len(np.setxor1d(a, b))
+        while len(x) > 8:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        assert (x == sketch(a)).all()
+
+
+def test_long_documents_link_across_sketch_lengths(spark):
+    import random
+
+    from tallyforge.llm.parity_join import near_duplicates
+    rng = random.Random(11)
+    texts = []
+    for base in (500, 1010, 2040):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(base)]
+        for cut_at in (0, 8, 30, 150):
+            texts.append(" ".join(words[cut_at:] + [f"z{rng.randrange(10**6)}" for _ in range(cut_at * 2)]))
+    sets = []
+    for t in texts:
+        w = t.split(" ")
+        sets.append({tuple(w[i:i + 3]) for i in range(len(w) - 2)})
+    comp = list(range(len(texts)))
+    for _ in texts:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if 100 * len(x & y) >= 90 * len(x | y):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    assert len(set(comp)) < len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert got == dict(enumerate(comp))
