@@ -87,8 +87,7 @@ def import_dependencies(t: Tables) -> DataFrame:
         weighted_sum("quantity", "material_type", IMPORT_WEIGHTS, IMPORT_DEFAULT_WEIGHT).alias("dependency_score"),
         F.sum("quantity").alias("total_imported"),
         F.count_distinct("caravan_id").alias("import_diversity"))
-    # resource ids per material type: a category-level list, split into
-    # bounded parts (several rows for a very large type)
+    # resource ids per material type, one array per type as in the text
     ids = id_lists(g, "material_type", "material_id", "resource_ids")
     ids = ids.withColumnRenamed("material_type", "_mt")
     return agg.join(ids, agg["material_type"].eqNullSafe(ids["_mt"]), "left").drop("_mt")
