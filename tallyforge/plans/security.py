@@ -57,8 +57,9 @@ def defense_effectiveness(t: Tables) -> DataFrame:
                     * dec("100")).alias("effectiveness_rate"),
         round_exact(F.avg("avg_enemy_casualties")).alias("avg_enemy_casualties"))
     ids = t["defense_structures"].select(F.col("type").alias("defense_type"), "structure_id")
-    return nested_objects(g, "defense_type", ids, "defense_type", ["structure_id"], "structure_ids",
-                          order=["structure_id"])
+    out = nested_objects(g, "defense_type", ids, "defense_type", ["structure_id"], "structure_ids",
+                         order=["structure_id"])
+    return out.orderBy(F.desc("effectiveness_rate"), "defense_type")
 
 
 def zone_vulnerability(t: Tables) -> DataFrame:
@@ -102,8 +103,9 @@ def vulnerability_analysis(t: Tables) -> DataFrame:
                          "defense_coverage_structures", order=["structure_id"])
     squads = t["military_coverage_zones"].select("zone_id", "squad_id",
                                                  F.col("response_time_to_zone").alias("response_time"))
-    return nested_objects(out, "zone_id", squads, "zone_id", ["squad_id", "response_time"],
-                          "defense_coverage_squads", order=["squad_id", "response_time"])
+    out = nested_objects(out, "zone_id", squads, "zone_id", ["squad_id", "response_time"],
+                         "defense_coverage_squads", order=["squad_id", "response_time"])
+    return out.orderBy(F.desc("vulnerability_score"), "zone_id")
 
 
 def military_readiness(t: Tables) -> DataFrame:
@@ -127,8 +129,9 @@ def military_readiness(t: Tables) -> DataFrame:
                    "current_members", "avg_combat_skill", "combat_effectiveness")
     cov = t["military_coverage_zones"].select("squad_id", "zone_id",
                                               F.col("response_time_to_zone").alias("response_time"))
-    return nested_objects(out, "squad_id", cov, "squad_id", ["zone_id", "response_time"],
-                          "response_coverage", order=["zone_id", "response_time"])
+    out = nested_objects(out, "squad_id", cov, "squad_id", ["zone_id", "response_time"],
+                         "response_coverage", order=["zone_id", "response_time"])
+    return out.orderBy(F.desc("readiness_score"), "squad_id")
 
 
 def security_evolution(t: Tables) -> DataFrame:
@@ -138,7 +141,7 @@ def security_evolution(t: Tables) -> DataFrame:
     g = ca.groupBy(F.year("date").alias("year")).agg(
         F.count(F.lit(1)).alias("total_attacks"),
         pct(count_where(F.col("casualties") == 0), F.count(F.lit(1)), guard=0).alias("defense_success_rate"))
-    return g.withColumn("previous_year_success_rate", F.lag("defense_success_rate").over(Window.orderBy("year")))
+    return g.withColumn("previous_year_success_rate", F.lag("defense_success_rate").over(Window.orderBy("year"))).orderBy("year")
 
 
 def active_threats(t: Tables, as_of: str | _dt.datetime, days: int = 90) -> DataFrame:

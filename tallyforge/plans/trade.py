@@ -157,7 +157,7 @@ def trade_timeline(t: Tables) -> DataFrame:
     return tx.groupBy(F.year("date").alias("year"), F.quarter("date").alias("quarter")).agg(
         F.sum("value").cast(MONEY).alias("quarterly_value"),
         signed_sum("value", "balance_direction", POSITIVE, NEGATIVE).cast(MONEY).alias("quarterly_balance"),
-        F.count_distinct("civilization_type").alias("trade_diversity"))
+        F.count_distinct("civilization_type").alias("trade_diversity")).orderBy("year", "quarter")
 
 
 def trade_report(t: Tables, with_ids: bool = False) -> DataFrame:
