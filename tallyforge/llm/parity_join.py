@@ -3,12 +3,15 @@
 A document's set is its distinct 3-word shingles (A-Z lower-cased; with
 fewer words the whole sequence).  Equal sets form one class.  Sets of
 Jaccard similarity >= p % differ in at most d = (a + b)(100 - p) // (100 + p)
-shingles.  Per size band the sketch has d + 1 words of 64 bits, d taken at
-the band's upper end; every shingle flips one bit, so the sketches' Hamming
-distance, and with it the number of differing words, is at most the
-symmetric difference: two linked sets agree in at least one word.  Classes
-are joined on (band, word number, word); sets near the top of a band are
-also sketched for the next one.  Of the candidates, those whose sizes and
+shingles.  Per size band the sketch has half again as many words as d + 1,
+of 1,024 bits, d taken at the band's upper end; every shingle flips one bit,
+so the sketches' Hamming distance, and with it the number of differing
+words, is at most the symmetric difference: of m words two linked sets agree
+in at least m - d.  Ordered by set bits (most first) and hash, an order that
+is the same for all sets, one of these words is among the first d + 1 of
+both: the words of few bits, which agree by chance, are never needed.
+Classes are joined on (band, word number, word); sets near the top of a band
+are also sketched for the next one.  Of the candidates, those whose sizes and
 sketches (512 bits, a bit an element for larger sets) allow a link are verified by exact set similarity
 (``linked_components``).
 
@@ -34,6 +37,7 @@ from .util import cut, few, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
+WORD_BITS = 1024
 
 
 def band_bounds(most: int, ratio: float = 1.4) -> list[int]:
@@ -54,13 +58,17 @@ def block_keys(s: np.ndarray, percent: int, bounds: list[int]) -> np.ndarray:
         d = 2 * (bounds[b + 1] - 1) * (100 - percent) // (100 + percent)
         if d == 0:                       # only equal sets link, which are one class
             continue
-        m = d + 1
+        m = d + 1 + (d + 1) // 2
         word = ((s >> U(32)) * U(m)) >> U(32)
-        at = (word * U(64) + (s & U(63))).astype(np.int64)
-        odd = (np.bincount(at, minlength=64 * m) & 1).astype(np.uint8)
-        words = np.packbits(odd, bitorder="little").view("<u8")
+        at, times = np.unique(word * U(WORD_BITS) + (s & U(WORD_BITS - 1)), return_counts=True)
+        at = at[times & 1 == 1]          # the sketch's set bits
+        word = (at // U(WORD_BITS)).astype(np.int64)
+        ones = np.bincount(word, minlength=m)
+        value = np.zeros(m, U)
+        np.bitwise_xor.at(value, word, mix(at))
         place = (np.arange(m, dtype=U) << U(16)) + U(b)
-        out.append(mix(mix(words) + place * U(0x9E3779B97F4A7C15)))
+        keys = mix(mix(value) + place * U(0x9E3779B97F4A7C15))
+        out.append(keys[np.lexsort((keys, -ones))[:d + 1]])
     return np.concatenate(out) if out else np.zeros(0, U)
 
 

@@ -194,3 +194,28 @@ def test_long_documents_link_across_sketch_lengths(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
     assert got == dict(enumerate(comp))
+
+
+def test_block_keys_of_linked_sets_meet_and_others_seldom_do():
+    import numpy as np
+
+    from tallyforge.llm.parity_join import band_bounds, block_keys
+
+    rng = np.random.default_rng(11)
+    bounds = band_bounds(8000)
+    for percent in (80, 90):
+        for n in [4, 7, 20, 55, 200, 1000, 4000] * 6:
+            union = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            n = len(union)
+            loose = n * (100 - percent) // 100          # the most that may be outside the intersection
+            cut_a = int(rng.integers(0, loose + 1))
+            order = rng.permutation(n)
+            a, b = np.sort(union[order[cut_a:]]), np.sort(union[order[:n - loose + cut_a]])
+            same = len(np.intersect1d(a, b))
+            assert 100 * same >= percent * len(np.union1d(a, b))
+            ka, kb = block_keys(a, percent, bounds), block_keys(b, percent, bounds)
+            assert np.array_equal(a, b) or len(np.intersect1d(ka, kb)), (percent, n, loose)
+        apart = [block_keys(np.unique(rng.integers(0, 1 << 63, int(rng.integers(3000, 4200)), dtype=np.uint64) * np.uint64(2)),
+                            percent, bounds) for _ in range(40)]
+        met = sum(len(np.intersect1d(x, y)) > 0 for i, x in enumerate(apart) for y in apart[:i])
+        assert met < 0.1 * 780, met
