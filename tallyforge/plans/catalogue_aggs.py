@@ -110,9 +110,11 @@ def cond_min_max(spark, d):
     is_err = F.col("event_type") == "error"
     marks = e.groupBy("user_id").agg(min_where("ts", is_err).alias("first_error"),
                                      max_where("ts", is_err).alias("last_error"))
-    return e.join(marks, "user_id").groupBy("user_id").agg(
-        min_where("value", F.col("ts") <= F.col("first_error")).alias("value_before"),
-        max_where("value", F.col("ts") >= F.col("last_error")).alias("value_after"))
+    # by (user, salt) first: with an exchange after it, AQE may split a busy user's join
+    parts = e.join(marks, "user_id").groupBy("user_id", F.pmod(F.xxhash64("ts", "value"), F.lit(64)).alias("salt")).agg(
+        min_where("value", F.col("ts") <= F.col("first_error")).alias("before"),
+        max_where("value", F.col("ts") >= F.col("last_error")).alias("after"))
+    return parts.groupBy("user_id").agg(F.min("before").alias("value_before"), F.max("after").alias("value_after"))
 
 
 @register("ratio_avg_skip_zero", """SELECT p_type, round(AVG(CASE WHEN p_size - 1 = 0 THEN NULL

@@ -1,6 +1,6 @@
 """W23 security report: attack statistics, structure effectiveness (a
 substring join), zone vulnerability, military readiness, a yearly
-evolution with LAG, and active threats -- one row of scalars + sections.
+evolution with LAG, and active threats, one DataFrame each.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..functions.scalar import EXACT
 from ..functions.scalar import recent
 from ..operators.factor import repeat_factor
 from ..operators.joins import substring_join
-from ..operators.nested import id_lists, nested_objects, section
+from ..operators.nested import id_lists, nested_objects
 
 Tables = Mapping[str, DataFrame]
 
@@ -168,26 +168,3 @@ def active_threats(t: Tables, as_of: str | _dt.datetime, days: int = 90) -> Data
     return (ws.join(ids, ws["type"].eqNullSafe(ids["_t"]), "left")
             .select(F.col("type").alias("creature_type"), "threat_level", "last_sighting_date",
                     "territory_proximity", "estimated_numbers", "creature_ids"))
-
-
-def security_report(t: Tables, as_of: str | _dt.datetime) -> DataFrame:
-    """One row: three scalars and five sections (arrays of objects)."""
-    return (attack_stats(t)
-            .crossJoin(section(active_threats(t, as_of), ["creature_type", "threat_level", "last_sighting_date",
-                                                          "territory_proximity", "estimated_numbers",
-                                                          "creature_ids"], "active_threats"))
-            .crossJoin(section(vulnerability_analysis(t),
-                               ["zone_id", "zone_name", "vulnerability_score", "historical_breaches",
-                                "fortification_level", "access_points", "defense_coverage_structures",
-                                "defense_coverage_squads"], "vulnerability_analysis",
-                               order=["-vulnerability_score"]))
-            .crossJoin(section(defense_effectiveness(t), ["defense_type", "effectiveness_rate",
-                                                          "avg_enemy_casualties", "structure_ids"],
-                               "defense_effectiveness", order=["-effectiveness_rate"]))
-            .crossJoin(section(military_readiness(t), ["squad_id", "squad_name", "readiness_score",
-                                                       "current_members", "avg_combat_skill",
-                                                       "combat_effectiveness", "response_coverage"],
-                               "military_readiness_assessment", order=["-readiness_score"]))
-            .crossJoin(section(security_evolution(t), ["year", "total_attacks", "defense_success_rate",
-                                                       "previous_year_success_rate"], "security_evolution",
-                               order=["year"])))

@@ -1,10 +1,8 @@
 """W22 trade report: totals, per-civilization data, import dependencies,
-export effectiveness and a quarterly timeline, plus the one-object
-document that nests them.
+export effectiveness and a quarterly timeline.
 
-Each section is its own DataFrame (a few rows per group value); the
-document assembly at the end is a thin last step for callers who want the
-single JSON object.
+Each section is its own DataFrame (a few rows per group value);
+``operators.nested.section_facts`` stacks them as one report.
 """
 
 from __future__ import annotations
@@ -14,9 +12,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import id_list, signed_sum, weighted_sum
+from ..functions import signed_sum, weighted_sum
 from ..operators.factor import cross_moments, repeat_factor
-from ..operators.nested import id_lists, section
+from ..operators.nested import id_lists
 
 Tables = Mapping[str, DataFrame]
 MONEY = "decimal(38,2)"      # totals keep the width of the sum
@@ -158,43 +156,3 @@ def trade_timeline(t: Tables) -> DataFrame:
         F.sum("value").cast(MONEY).alias("quarterly_value"),
         signed_sum("value", "balance_direction", POSITIVE, NEGATIVE).cast(MONEY).alias("quarterly_balance"),
         F.count_distinct("civilization_type").alias("trade_diversity")).orderBy("year", "quarter")
-
-
-def trade_report(t: Tables, with_ids: bool = False) -> DataFrame:
-    """The single object: 3 scalars + 4 arrays of section rows.
-
-    Sections are collected into one row, so this is for reports whose
-    sections are small.  The text's ``caravan_ids`` and ``workshop_ids``
-    repeat every id once per fan-out row (n_tx * max(n_events, 1) per
-    caravan), which grows without bound; they are nested only with
-    ``with_ids=True`` and are otherwise served in long form by
-    ``civilization_caravans`` / ``export_workshops`` (id, occurrences).
-    """
-    civ = civilization_data(t)
-    exp = export_effectiveness(t)
-    civ_cols = ["civilization_type", "total_caravans", "total_trade_value", "trade_balance",
-                "trade_relationship", "diplomatic_correlation"]
-    exp_cols = ["workshop_type", "product_type", "export_ratio", "avg_markup"]
-    if with_ids:
-        ids = (civilization_caravans(t)
-               .select("civilization_type",
-                       F.explode(F.array_repeat("caravan_id", F.col("occurrences").cast("int"))).alias("caravan_id"))
-               .groupBy("civilization_type").agg(id_list("caravan_id").alias("caravan_ids")))
-        civ = civ.join(ids, "civilization_type", "left")
-        wids = (export_workshops(t)
-                .select("workshop_type", "product_type",
-                        F.explode(F.array_repeat("workshop_id", F.col("occurrences").cast("int"))).alias("workshop_id"))
-                .groupBy("workshop_type", "product_type").agg(id_list("workshop_id").alias("workshop_ids")))
-        exp = exp.join(wids, ["workshop_type", "product_type"], "left")
-        civ_cols.append("caravan_ids")
-        exp_cols.append("workshop_ids")
-    imports = import_dependencies(t)
-    imp_cols = ["material_type", "dependency_score", "total_imported", "import_diversity"]
-    if with_ids:
-        imp_cols.append("resource_ids")
-    return (trade_totals(t)
-            .crossJoin(section(civ, civ_cols, "civilization_trade_data"))
-            .crossJoin(section(imports, imp_cols, "resource_dependency"))
-            .crossJoin(section(exp, exp_cols, "export_effectiveness"))
-            .crossJoin(section(trade_timeline(t), ["year", "quarter", "quarterly_value", "quarterly_balance",
-                                                   "trade_diversity"], "trade_timeline", order=["year", "quarter"])))

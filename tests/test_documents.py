@@ -1,48 +1,19 @@
-"""The one-object / one-row report documents and the JSON-lines sink."""
+"""Stacked report sections and the JSON-lines sink."""
 
 import json
 import os
 import tempfile
 
-import duckdb
-
-from tallyforge.operators.nested import to_document
-from tallyforge.plans import security, trade
+from tallyforge.operators.nested import section_facts
 from tallyforge.sources.sinks import write_json_lines
 
-from .fixtures import materialise, v2_tables
-
-
-def _tables(spark, seed=3):
-    return materialise(spark, duckdb.connect(), v2_tables(seed), tempfile.mkdtemp(prefix="tf-doc-"))
-
-
-def test_trade_document_with_ids(spark):
-    t = _tables(spark)
-    doc = json.loads(to_document(trade.trade_report(t, with_ids=True), keep_nulls=False).collect()[0].document)
-    assert {"total_trading_partners", "all_time_trade_value", "civilization_trade_data", "resource_dependency",
-            "export_effectiveness", "trade_timeline"} <= set(doc)
-    # caravan_ids repeat every caravan n_tx * max(n_events, 1) times
-    occ = {(r.civilization_type, r.caravan_id): r.occurrences for r in trade.civilization_caravans(t).collect()}
-    for civ in doc["civilization_trade_data"]:
-        ids = civ["caravan_ids"]
-        assert ids == sorted(ids)
-        assert len(ids) == sum(n for (c, _), n in occ.items() if c == civ["civilization_type"])
-    years = [(y["year"], y["quarter"]) for y in doc["trade_timeline"]]
-    assert years == sorted(years)
-
 
-def test_security_document(spark):
-    t = _tables(spark)
-    row = security.security_report(t, "2024-01-30 12:00:00").collect()[0]
-    assert row.total_recorded_attacks == 24
-    zones = row.vulnerability_analysis
-    scores = [z.vulnerability_score for z in zones if z.vulnerability_score is not None]
-    assert scores == sorted(scores, reverse=True)
-    years = [e.year for e in row.security_evolution]
-    assert years == sorted(years)
-    for prev, cur in zip(row.security_evolution, row.security_evolution[1:]):
-        assert cur.previous_year_success_rate == prev.defense_success_rate
+def test_section_facts_one_row_a_field(spark):
+    df = spark.createDataFrame([(1, None, 2.5, "x", None), (None, "b", None, None, None)],
+                               "k bigint, l string, n double, s string, t timestamp")
+    got = {tuple(r) for r in section_facts("sec", df, ["k", "l"], ["n", "s", "t"]).collect()}
+    assert got == {("sec", "1|", "n", 2.5, None), ("sec", "1|", "s", None, "x")}
+    assert section_facts("sec", df.limit(0), ["k"], ["n"]).count() == 0
 
 
 def test_json_lines_sink(spark):
