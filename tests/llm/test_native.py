@@ -189,3 +189,17 @@ def test_line_dedup_against_brute_force(spark):
     kept = line_dedup.keep_documents(df)
     assert kept.columns == df.columns and 102 not in {r.doc_id for r in kept.collect()}
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_minhash_recall_on_small_sets(spark):
+    rows, pairs = [], 3000
+    for n, size in enumerate((5, 10, 15, 20)):          # pairs that share size * 4 / 5 of size shingles
+        for i in range(pairs):
+            for side in (0, 1):
+                node = (n * pairs + i) * 2 + side
+                rows += [(node, f"{node // 2}/{j}") for j in range(size if side else size * 4 // 5)]
+    keys = line_dedup.set_keys(spark.createDataFrame(rows, "node long, p string")).collect()
+    keys = {r.node: r["keys"] for r in keys}
+    for n in range(4):
+        missed = sum(not set(keys[2 * i]) & set(keys[2 * i + 1]) for i in range(n * pairs, (n + 1) * pairs))
+        assert missed <= 0.01 * pairs, (n, missed)      # 0.3 % for independent hashes
