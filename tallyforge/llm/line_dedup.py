@@ -1,9 +1,7 @@
 """Fuzzy line deduplication by MinHash, DataFrame functions only.
 
-A line's set is its word-anchored character shingles: the line is cut into
-pieces of up to 8 characters, a new piece at every word, and each piece's
-shingle is the 12 characters from its start.  The shingles cover the whole
-line and need one pass over it.  24 MinHashes are the halves of 12 seeded
+A line's set is its character shingles: the 12 characters from every place
+(the whole line if it is shorter).  24 MinHashes are the halves of 12 seeded
 64-bit hashes of a shingle's hash, which order a set independently of each
 other; they are minima, so they are reduced per distinct line before the
 shuffle, and equal lines fall together there.  Eight bands of three (recall
@@ -31,7 +29,7 @@ from .util import cut, semi, without
 BANDS, ROWS = 8, 3
 LEAST = 24
 PERCENT = 80
-PIECES = r"(?s)(?=(.{1,12}))[^\x20\x09-\x0D]{1,8}[\x20\x09-\x0D]*"
+PIECES = r"(?s)(?=(.{12}|\A.{1,11}(?!.)))."
 OUT = ("n_lines", "n_removed")
 
 

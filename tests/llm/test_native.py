@@ -203,3 +203,12 @@ def test_minhash_recall_on_small_sets(spark):
     for n in range(4):
         missed = sum(not set(keys[2 * i]) & set(keys[2 * i + 1]) for i in range(n * pairs, (n + 1) * pairs))
         assert missed <= 0.01 * pairs, (n, missed)      # 0.3 % for independent hashes
+
+
+def test_lines_without_spaces_link_when_shifted(spark):
+    rng = random.Random(8)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(80))
+    url = "https://example.org/" + "".join(rng.choice("abcdefghij0123456789/") for _ in range(75))
+    rows = [(0, han), (1, "x" + han), (2, url), (3, ">" + url), (4, han[::-1]), (5, "x" + url[::-1])]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in out.collect()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
