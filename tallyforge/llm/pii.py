@@ -41,6 +41,9 @@ PATTERN = re.compile(r"""
   | (?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))
   | (?P<card>(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))
 """, re.VERBOSE)
+CARD = re.compile("(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
+GROUP, RUN, AFTER_DIGIT = re.compile("[0-9]+"), re.compile("[0-9]+(?:[ -][0-9]+){0,39}"), re.compile("[0-9][ -]")
+USUAL = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 1)}       # digits of a card's groups
 
 
 class Permuter:
@@ -145,9 +148,16 @@ class Permuter:
         return new and new.isoformat()
 
     def _dmy(self, text: str) -> str | None:
+        """Day first; month first if only that is a date.  Such dates go to
+        others that can only be month-first, so none meets a day-first one."""
         day = parsed(text[6:], text[3:5], text[:2])
-        new = day and self._day(day)
-        return new and f"{new.day:02}{text[2]}{new.month:02}{text[5]}{new.year:04}"
+        if new := day and self._day(day):
+            return f"{new.day:02}{text[2]}{new.month:02}{text[5]}{new.year:04}"
+        new = parsed(text[6:], text[:2], text[3:5]) if day is None else None
+        while new := new and self._day(new):
+            if new.day > 12:
+                return f"{new.month:02}{text[2]}{new.day:02}{text[5]}{new.year:04}"
+        return None
 
     def _email(self, text: str) -> str:
         """Letters stay letters of their case, digits digits, in the name."""
@@ -182,14 +192,60 @@ def parsed(year: str, month: str, day: str) -> dt.date | None:
         return None
 
 
+def card_spans(text: str, groups: list[tuple[int, int]]) -> tuple[tuple[int, int] | None, tuple[int, int] | None]:
+    """The valid card from the first group on that is grouped as usual, and
+    the longest valid one otherwise."""
+    usual, other, digits, sizes = [], None, "", ()
+    for a, b in groups:
+        digits, sizes = digits + text[a:b], (*sizes, b - a)
+        if len(digits) > 19:
+            break
+        if len(digits) >= 13 and luhn(digits[:-1]) == digits[-1]:
+            span = groups[0][0], b
+            if len(sizes) == 1 or sizes in USUAL:
+                usual.insert(0, span)
+            elif sizes[:-1] == (4, 4, 4, 4):
+                usual.append(span)
+            else:
+                other = span
+    return usual[0] if usual else None, other
+
+
+def card_at(text: str, start: int, least: int) -> tuple[int, int] | None:
+    """The card at the digit group ``start``, or one grouped as usual that
+    the span from there would cut.  Odd groupings count if all groups have
+    ``least`` digits."""
+    groups = [(start + g.start(), start + g.end()) for g in GROUP.finditer(RUN.match(text, start)[0])]
+    usual, other = card_spans(text, groups)
+    if usual or not other:
+        return usual
+    inside = [g for g in groups if g[0] < other[1]]
+    if any(b - a < least for a, b in inside):
+        return None
+    later = (card_spans(text, groups[i:])[0] for i in range(1, len(inside)))
+    return next((x for x in later if x), other)
+
+
 def pseudonymise_text(text: str, permuter: Permuter) -> tuple[str, list[tuple[str, int, int]]]:
-    out, spans, at = [], [], 0
-    for m in PATTERN.finditer(text):
-        new = permuter.value(m.lastgroup, m[0])
+    """Cards in odd groupings: from a run's first group on any, later ones of
+    three digits or more, so that rows of small numbers aren't searched for
+    chance check digits; none from within a value of another form."""
+    out, spans, at, look, other = [], [], 0, 0, 0
+    while m := PATTERN.search(text, look):
+        kind, (a, b) = m.lastgroup, m.span()
+        look = a + 1
+        new = permuter.value(kind, m[0]) if kind != "card" else None
+        if new is None and kind != "card":
+            other = max(other, b)
+        if new is None and CARD.match(text, a):
+            first = a <= at + 1 or not AFTER_DIGIT.match(text, a - 2)
+            if span := card_at(text, a, 20 if a < other else 1 if first else 3):
+                kind, (a, b) = "card", span
+                new = permuter.value(kind, text[a:b])
         if new is not None:
-            out += [text[at:m.start()], new]
-            spans.append(({"iso": "date", "dmy": "date"}.get(m.lastgroup, m.lastgroup), m.start(), m.end()))
-            at = m.end()
+            out += [text[at:a], new]
+            spans.append(({"iso": "date", "dmy": "date"}.get(kind, kind), a, b))
+            at = look = b
     return "".join([*out, text[at:]]), spans
 
 

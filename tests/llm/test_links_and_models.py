@@ -219,3 +219,31 @@ def test_block_keys_of_linked_sets_meet_and_others_seldom_do():
                             percent, bounds) for _ in range(40)]
         met = sum(len(np.intersect1d(x, y)) > 0 for i, x in enumerate(apart) for y in apart[:i])
         assert met < 0.1 * 780, met
+
+
+def test_cards_beside_other_numbers_and_month_first_dates():
+    rng = random.Random(4)
+    p = pii.Permuter(b"k")
+    for _ in range(60):                     # some neighbours make a right check digit by chance
+        card = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card += pii.luhn(card)
+        spaced = " ".join(card[i:i + 4] for i in range(0, 16, 4))
+        plain = pii.pseudonymise_text(card, p)[0]
+        wide = " ".join(plain[i:i + 4] for i in range(0, 16, 4))
+        assert plain != card
+        n = rng.randrange(10, 99)
+        for before, own, new, after in (("", spaced, wide, f" {n}/27"), ("", card, plain, f" 1{n}"), (f"{n % 9 + 1} ", spaced, wide, ""),
+                                        (f"{n} ", card, plain, ""), (f"{n} {n} ", spaced, wide, f" 1{n} {n}"), ("2024-13-01 ", spaced, wide, "")):
+            text, spans = pii.pseudonymise_text(before + own + after, p)
+            assert text == before + new + after, (before, own, after)
+            assert spans == [("card", len(before), len(before) + len(own))]
+        both = pii.pseudonymise_text(f"{spaced} {spaced}-{card}", p)[0]
+        assert both == f"{wide} {wide}-{plain}"
+    days = [dt.date(2023, 1, 1) + dt.timedelta(i) for i in range(365)]
+    for own in ([f"{d:%m/%d/%Y}" for d in days], [f"{d:%d/%m/%Y}" for d in days]):
+        assert all(pii.pseudonymise_text(x, p)[1] == [("date", 0, 10)] for x in own)
+    every = {f"{d:%m/%d/%Y}" for d in days} | {f"{d:%d/%m/%Y}" for d in days}
+    new = {pii.pseudonymise_text(x, p)[0] for x in every}
+    assert len(new) == len(every)
+    assert all(pii.parsed(x[6:], x[3:5], x[:2]) or pii.parsed(x[6:], x[:2], x[3:5]) for x in new)
+    assert pii.pseudonymise_text("13/31/2024 and 00/12/2024", p)[1] == []
