@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
@@ -139,8 +139,9 @@ def _sets(k: int):
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, text_hash, n_shingles, n_links,
-    component_id."""
+    """``docs`` (doc_id, text) -> doc_id, text_hash, n_shingles,
+    component_id, comp.  ``comp`` is the component's own hash, null without
+    shingles; ids may be null or shared by different components."""
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     id_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, wide array<long>, keys array<long>"
@@ -164,18 +165,24 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
                .select("h1", "h2", "least", F.coalesce("comp", "h1").alias("comp")))
     classes = cut(classes)
     comps = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
-    ids = classes.join(comps, "comp").select("h1", "h2", "component_id")
-    out = ["doc_id", "text_hash", "n_shingles", "component_id"]
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    ids = classes.join(comps, "comp").select("h1", "h2", "component_id", "comp")
+    out = ["doc_id", "text_hash", "n_shingles", "component_id", "comp"]
+    alone = rows.where("n_shingles = 0").select("*", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("comp"))
     return full.join(ids, ["h1", "h2"]).select(*out).unionByName(alone.select(*out))
 
 
 def keep_first(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """One document of each component stays: the one with the least doc_id
-    (then the least text hash); repeated rows of that one stay together only
-    if they are the same document id and text, of which one row is kept."""
+    (null first, then the least text hash).  Texts without words are their
+    own components.  Of rows equal in doc_id and text one stays."""
     found = near_duplicates(docs, k, percent)
-    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
+    first = found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     alone = found.where("n_shingles = 0").select(F.struct("doc_id", "text_hash").alias("r"))
     keep = first.select("r").unionByName(alone).select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_t")).distinct()
-    return docs.join(keep, (F.xxhash64("text") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n"))
+    keep = cut(keep.join(times, (F.col("_t") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))).select("_id", "_t", "_n"))
+    same = (F.xxhash64("text") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    once = docs.join(few(keep.where("_n = 1")), same, "left_semi")
+    again = docs.join(few(keep.where("_n > 1")), same, "left_semi")          # only repeated rows are shuffled
+    number = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")] or ["doc_id"]))
+    return once.unionByName(again.withColumn("_n", number).where("_n = 1").drop("_n"))

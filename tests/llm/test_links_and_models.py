@@ -247,3 +247,15 @@ def test_cards_beside_other_numbers_and_month_first_dates():
     assert len(new) == len(every)
     assert all(pii.parsed(x[6:], x[3:5], x[:2]) or pii.parsed(x[6:], x[:2], x[3:5]) for x in new)
     assert pii.pseudonymise_text("13/31/2024 and 00/12/2024", p)[1] == []
+
+
+def test_keep_first_goes_by_component_not_by_id(spark):
+    rng = random.Random(13)
+    a, b, c, d, e = (prose(rng, 40) for _ in range(5))
+    rows = [(None, a, "en"), (None, b, "en"), (None, b, "en"), (None, None, "de"), (7, c, "en"), (7, d, "en"),
+            (8, e, "b"), (8, e, "a"), (9, e, "a"), (10, None, "en"), (10, None, "en"), (11, "", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = parity_join.keep_first(df.repartition(3), 5, 80)
+    assert got.columns == df.columns
+    want = [(None, a, "en"), (None, b, "en"), (None, None, "de"), (7, c, "en"), (7, d, "en"), (8, e, "a"), (10, None, "en"), (11, "", "en")]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
