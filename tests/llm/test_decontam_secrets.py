@@ -114,3 +114,28 @@ def test_secret_rules_and_network(spark):
     assert added >= 5                                   # bare keys, found by the network alone
     assert sum(rows[i].spans.count("cnn") for i in range(131, 251)) == 0
     assert secret_scan.scan_secrets(df.limit(0)).count() == 0
+
+
+def test_bare_keys_in_the_sample_are_found(spark):
+    rng = random.Random(10)
+    key = lambda n: "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGH0123456789") for _ in range(n))
+    rows = [f"{prose(rng, 20)} secret={key(24)} {prose(rng, 20)} {rng.randrange(10**15, 10**16)}" for _ in range(120)]
+    rows += [f"{prose(rng, 20)} word-and-more-{rng.randrange(99)} {prose(rng, 9)}" for _ in range(120)]
+    first = len(rows)
+    rows += [f"key is {key(24)} here" for _ in range(60)]
+    rows += [f"see /usr/share/common/files/of/the/project/{key(28)} here" for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(df).collect()}          # trained on the same documents
+    assert sum("cnn" in got[i].spans for i in range(first, first + 60)) >= 54
+    assert sum("cnn" in got[i].spans for i in range(first + 60, len(rows))) >= 17
+    assert sum("cnn" in got[i].spans for i in range(120, 240)) <= 3
+
+
+def test_candidates_keep_what_rules_leave():
+    text = "Zx9Kq2Lm8Rt4Vb7Nw1/deadbeefdeadbeef/Qw3Er5Ty7Ui9Op1As"
+    rules = secret_scan.rule_spans(text)
+    assert [text[a:b] for a, k, b in rules] == ["deadbeefdeadbeef"]
+    assert [text[a:b] for a, b in secret_scan.other_candidates(text, rules)] == ["Zx9Kq2Lm8Rt4Vb7Nw1/", "/Qw3Er5Ty7Ui9Op1As"]
+    long = "a" * 50 + "Zx9Kq2Lm8Rt4Vb7Nw1Zx9Kq2Lm8Rt4Vb"
+    assert len(secret_scan.windows(long, 0, len(long))) == len(long) - secret_scan.INSIDE + 1
+    assert secret_scan.windows(long, 0, len(long))[-1][16:48].decode() == long[-32:]
