@@ -3,9 +3,10 @@
 Every template's 3-word shingles are hashed and winnowed (the least hash of
 each run of three); the kept ones form an inverted index from hash to
 (template, place).  All 3-word shingles of a text are looked up in it; hits
-of one template that lie close together are a candidate region, which is
-aligned with the template by dynamic programming in a band around the hits'
-diagonals.  A match is reported when at least ``least`` of the template's
+of one template on diagonals no further apart than a passing match can stray
+are a candidate region, which is aligned with the template by dynamic
+programming in a band around the hits' diagonals; the match's words are
+masked and the rest aligned again, and a region that doesn't pass is divided.  A match is reported when at least ``least`` of the template's
 words, and of the words in its span, are aligned, with coverage and span.  Words outside the templates'
 vocabulary can't be part of a shingle and are passed over by array
 operations; the index has the size of the templates.
@@ -29,7 +30,6 @@ from .util import without
 from .vector import ALNUM_WORDS, U, Words, chunks, mix, split_words
 
 K, RUN = 3, 3
-BAND = 12
 LEAST = 0.8
 CHUNK = 4 << 20
 OUT = {"n_matches": "long", "licenses": "string", "matches":
@@ -158,16 +158,28 @@ def document_matches(ids: np.ndarray, hits, index: Index, least: float) -> list[
         p, diagonal = at[own], at[own] - place[own]
         by = np.lexsort((p, diagonal))
         p, diagonal = p[by], diagonal[by]
-        # hits on diagonals at most BAND apart and no further than the template's length are one region
-        new = (np.diff(diagonal) > BAND) | (np.abs(np.diff(p)) > len(index.words[t]) + BAND)
+        # a passing match strays by at most ``drift`` from the diagonal of any of its hits
+        size = len(index.words[t])
+        drift = int(size * (1 / least - 1) + 1e-9)
+        new = (np.diff(diagonal) > drift) | (np.abs(np.diff(p)) > size + drift)
         found = []
-        for group in np.split(np.arange(len(p)), np.flatnonzero(new) + 1):
-            d0, d1 = int(diagonal[group].min()), int(diagonal[group].max())
-            start = d0 - BAND
-            lo, hi = max(0, start), min(len(ids), d1 + BAND + len(index.words[t]))
-            n, a, b = align(index.words[t], ids[lo:hi], d0 - BAND - lo, d1 + BAND - lo)
-            if n >= least * len(index.words[t]) and n >= least * (b - a + 1):
+        todo = [(g, ids) for g in np.split(np.arange(len(p)), np.flatnonzero(new) + 1)]
+        while todo:
+            group, text = todo.pop()
+            d0, d1 = int(diagonal[group[0]]) - drift, int(diagonal[group[-1]]) + drift
+            lo, hi = max(0, d0), min(len(ids), d1 + size)
+            n, a, b = align(index.words[t], text[lo:hi], d0 - lo, d1 - lo)
+            if n >= least * size and n >= least * (b - a + 1):
                 found.append((-n, a + lo, b + lo))
+                rest = group[(p[group] + K <= a + lo) | (p[group] > b + lo)]
+                if len(rest):
+                    text = text.copy()
+                    text[a + lo:b + lo + 1] = 0                   # aligned words are used up
+                gaps = np.flatnonzero(np.diff(diagonal[rest]) > drift) + 1
+                todo += [(g, text) for g in np.split(rest, gaps) if len(g)]
+            elif diagonal[group[0]] < diagonal[group[-1]]:        # words of several places: apart at the widest gap
+                cut = int(np.diff(diagonal[group]).argmax()) + 1
+                todo += [(group[:cut], text), (group[cut:], text)]
         kept: list[tuple[int, int, int]] = []
         for n, a, b in sorted(found):
             if all(b < x or y < a for _, x, y in kept):

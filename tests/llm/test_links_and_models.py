@@ -259,3 +259,26 @@ def test_keep_first_goes_by_component_not_by_id(spark):
     assert got.columns == df.columns
     want = [(None, a, "en"), (None, b, "en"), (None, None, "de"), (7, c, "en"), (7, d, "en"), (8, e, "a"), (10, None, "en"), (11, "", "en")]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+def test_license_repeats_close_together_and_long_insertions(spark):
+    rng = random.Random(21)
+    t = license_scan.TEMPLATES
+    notice = t["MIT"].split()
+    middle = len(notice) // 2
+    odd = [t["MIT-line"], "Released under the MIT Licence.", t["MIT-line"] + " Released", t["MIT-line"]]
+    rows = [(t["MIT-line"] + "\n") * 7, "".join(f"src/a{i}.c: {t['CC-BY-NC-4.0-line']}\n" for i in range(9)), (t["ISC"] + "\n") * 3]
+    rows += [" ".join(notice[:middle] + prose(rng, n).split() + notice[middle:]) for n in (13, 16)]
+    rows += ["\n".join(odd)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(df).collect()}
+    assert got[0].licenses == ",".join(["MIT-line"] * 7) and got[1].licenses == ",".join(["CC-BY-NC-4.0-line"] * 9)
+    assert got[2].licenses == ",".join(["ISC"] * 3)
+    assert all(m.coverage == 1 for i in (0, 1, 2) for m in got[i].matches)
+    for i in (3, 4):
+        m = [x for x in got[i].matches if x.license == "MIT"]
+        assert len(m) == 1 and m[0].coverage == 1 and m[0].end - m[0].start >= len(rows[i]) - 1
+    assert got[5].licenses == ",".join(["MIT-line"] * 4)
+    for r in got.values():
+        spans = sorted((m.start, m.end) for m in r.matches if m.license == r.matches[0].license)
+        assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
