@@ -4,9 +4,12 @@ table with production parameters, and their SQL where SQL can tell."""
 from __future__ import annotations
 
 
-from . import decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, url_cascade
+import uuid
+
+from . import (decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, token_planes,
+               url_cascade)
 from .oracles import SQL
-from .util import read
+from .util import read, shared_folder
 
 # (host, path, verdict)
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
@@ -60,6 +63,15 @@ def op10_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(read(spark, sf_dir, "documents", "doc_id", "text"), PII_KEY)
 
 
+def op12_token_planes(spark, sf_dir):
+    import public_tokenizers
+
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_planes.write_tokens(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_planes.read_tokens(spark, folder, dict(docs.dtypes)["doc_id"], with_ids=False)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -67,5 +79,5 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_secrets, op3_url_filter, op4_mix, op5_quality, op6_language,
-                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, pipeline)}
+                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, op12_token_planes, pipeline)}
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}
