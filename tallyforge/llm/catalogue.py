@@ -12,7 +12,7 @@ from .oracles import SQL
 from .util import read, shared_folder
 
 # (host, path, verdict)
-URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 PII_KEY = b"catalogue key; a deployment passes its own"
 

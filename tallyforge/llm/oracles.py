@@ -15,7 +15,7 @@ WITH parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM parts
 ), rules(rhost, rpath, verdict) AS (
-  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'),
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
          ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
 ), fits AS (
   SELECT u.page_id, u.host, u.path, rhost || rpath AS rule, verdict,

@@ -17,13 +17,18 @@ def plan_of(df):
 
 # ---- URL filters
 
+# the rules as agreed, on their own: not those of the catalogue
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+         ("block", "com", "/de/")]
+
+
 def brute_url(url):
     url = url or ""
     rest = url.split("://", 1)[1] if "://" in url else ""
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
-    fits = [(len(h + p), len(h), h + p, v) for h, p, v in URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [(len(h + p), len(h), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fits, default=None)
     return host, path, best and best[2], best[3] if best else "allow"
 
@@ -38,6 +43,8 @@ def test_urls_against_brute_force(spark):
     out = url_cascade.judge_urls(pages, rules)
     for r in out.collect():
         assert (r.host, r.path, r.rule, r.verdict) == brute_url(urls[r.page_id]), urls[r.page_id]
+    assert {(h, p, v) for v, h, p in RULES} == set(URL_RULES)
+    assert brute_url("http://a.EXAMPLE.org/en/12")[3] == "block"
     assert "Join" not in plan_of(out)
     assert url_cascade.judge_urls(pages.limit(0), rules).count() == 0
     none = url_cascade.judge_urls(pages, rules.limit(0))
