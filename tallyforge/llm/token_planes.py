@@ -17,9 +17,11 @@ wrote is in no row and never read.  No file, block or prefix sum is held
 whole by the driver or by one task: a task holds a batch of texts, a block
 and its documents' lengths.
 
-Tokenizers that drop white space and never look across it are asked for each
-distinct word of a batch only; ``drops_spaces`` probes for that, others get
-whole texts.
+Tokenizers that drop white space and never look across it are asked for new
+words only (cut at some marks, too, and with A-Z folded, if that is the same
+to them), many at a time with a special token between them; others get whole
+texts.  ``drops_spaces``, ``parts_marks``, ``folds_case`` and ``separator``
+probe for that.  Words are told apart by 64-bit hashes.
 
 Defined results: null and empty text have no ids but the end id; null
 doc_ids come first, ties by text hash; repeated rows are all written; an
@@ -44,13 +46,21 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vector import SPACE_WORDS, chunks, gathered, split_words, text_buffer
+from .vector import SPACE_WORDS, chunks, gathered, hash_spans, text_buffer
 
 MAGIC = b"TFPLANE1"
 FOOTER = struct.Struct("<6Q2I8s")     # documents at, size; index at, size; ids; documents; block; planes; magic
 BLOCK = 1 << 17
-BATCH = 8 << 20
+BATCH = 4 << 20           # bytes of text encoded at once
+RUN = 2_000               # words or texts in one call of the tokenizer
+KNOWN = 500_000           # words a task remembers
 GROUP = 1024              # files whose ids are summed in one step of the prefix sum
+MARKS = ",.;:!?\"()"
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+KIND = np.zeros(256, np.int8)        # 1: a letter, 2: one of MARKS
+KIND[65:91] = KIND[97:123] = 1
+KIND[list(MARKS.encode())] = 2
 PROBES = ("a", "Straße", "don't", "x1,y2", "(é́)", "日本", "\U0001f600!", "--", "Å", "ΣΟΣ")
 
 
@@ -183,21 +193,51 @@ class TokenFile:
         self.file.close()
 
 
+def _added(tokenizer) -> list[dict]:
+    return json.loads(tokenizer.to_str()).get("added_tokens", [])
+
+
 def drops_spaces(tokenizer) -> bool:
     """Whether texts can be encoded word by word: white space leaves no
     ids and nothing looks across it."""
-    rules = json.loads(tokenizer.to_str())
-    words = [*PROBES, *(t["content"] for t in rules.get("added_tokens", ()) if not t["lstrip"] and not t["rstrip"])]
-    if any(t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \t\n\v\f\r") for t in rules.get("added_tokens", ())):
+    if any(t["lstrip"] or t["rstrip"] or set(t["content"]) & set(" \t\n\v\f\r") for t in _added(tokenizer)):
         return False
+    words = [*PROBES, *(t["content"] for t in _added(tokenizer)[:4])]
     one = {w: tokenizer.encode(w, add_special_tokens=False).ids for w in words}
     return all(tokenizer.encode(f"{s}{a}{s}{b}{s}", add_special_tokens=False).ids == one[a] + one[b]
                for a in words for b in words for s in (" ", "\n\t", "\r\v\f"))
 
 
+def parts_marks(tokenizer) -> bool:
+    """Whether a word can also be cut between a letter A-Z and one of
+    ``MARKS``, as runs of letters and of marks are encoded apart."""
+    ids = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
+    added = "".join(t["content"] for t in _added(tokenizer))
+    return not set(added) & set(MARKS) and all(
+        ids(f"{a}{m}{b}") == ids(a) + ids(m) + ids(b) for m in [*MARKS, "...", ".'", "\"--", "),'1", ".\u0301", "(#\u00e9\u0301."]
+        for a in ("Straw", "n't", "I", "\u00e9xX", "1a") for b in ("Berry", "s", "ll've", "x\u0301", "a1"))
+
+
+def folds_case(tokenizer) -> bool:
+    """Whether A-Z and a-z are the same to it (but in added tokens)."""
+    ids = lambda x: tokenizer.encode(x, add_special_tokens=False).ids
+    return all(ids(w.upper()) == ids(w) for w in ("straw", "o's", "x1y", "berry'll've", "abcdefghijklm", "nopqrstuvwxyz", "a\u0301"))
+
+
+def separator(tokenizer) -> tuple[str, int] | None:
+    """A special token, of one id, that parts a text as ends of texts do."""
+    for t in _added(tokenizer):
+        one = {w: tokenizer.encode(w, add_special_tokens=False).ids for w in PROBES}
+        if t["special"] and all(tokenizer.encode(f"{a}{t['content']}{b}", add_special_tokens=False).ids == [*one[a], t["id"], *one[b]]
+                                for a in PROBES for b in PROBES):
+            return t["content"], t["id"]
+    return None
+
+
 @dataclass
 class Encoder:
-    """Batches of texts to one array of ids, the end id behind each text."""
+    """Batches of texts to one array of ids, the end id behind each text.
+    Words met before are looked up; ``KNOWN`` of them are held at most."""
     path: str
     end_id: int
 
@@ -206,37 +246,79 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(self.path)
         self.by_word = drops_spaces(self.tokenizer)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.part = separator(self.tokenizer) if self.by_word else None
+        self.marks, self.fold = parts_marks(self.tokenizer), folds_case(self.tokenizer)
+        self.added = [t["content"].encode().lower() for t in _added(self.tokenizer)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.size, self.begin, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids)."""
+        sizes, flats = [], []
+        for i in range(0, len(texts), RUN):
+            some = texts[i:i + RUN]
+            if self.part and (joined := self.part[0].join(some)).count(self.part[0]) == len(some) - 1:
+                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(ids == self.part[1])
+                if len(ends) == len(some) - 1:
+                    sizes.append(np.diff(np.concatenate(([-1], ends, [len(ids)]))) - 1)
+                    flats.append(np.delete(ids, ends))
+                    continue
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter((i for f in found for i in f), "<u4", int(sizes[-1].sum())))
+        return np.concatenate([np.zeros(0, np.int64), *sizes]), np.concatenate([np.zeros(0, "<u4"), *flats])
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each word among the known ones, first word of each text)."""
+        buf, off = text_buffer(texts)
+        lower = LOWER[buf]
+        plain = lower.tobytes()
+        if self.fold and not any(t in plain for t in self.added):
+            buf = lower
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[off] = True
+        inside = SPACE_WORDS[buf]
+        edge[1:-1] |= inside[1:] != inside[:-1]
+        if self.marks:
+            kind = KIND[buf]
+            edge[1:-1] |= kind[1:] * kind[:-1] == 2
+        starts = np.flatnonzero(edge[:-1] & inside)
+        ends = np.flatnonzero(edge[1:] & inside) + 1
+        hashes, at, which = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
+        if len(self.known) > KNOWN:
+            self._forget()
+        new = ~np.isin(hashes, self.known, assume_unique=True)
+        data = buf.tobytes()
+        size, flat = self._encode([data[i:j].decode() for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
+        known = np.concatenate((self.known, hashes[new]))
+        order = np.argsort(known)
+        self.begin = np.concatenate((self.begin, np.cumsum(size) - size + len(self.flat)))[order]
+        self.size, self.known = np.concatenate((self.size, size))[order], known[order]
+        self.flat = np.concatenate((self.flat, flat))
+        return np.searchsorted(self.known, hashes)[which], np.searchsorted(starts, off)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text with its end id, all ids)."""
         if self.by_word:
-            w = split_words(texts, SPACE_WORDS, lower=False)
-            first, which = w.first, np.zeros(0, np.int64)
-            words: list[str] = []
-            if len(w.hashes):
-                _, at, which = np.unique(w.hashes, return_index=True, return_inverse=True)
-                data = w.buf.tobytes()
-                words = [data[a:b].decode() for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())]
+            which, first = self._words(texts)
+            size, begin, flat = self.size, self.begin, self.flat
         else:
-            first, which = np.arange(len(texts) + 1), np.arange(len(texts))
-            words = [t or "" for t in texts.to_pylist()]
-        found = self._encode(words)
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), "<u4", int(size.sum()))
-        begin = np.cumsum(size) - size
+            first = which = np.arange(len(texts) + 1)
+            size, flat = self._encode([t or "" for t in texts.to_pylist()])
+            begin, which = np.cumsum(size) - size, which[:-1]
         many = size[which]
         ends = np.concatenate(([0], np.cumsum(many)))
         n = np.diff(ends[first])
-        body = np.repeat(begin[which] - ends[:-1], many) + np.arange(ends[-1])
         out = np.full(int(ends[-1]) + len(n), self.end_id, "<u4")
-        out[np.arange(ends[-1]) + np.repeat(np.arange(len(n)), n)] = flat[body]
+        at = np.arange(ends[-1])
+        out[at + np.repeat(np.arange(len(n)), n)] = flat[np.repeat(begin[which] - ends[:-1], many) + at]
         return n + 1, out
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block: int = BLOCK, planes: int = 32) -> None:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block: int = BLOCK, planes: int = 4) -> None:
     """Write the ids of ``docs`` (doc_id, text) into new files of ``folder``
     (which all executors share) and their manifest.  ``planes``: 32 bit or 4
     byte planes; ``tokenizer`` is the path of a tokenizers file."""

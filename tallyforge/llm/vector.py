@@ -71,9 +71,9 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def split_words(texts: pa.Array, table: np.ndarray, lower: bool = True) -> Words:
+def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     raw, off = text_buffer(texts)
-    buf = _LOWER[raw] if lower else raw
+    buf = _LOWER[raw]
     if not len(buf):
         z = np.zeros(0, np.int64)
         return Words(buf, off, z, z, np.zeros(len(off), np.int64), np.zeros(0, U))

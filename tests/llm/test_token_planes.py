@@ -17,7 +17,8 @@ from .helpers import SCHEMA, corpus, prose
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", None, "  ", "a", "İstanbul ΣΑΣ Σ́ x", "<|endoftext|> <|ENDOFTEXT|> a<|startoftext|>b", "é ́ ́x", "don't I'LL  we've",
-       "a b c\u0085d\x1cf", "\U0001f600‍\U0001f600 日本語 12 345", "\x00 \x01", "tab\tnew\r\nline\x0bv\x0cf", "ﬁ Å Å", "x" * 5000]
+       "a b c\u0085d\x1cf", "\U0001f600‍\U0001f600 日本語 12 345", "\x00 \x01", "tab\tnew\r\nline\x0bv\x0cf", "ﬁ Å Å", "x" * 5000,
+       "a,b. (c)d!e?f;g:h\"i 'S. x.'s o'll,'ve ...'t.'re \u0301.a e\u0301,\u0301o don't.Don'T,'D 1.a.2 A\u030a.a\u030a", "Foo FOO foo, fOO."]
 
 
 def expected(rows, end=2):
@@ -40,10 +41,15 @@ def test_planes_round_trip(planes, top):
 
 def test_words_encode_as_whole_texts():
     enc = tp.Encoder(PATH, 2)
-    assert enc.by_word
+    assert enc.by_word and enc.marks and enc.fold and enc.part
     n, ids = enc(pa.array(ODD))
     want = expected(enumerate(ODD))
     assert [p.tolist() for p in np.split(ids, np.cumsum(n))[:-1]] == [w for _, w in want]
+    plain = tp.Encoder(PATH, 2)
+    rng = random.Random(5)
+    mixed = ["".join(rng.choice("aB's.,()!\"\u00e9\u0301 \n1<|\u03a3 ll ve re") for _ in range(60)) for _ in range(300)]
+    n, ids = plain(pa.array(mixed))
+    assert [p.tolist() for p in np.split(ids, np.cumsum(n))[:-1]] == [w for _, w in expected(enumerate(mixed))]
     assert not tp.drops_spaces(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
     whole = tp.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 50256)
     n, ids = whole(pa.array(["a b", None, "x  y\n"]))
