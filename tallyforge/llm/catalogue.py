@@ -3,11 +3,10 @@ table with production parameters, and their SQL where SQL can tell."""
 
 from __future__ import annotations
 
-
 import uuid
 
-from . import (decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, token_planes,
-               url_cascade)
+from . import (decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, spelling,
+               token_planes, url_cascade)
 from .oracles import SQL
 from .util import read, shared_folder
 
@@ -63,6 +62,10 @@ def op10_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(read(spark, sf_dir, "documents", "doc_id", "text"), PII_KEY)
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.group_variants(spelling.vocabulary(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op12_token_planes(spark, sf_dir):
     import public_tokenizers
 
@@ -79,5 +82,5 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_secrets, op3_url_filter, op4_mix, op5_quality, op6_language,
-                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, op12_token_planes, pipeline)}
+                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, op11_spelling, op12_token_planes, pipeline)}
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}
