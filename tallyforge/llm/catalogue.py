@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 
-from . import (decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, spelling,
+from . import (collocations, decontam, lang_id, license_scan, line_dedup, mixing, parity_join, pii, quality, secret_scan, spelling,
                token_planes, url_cascade)
 from .oracles import SQL
 from .util import read, shared_folder
@@ -75,6 +75,10 @@ def op12_token_planes(spark, sf_dir):
     return token_planes.read_tokens(spark, folder, dict(docs.dtypes)["doc_id"], with_ids=False)
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.mine(read(spark, sf_dir, "documents", "text", "lang"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -82,5 +86,5 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_secrets, op3_url_filter, op4_mix, op5_quality, op6_language,
-                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, op11_spelling, op12_token_planes, pipeline)}
+                                   op7_line_dedup, op8_jaccard_join, op9_licenses, op10_pseudonyms, op11_spelling, op12_token_planes, op13_collocations, pipeline)}
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}

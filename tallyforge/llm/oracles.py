@@ -59,3 +59,40 @@ SELECT doc_id, source, size::BIGINT AS size, source_size::BIGINT AS source_size,
        (least(floor(i * e + {random_offset(SEED)!r}::DOUBLE) - floor((i - 1) * e + {random_offset(SEED)!r}::DOUBLE), ceil(e)) * size)::BIGINT AS taken
 FROM steps
 """
+
+SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+  FROM lists, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), halves AS (
+  SELECT lang, k, p, a, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND a >= 10
+), sides AS (
+  SELECT *, p[1:cut] AS lp, p[cut + 1:] AS rp FROM halves
+), cuts AS (
+  SELECT c.lang, c.k, c.p, c.a, c.cut, x.a AS l, y.a AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM sides c JOIN f x ON x.lang = c.lang AND x.p = c.lp JOIN f y ON y.lang = c.lang AND y.p = c.rp
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), longer AS (
+  SELECT lang, p[1:2] AS p, a FROM f WHERE k = 3 AND a >= 10
+  UNION ALL SELECT lang, p[2:3], a FROM f WHERE k = 3 AND a >= 10
+), inside AS (
+  SELECT lang, p, max(a) AS most FROM longer GROUP BY ALL
+), kept AS (
+  SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.p = s.p
+  WHERE s.k = 3 OR most IS NULL OR 100 * most < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
