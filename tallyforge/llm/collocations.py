@@ -42,8 +42,8 @@ TOP = 2_000
 MAP_BITS = 26         # a bit map of hashes: 8 MB
 BLOCK = 400_000       # phrases in a trie
 PASS_BYTES = 96 << 20
-BATCH = 6 << 20
-HELD = 2_000_000      # hashes that a task counts before it hands them on
+BATCH = 2 << 20
+HELD = 1_000_000      # hashes that a task counts at once
 RADIX = 1024          # a word is the symbols id // RADIX and id % RADIX
 
 PARTS = [ord(c) for c in ".,;:!?\n\v\f\r"]
@@ -117,35 +117,24 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(n, pa.int64())], ["key", "lang", "word", "f"])
 
 
-class Counter:
-    """Counts hashes; what can't be held is handed on."""
-
-    def __init__(self):
-        self.keys, self.n = np.zeros(0, U), np.zeros(0, np.int64)
-
-    def add(self, keys: np.ndarray) -> None:
-        keys, n = np.unique(keys, return_counts=True)
-        both = np.concatenate((self.keys, keys))
-        self.keys, at = np.unique(both, return_inverse=True)
-        self.n = np.bincount(at, np.concatenate((self.n, n)), len(self.keys)).astype(np.int64)
-
-    def take(self) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(self.keys.view(np.int64)), pa.array(self.n)], ["key", "f"])
-        self.__init__()
-        return out
+def _sums(keys: list[np.ndarray]) -> pa.RecordBatch:
+    keys, n = np.unique(np.concatenate(keys), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "f"])
 
 
 def _pair_sums(words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = Counter()
+        held, size = [], 0
         for p in _batches(batches):
             known = words.value.has(p.keys)
             at = np.flatnonzero(p.next[:-1] & known[:-1] & known[1:])
-            sums.add(pair_hash(p.keys[at], p.keys[at + 1]))
-            if len(sums.keys) > HELD:
-                yield sums.take()
-        if len(sums.keys):
-            yield sums.take()
+            held.append(pair_hash(p.keys[at], p.keys[at + 1]))
+            size += len(at)
+            if size > HELD:
+                yield _sums(held)
+                held, size = [], 0
+        if size:
+            yield _sums(held)
 
     return run
 
