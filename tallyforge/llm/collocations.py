@@ -41,7 +41,7 @@ SHARE = 50            # percent: of a phrase's occurrences inside one longer can
 TOP = 2_000
 MAP_BITS = 26         # a bit map of hashes: 8 MB
 BLOCK = 400_000       # phrases in a trie
-PASS_BYTES = 96 << 20
+PASS_BYTES = 64 << 20
 BATCH = 2 << 20
 HELD = 1_000_000      # hashes that a task counts at once
 RADIX = 1024          # a word is the symbols id // RADIX and id % RADIX
@@ -303,17 +303,25 @@ def _tries(t: pa.Table) -> pa.Table:
                      "keys": pa.array([keys.tobytes()], pa.binary()), "sizes": pa.array([sizes.astype(np.int8).tobytes()], pa.binary())})
 
 
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The phrases of the blocks and their places in the tries."""
+    for batch in batches:
+        for block, keys, sizes in zip(*[batch.column(c).to_pylist() for c in ("block", "keys", "sizes")]):
+            rows = np.frombuffer(keys, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), block)), pa.array(np.arange(len(rows))), *[pa.array(rows[:, i]) for i in range(3)],
+                                              pa.array(np.frombuffer(sizes, np.int8).astype(np.int64))], ["block", "at", "k1", "k2", "k3", "size"])
+
+
 def _counts(blocks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = [(Trie.load(t), np.frombuffer(k, U).reshape(-1, 3), np.frombuffer(s, np.int8)) for t, k, s in blocks.value]
-        sums = [np.zeros(len(s), np.int64) for _, _, s in tries]
+        tries = {block: Trie.load(sent.value) for block, sent in blocks.items()}
+        sums = {block: np.zeros(int(t.phrase.max(initial=-1)) + 1, np.int64) for block, t in tries.items()}
         for p in _batches(batches):
-            for (trie, _, _), out in zip(tries, sums):
-                trie.count(p, 3, out)
-        for (_, keys, sizes), n in zip(tries, sums):
+            for block, trie in tries.items():
+                trie.count(p, 3, sums[block])
+        for block, n in sums.items():
             at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([*[pa.array(keys[at, i].view(np.int64)) for i in range(3)], pa.array(sizes[at], pa.int64()), pa.array(n[at])],
-                                             ["k1", "k2", "k3", "size", "a"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at), pa.array(n[at])], ["block", "at", "a"])
 
     return run
 
@@ -344,7 +352,7 @@ def phrase_counts(docs: DataFrame, phrases: DataFrame, block: int = BLOCK, pass_
     n = max(1, -(-phrases.count() // block))
     dealt = phrases.withColumn("block", F.pmod(F.xxhash64("k1", "k2", "k3"), F.lit(n)))
     tries = cut(dealt.groupBy("block").applyInArrow(_tries, "block long, trie binary, keys binary, sizes binary"), rows=1)
-    sizes = [(r.block, r.b) for r in tries.select("block", (F.length("trie") + F.length("keys")).alias("b")).orderBy("block").toLocalIterator()]
+    sizes = [(r.block, r.b) for r in tries.select("block", F.length("trie").alias("b")).orderBy("block").toLocalIterator()]
     passes, room = [], 0
     for b, size in sizes:
         if not passes or size > room:
@@ -354,13 +362,15 @@ def phrase_counts(docs: DataFrame, phrases: DataFrame, block: int = BLOCK, pass_
         room -= size
     found = None
     for blocks in passes:
-        rows = tries.where(F.col("block").isin(blocks)).collect()
-        sent = docs.sparkSession.sparkContext.broadcast([(bytes(r.trie), bytes(r.keys), bytes(r.sizes)) for r in rows])
-        sums = docs.mapInArrow(_counts(sent), f"{PHRASE}, a long").groupBy("k1", "k2", "k3", "size").agg(F.sum("a").alias("a"))
-        sums = cut(sums)
-        sent.unpersist()
+        sent = {b: docs.sparkSession.sparkContext.broadcast(bytes(tries.where(F.col("block") == b).select("trie").first().trie)) for b in blocks}
+        sums = cut(docs.mapInArrow(_counts(sent), "block long, at long, a long").groupBy("block", "at").agg(F.sum("a").alias("a")))
+        for s in sent.values():
+            s.unpersist()
         found = sums if found is None else found.unionByName(sums)
-    return found if found is not None else phrases.withColumn("a", F.lit(0).cast("long"))
+    if found is None:
+        return phrases.withColumn("a", F.lit(0).cast("long"))
+    rows = tries.select("block", "keys", "sizes").mapInArrow(_phrases, f"block long, at long, {PHRASE}")
+    return rows.join(found, ["block", "at"]).select("k1", "k2", "k3", "size", "a")
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
