@@ -3,9 +3,9 @@
 Apriori, level by level.  The words of each language are counted first; a
 phrase can only be frequent if its words are, and a phrase of three only if
 both its pairs are, too.  What passes is asked from bit maps of fixed size
-over hashes of the frequent words and pairs: a wrong pass adds a candidate
-and loses none.  The shards' own sums of a candidate's hash bound its count
-from above and leave out the rest, so the candidates are Apriori-safe.
+over hashes of the words, pairs and triples whose hashes come up often
+enough: equal hashes only add to such a sum, so a wrong pass adds a candidate
+and no frequent phrase is lost (Apriori-safe).
 
 Candidates are dealt by hash to blocks of ``BLOCK`` phrases.  A task makes
 each block into a double-array trie (base and check arrays; a word is two
@@ -43,7 +43,9 @@ MAP_BITS = 26         # a bit map of hashes: 8 MB
 BLOCK = 400_000       # phrases in a trie
 PASS_BYTES = 64 << 20
 BATCH = 2 << 20
+SUM_BITS = 40         # of a hash, where its occurrences are summed
 HELD = 1_000_000      # hashes that a task counts at once
+PART = 1 << 13        # counts that travel together
 RADIX = 1024          # a word is the symbols id // RADIX and id % RADIX
 
 PARTS = [ord(c) for c in ".,;:!?\n\v\f\r"]
@@ -84,10 +86,11 @@ class BitMap:
         self.bits = bits
 
     @staticmethod
-    def of(keys: DataFrame) -> BitMap:
-        """``keys`` has the hashes as ``key``; the map is made by tasks, in
-        pieces of 4 KB, and has the same size for any number of them."""
-        at = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("at"))
+    def of(keys: DataFrame, bits_of_key: int = 64) -> BitMap:
+        """``keys`` has the hashes as ``key``, or their first bits; the map is
+        made by tasks, in pieces of 4 KB, and has the same size for any
+        number of them."""
+        at = keys.select(F.shiftrightunsigned("key", bits_of_key - MAP_BITS).alias("at"))
         parts = at.groupBy(F.shiftright("at", 15).alias("p")).agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit(32767))).alias("b"))
         bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
         for r in parts.toLocalIterator():
@@ -122,14 +125,31 @@ def _sums(keys: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "f"])
 
 
-def _pair_sums(words):
+def _passing(p: Positions, words: BitMap, pairs: BitMap | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the pairs of words that the maps let pass."""
+    known = words.has(p.keys)
+    at = np.flatnonzero(p.next[:-1] & known[:-1] & known[1:])
+    two = pair_hash(p.keys[at], p.keys[at + 1])
+    if pairs is None:
+        return at, two
+    ok = pairs.has(two)
+    return at[ok], two[ok]
+
+
+def _triples(p: Positions, at: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs go on to a triple whose last two words pass, and its hash."""
+    on = np.flatnonzero(np.diff(at) == 1)
+    return on, pair_hash(two[on], p.keys[at[on] + 2])
+
+
+def _hash_sums(words, pairs=None):
+    """Counts of the hashes of pairs or, given their map, of triples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for p in _batches(batches):
-            known = words.value.has(p.keys)
-            at = np.flatnonzero(p.next[:-1] & known[:-1] & known[1:])
-            held.append(pair_hash(p.keys[at], p.keys[at + 1]))
-            size += len(at)
+            found = _passing(p, words.value, pairs and pairs.value)
+            held.append((_triples(p, *found) if pairs else found)[1] >> U(64 - SUM_BITS))
+            size += len(held[-1])
             if size > HELD:
                 yield _sums(held)
                 held, size = [], 0
@@ -139,27 +159,19 @@ def _pair_sums(words):
     return run
 
 
-def _candidates(words, pairs):
+def _candidates(words, pairs, triples):
+    """Distinct pairs (words x, y) and triples (pair's hash x, word y) of a
+    batch that the maps let pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in _batches(batches):
-            known = words.value.has(p.keys)
-            pair = np.zeros(len(p.keys), bool)
-            pair[:-1] = p.next[:-1] & known[:-1] & known[1:]
-            at = np.flatnonzero(pair)
-            two = pair_hash(p.keys[at], p.keys[at + 1])
-            ok = pairs.value.has(two)
-            pair[at[~ok]] = False
-            at, two = at[ok], two[ok]
-            triple = pair[:-1][at] & pair[np.minimum(at + 1, len(pair) - 1)]
-            three = at[triple]
-            key = np.concatenate((two, pair_hash(two[triple], p.keys[np.minimum(three + 2, len(p.keys) - 1)])))
-            key, first, n = np.unique(key, return_index=True, return_counts=True)
-            start = np.concatenate((at, three))[first]
-            long = first >= len(at)
-            k3 = np.where(long, p.keys[np.minimum(start + 2, len(p.keys) - 1)], U(0))
-            cols = [p.keys[start], p.keys[np.minimum(start + 1, len(p.keys) - 1)], k3]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in cols], pa.array(2 + long.astype(np.int64)), pa.array(n, pa.int64())],
-                                             ["k1", "k2", "k3", "size", "f"])
+            at, two = _passing(p, words.value, pairs.value)
+            on, three = _triples(p, at, two)
+            on = on[triples.value.has(three)]
+            x, y = np.concatenate((p.keys[at], two[on])), np.concatenate((p.keys[at + 1], p.keys[at[on] + 2]))
+            size = np.repeat([2, 3], [len(at), len(on)])
+            _, first = np.unique(pair_hash(x, y), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)), pa.array(y[first].view(np.int64)), pa.array(size[first], pa.int64())],
+                                             ["x", "y", "size"])
 
     return run
 
@@ -320,12 +332,27 @@ def _counts(blocks):
             for block, trie in tries.items():
                 trie.count(p, 3, sums[block])
         for block, n in sums.items():
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(at), pa.array(n[at])], ["block", "at", "a"])
+            for part in range(0, len(n), PART):
+                at = np.flatnonzero(n[part:part + PART])
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part]), pa.array([at.astype("<u2").tobytes()], pa.binary()),
+                                                      pa.array([n[part + at].astype("<u4").tobytes()], pa.binary())], ["block", "part", "at", "n"])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up the shards' counts; a part's rows are in one task."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            out = sums.setdefault((r["block"], r["part"]), np.zeros(PART, np.int64))
+            out[np.frombuffer(r["at"], "<u2")] += np.frombuffer(r["n"], "<u4")
+    for (block, part), n in sums.items():
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(part + at), pa.array(n[at])], ["block", "at", "a"])
+
+
 PHRASE = "k1 long, k2 long, k3 long, size long"
 
 
@@ -338,12 +365,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """Phrases of two and three words that may occur ``least`` times."""
     send = docs.sparkSession.sparkContext.broadcast
+
+    def sums(run) -> BitMap:
+        found = docs.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+        return send(BitMap.of(found.where(F.col("f") >= least), SUM_BITS))
+
     word_map = send(BitMap.of(words.where(F.col("f") >= least)))
-    sums = docs.mapInArrow(_pair_sums(word_map), "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
-    pair_map = send(BitMap.of(sums.where(F.col("f") >= least)))
-    rows = docs.mapInArrow(_candidates(word_map, pair_map), f"{PHRASE}, f long")
-    bound = rows.groupBy("k1", "k2", "k3", "size").agg(F.sum("f").alias("f"))
-    return cut(bound.where(F.col("f") >= least).drop("f"))
+    pair_map = sums(_hash_sums(word_map))
+    triple_map = sums(_hash_sums(word_map, pair_map))
+    rows = docs.mapInArrow(_candidates(word_map, pair_map, triple_map), "x long, y long, size long")
+    rows = cut(rows.groupBy("x", "y", "size").agg(F.count("*").alias("c")).drop("c"))
+    two = rows.where("size = 2").select(F.col("x").alias("k1"), F.col("y").alias("k2"))
+    pair = cut(two.mapInArrow(_hashed, "k1 long, k2 long, x long"))
+    three = rows.where("size = 3").select("x", F.col("y").alias("k3")).join(pair, "x").select("k1", "k2", "k3", F.lit(3).cast("long").alias("size"))
+    return cut(two.select("k1", "k2", F.lit(0).cast("long").alias("k3"), F.lit(2).cast("long").alias("size")).unionByName(three))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = [c.to_numpy().view(U) for c in batch.columns]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_hash(a, b).view(np.int64))], ["k1", "k2", "x"])
 
 
 def phrase_counts(docs: DataFrame, phrases: DataFrame, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -363,7 +404,8 @@ def phrase_counts(docs: DataFrame, phrases: DataFrame, block: int = BLOCK, pass_
     found = None
     for blocks in passes:
         sent = {b: docs.sparkSession.sparkContext.broadcast(bytes(tries.where(F.col("block") == b).select("trie").first().trie)) for b in blocks}
-        sums = cut(docs.mapInArrow(_counts(sent), "block long, at long, a long").groupBy("block", "at").agg(F.sum("a").alias("a")))
+        sums = docs.mapInArrow(_counts(sent), "block long, part long, at binary, n binary").repartition("block", "part")
+        sums = cut(sums.mapInArrow(_summed, "block long, at long, a long"))
         for s in sent.values():
             s.unpersist()
         found = sums if found is None else found.unionByName(sums)

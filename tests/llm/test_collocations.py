@@ -71,7 +71,7 @@ def test_more_tries_than_one_pass_holds(spark):
 
 def test_wrong_passes_only_add_candidates(spark, monkeypatch):
     """With maps that let everything pass the result is the same."""
-    monkeypatch.setattr(co.BitMap, "of", staticmethod(lambda keys: co.BitMap(np.full(1 << (co.MAP_BITS - 3), 255, np.uint8))))
+    monkeypatch.setattr(co.BitMap, "of", staticmethod(lambda keys, bits=64: co.BitMap(np.full(1 << (co.MAP_BITS - 3), 255, np.uint8))))
     check(spark, texts(4, 30), 3, 50)
 
 
