@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,18 @@ class Positions:
     w: object
     lang: pa.Array
 
+    @cached_property
+    def _unique(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(self.keys, return_inverse=True)
+
+    @property
+    def distinct(self) -> np.ndarray:
+        return self._unique[0]
+
+    @property
+    def which(self) -> np.ndarray:
+        return self._unique[1]
+
     @staticmethod
     def of(batch: pa.RecordBatch) -> Positions:
         w = split_words(batch.column("text"), _WORD)
@@ -222,8 +235,9 @@ class Trie:
 
     def count(self, p: Positions, longest: int, out: np.ndarray) -> None:
         """Adds the occurrences of each phrase among the positions."""
-        ids = np.minimum(np.searchsorted(self.words, p.keys), len(self.words) - 1)
-        at = np.flatnonzero(self.words[ids] == p.keys)
+        own = np.minimum(np.searchsorted(self.words, p.distinct), len(self.words) - 1)
+        ids = np.where(self.words[own] == p.distinct, own, -1)[p.which]
+        at = np.flatnonzero(ids >= 0)
         known = np.zeros(len(p.keys) + 1, bool)
         known[at] = True
         state = np.ones(len(at), np.int64)
@@ -423,21 +437,21 @@ def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
 
 
 def scored(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Candidates (k1, k2, k3, size, a) with l, r and score of their
+    """Candidates (k1, k2, k3, size, a) with lang, l, r and score of their
     lowest-scoring cut, less those mostly inside one longer candidate."""
-    word = lambda k, f: words.select(F.col("key").alias(k), F.col("f").alias(f))
+    word = lambda k, f, *more: words.select(F.col("key").alias(k), F.col("f").alias(f), *more)
     two, three = found.where("size = 2"), found.where("size = 3")
     inside = three.select("k1", "k2", "a").unionByName(three.select(F.col("k2").alias("k1"), F.col("k3").alias("k2"), "a"))
     inside = inside.groupBy("k1", "k2").agg(F.max("a").alias("most"))
     pairs = two.join(inside, ["k1", "k2"], "left").where(F.col("most").isNull() | (100 * F.col("most") < SHARE * F.col("a")))
-    pairs = pairs.join(word("k1", "l"), "k1").join(word("k2", "r"), "k2").withColumn("score", score(F.col("a"), F.col("l"), F.col("r")))
-    t = three.join(word("k1", "l1"), "k1").join(word("k3", "r2"), "k3")
+    pairs = pairs.join(word("k1", "l", "lang"), "k1").join(word("k2", "r"), "k2").withColumn("score", score(F.col("a"), F.col("l"), F.col("r")))
+    t = three.join(word("k1", "l1", "lang"), "k1").join(word("k3", "r2"), "k3")
     t = t.join(two.select(F.col("k1").alias("k2"), F.col("k2").alias("k3"), F.col("a").alias("r1")), ["k2", "k3"])
     t = t.join(two.select("k1", "k2", F.col("a").alias("l2")), ["k1", "k2"])
     cuts = F.least(*[F.struct(score(F.col("a"), F.col(f"l{k}"), F.col(f"r{k}")).alias("score"), F.lit(k).alias("k"),
                               F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")) for k in (1, 2)])
-    t = t.withColumn("c", cuts).select("k1", "k2", "k3", "a", "c.l", "c.r", "c.score")
-    return pairs.select("k1", "k2", F.lit(None).cast("long").alias("k3"), "a", "l", "r", "score").unionByName(t)
+    t = t.withColumn("c", cuts).select("lang", "k1", "k2", "k3", "a", "c.l", "c.r", "c.score")
+    return pairs.select("lang", "k1", "k2", F.lit(None).cast("long").alias("k3"), "a", "l", "r", "score").unionByName(t)
 
 
 def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -449,8 +463,10 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, block: int = BLOCK
     frequent = words.where(F.col("f") >= least)
     found = phrase_counts(docs, candidates(docs, words, least), block, pass_bytes).where(F.col("a") >= least)
     rows = scored(cut(found), frequent)
+    few = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))      # ties are settled by the spelling
+    rows = cut(rows.withColumn("place", few).where(F.col("place") <= top).drop("place"))
     for i in (1, 2, 3):
-        side = frequent.select(F.col("key").alias(f"k{i}"), F.col("word").alias(f"w{i}"), *(["lang"] if i == 1 else []))
+        side = frequent.select(F.col("key").alias(f"k{i}"), F.col("word").alias(f"w{i}"))
         rows = rows.join(side, f"k{i}", "left" if i == 3 else "inner")
     rows = rows.withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
