@@ -38,22 +38,23 @@ _BY_CUSTOMER_ORDERS = (("customer", "o_custkey = c_custkey"),)
 _BY_CUSTOMER_EVENTS = (("customer", "user_id = c_custkey"),)
 _LINE_ORDERS = (("orders", "l_orderkey = o_orderkey"),)
 
-# v1 (dirs 1-2).  Squads are the nations of regions 0-2 only,
-# so persons of other nations hold a dangling squad key.
+# v1 (dirs 1-2).  All tables are taken whole; null and dangling
+# keys come from expressions over the keys.
 V1: dict[str, ViewSpec] = {
     "Dwarves": ViewSpec("customer", (
         "c_custkey AS dwarf_id", "c_name AS name", "c_acctbal AS age",
-        "c_mktsegment AS profession", "CAST(c_nationkey AS BIGINT) AS squad_id")),
+        "c_mktsegment AS profession",
+        "CAST(CASE c_nationkey % 5 WHEN 0 THEN NULL WHEN 1 THEN c_nationkey + 100 ELSE c_nationkey END AS BIGINT) AS squad_id")),
     "Squads": ViewSpec("nation", (
         "CAST(n_nationkey AS BIGINT) AS squad_id", "n_name AS name", "r_name AS mission",
         "CASE WHEN n_regionkey = 0 THEN NULL ELSE CAST(n_nationkey AS BIGINT) END AS leader_id"),
-        joins=(("region", "n_regionkey = r_regionkey"),), where="n_regionkey <= 2"),
+        joins=(("region", "n_regionkey = r_regionkey"),)),
     "Tasks": ViewSpec("orders", (
         "o_orderkey AS task_id", "o_orderstatus AS status", "o_orderpriority AS priority",
         "o_custkey AS assigned_to")),
     "Items": ViewSpec("orders", (
-        "o_orderkey AS item_id", "o_custkey AS owner_id", "o_orderstatus AS type"),
-        where="o_orderpriority = '1-URGENT'"),
+        "o_orderkey AS item_id", "o_orderstatus AS type",
+        "CASE o_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN -o_custkey ELSE o_custkey END AS owner_id")),
     "Relationships": ViewSpec("lineitem", (
         "o_custkey AS dwarf_id", "l_suppkey AS related_to", "l_returnflag AS relationship"),
         joins=_LINE_ORDERS),
@@ -131,15 +132,14 @@ V2: dict[str, ViewSpec] = {
         "l_orderkey AS expedition_id", "l_suppkey AS dwarf_id",
         "CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS survived")),
     "EXPEDITION_ARTIFACTS": ViewSpec("lineitem", (
-        "l_orderkey AS expedition_id", "l_partkey AS artifact_id",
-        "CAST(l_extendedprice AS DECIMAL(18,2)) AS value"), where="l_returnflag = 'N'"),
+        "CASE WHEN l_orderkey % 3 = 0 THEN -l_orderkey ELSE l_orderkey END AS expedition_id", "l_partkey AS artifact_id",
+        "CAST(l_extendedprice AS DECIMAL(18,2)) AS value")),
     "EXPEDITION_SITES": ViewSpec("lineitem", (
-        "l_orderkey AS expedition_id", "CAST(l_linenumber AS BIGINT) AS site_id"),
-        where="l_linestatus = 'O'"),
+        "CASE WHEN l_orderkey % 4 = 0 THEN -l_orderkey ELSE l_orderkey END AS expedition_id",
+        "CAST(l_linenumber AS BIGINT) AS site_id")),
     "EXPEDITION_CREATURES": ViewSpec("lineitem", (
-        "l_orderkey AS expedition_id",
-        "CASE l_returnflag WHEN 'A' THEN 'Success' WHEN 'R' THEN 'Victory' ELSE 'Defeat' END AS outcome"),
-        where="l_tax > 0.04"),
+        "CASE WHEN l_orderkey % 5 = 0 THEN -l_orderkey ELSE l_orderkey END AS expedition_id",
+        "CASE l_returnflag WHEN 'A' THEN 'Success' WHEN 'R' THEN 'Victory' ELSE 'Defeat' END AS outcome")),
     "CARAVANS": ViewSpec("orders", ("o_orderkey AS caravan_id", "o_orderpriority AS civilization_type")),
     "TRADE_TRANSACTIONS": ViewSpec("lineitem", (
         "l_orderkey AS caravan_id", "CAST(l_extendedprice AS DECIMAL(18,2)) AS value",
