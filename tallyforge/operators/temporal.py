@@ -6,14 +6,13 @@ its end.  Written as in the text -- join every value row to every event
 row of the same person, then aggregate -- the join emits |values| x
 |events| rows per person, quadratic in a busy person's history.
 
-Here both sides are first reduced to one row per (key, day): values to
-their per-day min and max (a partial aggregate), events to their distinct
-(key, start-day) and (key, end-day) probes.  A running min (ascending by
-day) and a running max (descending) over the union of both, partitioned by
-key, then reads the answer at each probe.  A key's window holds at most
-one row per distinct day on each side, so its size is bounded by the
-calendar, not by how many rows the key has; the probe answers are joined
-back 1:1 on (key, day).
+Here values, starts and ends are one tagged union, reduced to one row per
+(key, day) by a single aggregate: the day's min and max and which probes ask
+for it.  Over one exchange by key, two running windows (min ascending, max
+descending) give both answers at each probed day.  A key's window holds at
+most one row per distinct day, so its size is bounded by the calendar, not by
+how many rows the key has: a hot key is combined map-side before it moves.
+The answers are joined back 1:1 on (key, day), where AQE may split a hot key.
 """
 
 from __future__ import annotations
@@ -29,26 +28,18 @@ def extremes_around(values: DataFrame, probes: DataFrame, key: str, value_date:
     those dated >= its ``end`` (NULL when none, or when the probe date is
     NULL).  Probe rows and their other columns are returned unchanged.
     """
-    per_day = (values.select(F.col(key), F.col(value_date).alias("_d"), F.col(value).alias("_v"))
-               .groupBy(key, "_d").agg(F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax")))
-    p = probes
-    # kind 0 = value day, 1 = probe; on the same day values come first in
-    # both directions, so "<=" and ">=" include that day's values.
-    vals = per_day.select(key, "_d", F.lit(0).alias("_k"), "_vmin", "_vmax")
-    starts = (p.select(key, F.col(start).alias("_d")).distinct()
-              .select(key, "_d", F.lit(1).alias("_k"),
-                      F.lit(None).cast(per_day.schema["_vmin"].dataType).alias("_vmin"),
-                      F.lit(None).cast(per_day.schema["_vmax"].dataType).alias("_vmax")))
-    ends = (p.select(key, F.col(end).alias("_d")).distinct()
-            .select(key, "_d", F.lit(1).alias("_k"),
-                    F.lit(None).cast(per_day.schema["_vmin"].dataType).alias("_vmin"),
-                    F.lit(None).cast(per_day.schema["_vmax"].dataType).alias("_vmax")))
-    up = Window.partitionBy(key).orderBy(F.col("_d").asc(), F.col("_k").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(key).orderBy(F.col("_d").desc(), F.col("_k").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    b = (vals.unionByName(starts).withColumn("_run", F.min("_vmin").over(up))
-         .where(F.col("_k") == 1).select(key, F.col("_d").alias(start), F.col("_run").alias(before)))
-    a = (vals.unionByName(ends).withColumn("_run", F.max("_vmax").over(down))
-         .where(F.col("_k") == 1).select(key, F.col("_d").alias(end), F.col("_run").alias(after)))
-    return p.join(b, [key, start], "left").join(a, [key, end], "left")
+    kind = values.schema[value].dataType
+    rows = values.select(F.col(key), F.col(value_date).alias("_d"), F.col(value).alias("_v"), F.lit(False).alias("_asked"))
+    asked = probes.select(F.col(key), F.explode(F.array(start, end)).alias("_d"))
+    rows = rows.unionByName(asked.select(key, "_d", F.lit(None).cast(kind).alias("_v"), F.lit(True).alias("_asked")))
+    days = rows.where(F.col("_d").isNotNull()).groupBy(key, "_d").agg(
+        F.min("_v").alias("_vmin"), F.max("_v").alias("_vmax"), F.max("_asked").alias("_asked"))
+    run = Window.partitionBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # a day is one row, so "<=" and ">=" include that day's values
+    days = days.select(key, "_d", "_asked", F.min("_vmin").over(run.orderBy(F.col("_d").asc())).alias(before),
+                       F.max("_vmax").over(run.orderBy(F.col("_d").desc())).alias(after))
+    # asking for both keeps both windows in either reader below, so that they share one exchange
+    days = days.where(F.col("_asked") & (F.col(before).isNotNull() | F.col(after).isNotNull()))
+    b = days.select(key, F.col("_d").alias(start), before)
+    a = days.select(key, F.col("_d").alias(end), after)
+    return probes.join(b, [key, start], "left").join(a, [key, end], "left")

@@ -11,6 +11,7 @@ from ..functions import count_where, pct, ratio
 from ..functions.scalar import days_between
 from ..operators.joins import summary_star
 from ..operators.nested import Child, related_ids
+from ..operators.once import compute_once
 from ..operators.scoring import weighted_score
 from ..operators.temporal import extremes_around
 
@@ -59,7 +60,7 @@ def expedition_scorecard(t: Tables, completed: str = "Completed",
     enc = t["EXPEDITION_CREATURES"].groupBy("expedition_id").agg(
         F.count(F.lit(1)).alias("encounters_total"),
         count_where(F.col("outcome").isin(list(success))).alias("encounters_success"))
-    skill = _skill_by_expedition(t, base, per_expedition)
+    skill = compute_once(_skill_by_expedition(t, base, per_expedition))      # joined, and its maximum taken
     # Scalar subqueries: the maxima of artifacts, sites and skill cover all
     # expeditions, the duration maximum only completed ones.  Each is a
     # one-row aggregate, broadcast onto the result.

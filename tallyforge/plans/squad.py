@@ -11,6 +11,7 @@ from ..functions import count_where, pct, ratio
 from ..operators.factor import within_key_zero_corr
 from ..operators.joins import summary_star
 from ..operators.nested import Child, related_ids
+from ..operators.once import compute_once
 from ..operators.scoring import weighted_score, with_global_max
 from ..operators.temporal import extremes_around
 
@@ -51,8 +52,8 @@ def squad_effectiveness(t: Tables, wins=("Victory", "Success")) -> DataFrame:
              .join(ds.select("dwarf_id").distinct(), "dwarf_id", "left_semi"))
     gains = extremes_around(ds, spans, "dwarf_id", "date", "experience",
                             "first_battle", "last_battle", "exp_before", "exp_after")
-    skill_summary = gains.groupBy("squad_id").agg(F.avg(
-        F.coalesce("exp_after", F.lit(0)) - F.coalesce("exp_before", F.lit(0))).alias("avg_combat_skill_improvement"))
+    skill_summary = compute_once(gains.groupBy("squad_id").agg(F.avg(
+        F.coalesce("exp_after", F.lit(0)) - F.coalesce("exp_before", F.lit(0))).alias("avg_combat_skill_improvement")))
 
     j = summary_star(base, "squad_id", [battles, members, equipment, training, corr, skill_summary])
     # MAX(...) OVER () of the text: a one-row aggregate over the squads of

@@ -141,6 +141,23 @@ def test_extremes_around_matches_naive(spark):
     assert fast == slow
 
 
+def test_extremes_of_a_hot_key(spark):
+    """One key with most rows: its windows see days, not rows."""
+    vals = spark.range(30000).selectExpr("IF(id % 10 = 0, id % 7, 99) AS k", "CAST(id * 7919 % 50 AS INT) AS d", "CAST(id * 31 % 1009 AS INT) AS v")
+    probes = spark.range(2000).selectExpr("IF(id % 10 = 0, id % 9, 99) AS k", "CAST(id % 53 AS INT) AS s", "CAST(nullif(id % 49, 0) AS INT) AS e", "id")
+    got = {r.id: (r.before, r.after) for r in extremes_around(vals, probes, "k", "d", "v", "s", "e").collect()}
+    rows = [(r.k, r.d, r.v) for r in vals.collect()]
+    by = {}
+    for k, d, v in rows:
+        by.setdefault(k, {}).setdefault(d, []).append(v)
+    for r in probes.collect():
+        days = by.get(r.k, {})
+        lo = [min(v) for d, v in days.items() if r.s is not None and d <= r.s]
+        hi = [max(v) for d, v in days.items() if r.e is not None and d >= r.e]
+        assert got[r.id] == (min(lo, default=None), max(hi, default=None))
+    assert len(got) == 2000
+
+
 def test_every_parent_is_one_row_and_every_child_comes_once(spark):
     p = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
     c = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 7), (2, 7)], "fk bigint, id bigint")
