@@ -140,14 +140,25 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
         skip = down > new
         new, new_f, new_l = np.where(skip, down, new), np.where(skip, down_f, new_f), np.where(skip, down_l, new_l)
         # skipping text words moves up along the row
-        for d in range(1, width):
-            if new[d - 1] > new[d]:
-                new[d], new_f[d], new_l[d] = new[d - 1], new_f[d - 1], new_l[d - 1]
-        best, first, last = new, new_f, new_l
+        best = np.maximum.accumulate(new)
+        source = np.maximum.accumulate(np.where(new == best, np.arange(width), 0))
+        first, last = new_f[source], new_l[source]
     k = int(np.lexsort((first, last - first, -best))[0])
     return int(best[k]), int(first[k]), int(last[k])
 
 
+def _stretches(group: np.ndarray, diagonal: np.ndarray, most: int, overlap: int) -> list[np.ndarray]:
+    """A group over many diagonals in overlapping stretches of at most
+    ``most``: hits of one match are at most ``overlap`` diagonals apart, so a
+    stretch holds them all."""
+    d = diagonal[group]
+    if d[-1] - d[0] <= most:
+        return [group]
+    starts = np.arange(d[0], d[-1] + 1, most - overlap)
+    parts = [group[np.searchsorted(d, a):np.searchsorted(d, a + most, "right")] for a in starts.tolist()]
+    return [x for x in parts if len(x)]
+
+
 def document_matches(ids: np.ndarray, hits, index: Index, least: float) -> list[tuple[int, int, int, int]]:
     """(first word, last word, template, matched) of one text's matches;
     ``hits`` are its (word, template, place)."""
@@ -163,11 +174,14 @@ def document_matches(ids: np.ndarray, hits, index: Index, least: float) -> list[
         drift = int(size * (1 / least - 1) + 1e-9)
         new = (np.diff(diagonal) > drift) | (np.abs(np.diff(p)) > size + drift)
         found = []
-        todo = [(g, ids) for g in np.split(np.arange(len(p)), np.flatnonzero(new) + 1)]
+        groups = np.split(np.arange(len(p)), np.flatnonzero(new) + 1)
+        todo = [(part, ids) for g in groups for part in _stretches(g, diagonal, 8 * (size + drift), 2 * drift)]
         while todo:
             group, text = todo.pop()
             d0, d1 = int(diagonal[group[0]]) - drift, int(diagonal[group[-1]]) + drift
             lo, hi = max(0, d0), min(len(ids), d1 + size)
+            if np.isin(index.words[t], text[lo:hi]).sum() < least * size:
+                continue                                          # nor can any part of it
             n, a, b = align(index.words[t], text[lo:hi], d0 - lo, d1 - lo)
             if n >= least * size and n >= least * (b - a + 1):
                 found.append((-n, a + lo, b + lo))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,14 +34,17 @@ ROUNDS = 10
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 OUT = {"n_pii": "long", "pii": "array<struct<kind:string,start:long,end:long>>"}
 PATTERN = re.compile(r"""
-    (?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)
-  | (?P<iso>(?<![\d-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\d-]))
+    (?P<iso>(?<![\d-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\d-]))
   | (?P<ip>(?<![\d.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))
   | (?P<dmy>(?<![\d/.])[0-9]{2}[/.][0-9]{2}[/.][0-9]{4}(?![\d/]))
   | (?P<ssn>(?<![\d-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\d-]))
   | (?P<phone>\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))
   | (?P<card>(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))
 """, re.VERBOSE)
+# a mail name is a whole run of its characters, looked for from the run's start only
+NAMES = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@")
+LETTER, DOMAIN = re.compile("[A-Za-z0-9]"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+NAME = 64             # characters of a mail name that are one number
 CARD = re.compile("(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
 GROUP, RUN, AFTER_DIGIT = re.compile("[0-9]+"), re.compile("[0-9]+(?:[ -][0-9]+){0,39}"), re.compile("[0-9][ -]")
 USUAL = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 1)}       # digits of a card's groups
@@ -54,15 +58,17 @@ class Permuter:
         self.value = lru_cache(1 << 16)(self._value)
 
     def _round(self, kind: str, size: int, i: int, x: int) -> int:
-        h = hashlib.blake2b(f"{kind}/{size}/{i}/{x}".encode(), key=self.key, digest_size=16)
-        return int.from_bytes(h.digest(), "big")
+        if size.bit_length() <= 128:
+            h = hashlib.blake2b(f"{kind}/{size}/{i}/{x}".encode(), key=self.key, digest_size=16)
+            return int.from_bytes(h.digest(), "big")
+        need = range(size.bit_length() // 1024 + 1)           # 64 bytes each, for half the size's bits
+        h = [hashlib.blake2b(f"{kind}/{size:x}/{i}/{x:x}/{n}".encode(), key=self.key).digest() for n in need]
+        return int.from_bytes(b"".join(h), "big")
 
     def once(self, kind: str, size: int, x: int) -> int:
         """One pass: x = left * width + right in a square that covers the
         size; results outside the size are walked on."""
-        width = int(size ** 0.5)
-        while width * width < size:
-            width += 1
+        width = math.isqrt(size - 1) + 1
         while True:
             left, right = divmod(x, width)
             for i in range(ROUNDS):
@@ -162,18 +168,26 @@ class Permuter:
     def _email(self, text: str) -> str:
         """Letters stay letters of their case, digits digits, in the name."""
         name, domain = text.split("@", 1)
+        parts = [name[i:i + NAME] for i in range(0, len(name), NAME)]
+        out, before = [], ""
+        for p in parts:                       # a long name in parts, each under the ones before it
+            out.append(self._name(p, before))
+            before = hashlib.blake2b((before + p).encode(), digest_size=16).hexdigest()
+        return "".join(out) + "@" + domain
+
+    def _name(self, name: str, before: str) -> str:
         radix = [26 if c.isalpha() else 10 if c.isdigit() else 1 for c in name]
         base = [ord("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c) for c in name]
         x, size = 0, 1
         for c, r, b in zip(name, radix, base, strict=True):
             x, size = x * r + ord(c) - b, size * r
         form = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in name)
-        x = self.permute("email" + form, size, x)
+        x = self.permute("email" + form + before, size, x)
         out = []
         for r, b in zip(reversed(radix), reversed(base), strict=True):
             x, d = divmod(x, r)
             out.append(chr(b + d))
-        return "".join(reversed(out)) + "@" + domain
+        return "".join(reversed(out))
 
 
 def luhn(head: str) -> str:
@@ -226,15 +240,33 @@ def card_at(text: str, start: int, least: int) -> tuple[int, int] | None:
     return next((x for x in later if x), other)
 
 
+def _mails(text: str) -> Iterator[tuple[int, int, int]]:
+    """(start of the name's run, place of the @, end) of mail addresses."""
+    for m in NAMES.finditer(text):
+        if d := DOMAIN.match(text, m.end()):
+            yield m.start(), m.end() - 1, d.end()
+
+
 def pseudonymise_text(text: str, permuter: Permuter) -> tuple[str, list[tuple[str, int, int]]]:
     """Cards in odd groupings: from a run's first group on any, later ones of
     three digits or more, so that rows of small numbers aren't searched for
     chance check digits; none from within a value of another form."""
     out, spans, at, look, other = [], [], 0, 0, 0
-    while m := PATTERN.search(text, look):
-        kind, (a, b) = m.lastgroup, m.span()
+    mails, m = _mails(text), PATTERN.search(text)
+    mail = next(mails, None)
+    while True:
+        if m and m.start() < look:
+            m = PATTERN.search(text, look)
+        while mail and not (start := LETTER.search(text, max(mail[0], look), mail[1])):
+            mail = next(mails, None)
+        if mail and (m is None or start.start() <= m.start()):
+            kind, a, b = "email", start.start(), mail[2]
+        elif m:
+            kind, (a, b) = m.lastgroup, m.span()
+        else:
+            break
         look = a + 1
-        new = permuter.value(kind, m[0]) if kind != "card" else None
+        new = permuter.value(kind, text[a:b]) if kind != "card" else None
         if new is None and kind != "card":
             other = max(other, b)
         if new is None and CARD.match(text, a):
