@@ -7,9 +7,9 @@ the shuffle; only the id-list helpers keep per-row data in the buffer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scalar import _c
@@ -67,6 +67,32 @@ def avg_ratio_skip_zero(num, den) -> Column:
     return F.avg(F.when(d != 0, _c(num).cast("double") / d))
 
 
+def count_distinct_ids(df: DataFrame, keys: Sequence[str], ids: Mapping[str, str], more: Sequence[Column] = ()) -> DataFrame:
+    """Several exact ``COUNT(DISTINCT id)`` of integer columns per key, with
+    other aggregates (``more``) beside them.
+
+    ``countDistinct`` of several columns copies each row once per count
+    (Expand) and shuffles every distinct (key, id).  Here ids are bits of
+    64-bit words, or-ed map-side: a row for each (key, id // 64), one word
+    for up to 64 ids and never more rows than distinct ids, whose set bits
+    are counted.  Each count scans its own column.  Null ids aren't counted,
+    negative ones are ids like others; null keys are a group.
+    """
+    keys = list(keys)
+    out = df.groupBy(*keys).agg(*(list(more) or [F.count(F.lit(1)).alias("_rows")]))
+    for name, c in ids.items():
+        v = F.col(c).cast("long")
+        word = F.call_function("shiftleft", F.lit(1).cast("long"), v.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        words = (df.select(*keys, F.shiftright(v, 6).alias("_at"), word.alias("_bit")).where(F.col("_at").isNotNull())
+                 .groupBy(*keys, "_at").agg(F.bit_or("_bit").alias("_bits")))
+        n = words.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).agg(F.sum(F.bit_count("_bits")).cast("long").alias("_n"))
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+        out = out.join(n, same, "left").select(*out.columns, F.coalesce("_n", F.lit(0).cast("long")).alias(name))
+    return out.drop("_rows")
+
+
 def id_list(col, distinct: bool = False) -> Column:
     """STRING_AGG of ids as a sorted array (NULLs skipped, duplicates kept).
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import (
-    avg_ratio_skip_zero, count_where, guarded_corr, max_where,
+    avg_ratio_skip_zero, count_distinct_ids, count_where, guarded_corr, max_where,
     min_where, pct, ratio, signed_sum, sum_where, weighted_sum,
 )
 from ..functions.scalar import EXACT, dec, days_between, round_exact
@@ -28,10 +28,8 @@ def money(c):
     FROM lineitem GROUP BY l_returnflag""")
 def count_distinct_multi(spark, d):
     li = driver(spark, d)["lineitem"]
-    return li.groupBy("l_returnflag").agg(
-        F.count_distinct("l_partkey").alias("n_parts"),
-        F.count_distinct("l_suppkey").alias("n_suppliers"),
-        F.sum("l_quantity").alias("sum_qty"))
+    return count_distinct_ids(li, ["l_returnflag"], {"n_parts": "l_partkey", "n_suppliers": "l_suppkey"},
+                              [F.sum("l_quantity").alias("sum_qty")])
 
 
 @register("count_distinct_day", """SELECT l_suppkey, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS active_days
