@@ -68,28 +68,28 @@ def edge_both_ways(nodes: DataFrame, edges: DataFrame, node_key: str,
     return named.select(F.explode(both).alias("_e")).select(f"_e.{n}", f"_e.{k}", f"_e.{r}")
 
 
-def substring_keys(text: Column, max_len: int | Column = 10, pattern: str | None = None,
-                   key_chars: str | None = None) -> Column:
-    """All distinct substrings of ``text`` with length 1..``max_len``.
+GRAM = 3      # characters of the pieces that long keys are found by
+
+
+def substring_keys(text: Column, max_len: int = 10, pattern: str | None = None,
+                   key_chars: str | None = None, min_len: int = 1) -> Column:
+    """All distinct substrings of ``text`` with length ``min_len``..``max_len``.
 
     ``key_chars`` (a regex character class such as ``'[-0-9]'``) says which
     characters a key's text can contain: substrings are then enumerated
     only inside the maximal runs of those characters -- a substring that
-    crosses any other character cannot equal a key -- which cuts the
-    candidates from ~``max_len * len(text)`` to ~``max_len * digits``.
-    ``pattern`` (a regex) then keeps only substrings shaped like a key,
-    e.g. ``'^-?[0-9]+$'``.  Empty or NULL text yields an empty array.
+    crosses any other character cannot equal a key.  ``pattern`` (a regex)
+    then keeps only substrings shaped like a key, e.g. ``'^-?[0-9]+$'``.
+    Empty or NULL text yields an empty array.
     """
-    longest = max_len if isinstance(max_len, Column) else F.lit(max_len)
-
     def all_subs(s: Column) -> Column:
         n = F.length(s)
         subs = F.flatten(F.transform(
-            F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+            F.sequence(F.lit(1), F.greatest(n - min_len + 1, F.lit(1))),
             lambda i: F.transform(
-                F.sequence(F.lit(1), F.greatest(F.least(longest, n - i + 1), F.lit(1))),
+                F.sequence(F.lit(min_len), F.greatest(F.least(F.lit(max_len), n - i + 1), F.lit(min_len))),
                 lambda k: F.substring(s, i, k))))
-        return F.when(n > 0, subs).otherwise(F.array().cast("array<string>"))
+        return F.when(n >= min_len, subs).otherwise(F.array().cast("array<string>"))
 
     if key_chars is not None:
         runs = F.regexp_extract_all(text, F.lit(f"{key_chars}+"), 0)
@@ -102,29 +102,42 @@ def substring_keys(text: Column, max_len: int | Column = 10, pattern: str | None
 
 
 def substring_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: str,
-                   how: str = "left",
-                   pattern: str | None = None, key_chars: str | None = None) -> DataFrame:
+                   how: str = "left", pattern: str | None = None, key_chars: str | None = None) -> DataFrame:
     """``keys JOIN lists ON CHARINDEX(CAST(key AS VARCHAR), list) > 0``.
 
     The naive plan is a nested-loop join (every key against every list).
-    Here each list row is exploded into its distinct candidate substrings
-    (``substring_keys``, computed map-side), and the candidate is
-    equi-joined to the key's text, so the join is an ordinary hash join
-    that shuffles or broadcasts like any other; a frequent substring is a
-    hot join key that AQE's skew handling splits.  Pairs are the same as
-    the CHARINDEX form: '1' matches inside '12' (use ``token_join`` for
-    exact list members).  Candidates are as long as the longest key, a one-row
-    aggregate.  For integer keys pass ``key_chars='[-0-9]'`` and
-    ``pattern='^-?[0-9]+$'``.
+    Here a key of ``GRAM`` characters or more is anchored by its rarest
+    piece of that length (the one fewest keys have); each list is exploded
+    once into its distinct pieces, as many as it has characters whatever the
+    longest key, and a key meets the lists that hold its anchor, which
+    ``instr`` verifies.  Shorter keys are equi-joined to the lists' short
+    substrings; theirs are the frequent ones, and the inner join's hot keys
+    are split by AQE.  Pairs are the same as the CHARINDEX form: '1' matches
+    inside '12' (use ``token_join`` for exact list members).  For integer
+    keys pass ``key_chars='[-0-9]'`` and ``pattern='^-?[0-9]+$'``; keys not
+    of that shape match nothing, nor do NULL and empty ones.
 
     Result: all columns of ``keys`` and of ``lists`` (``how`` is ``inner``
     or ``left`` from the ``keys`` side).
     """
-    longest = keys.agg(F.coalesce(F.max(F.length(F.col(key_col).cast("string"))), F.lit(0)).alias("_longest"))
-    exploded = (lists.select("*", longest.scalar().alias("_longest"))
-                .withColumn("_sub", F.explode(substring_keys(F.col(list_col), F.col("_longest"), pattern, key_chars)))
-                .drop("_longest"))
-    return _left_via_inner(keys, key_col, exploded, "_sub", how)
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    text = F.col(key_col).cast("string")
+    long = F.length(text) >= GRAM
+    if pattern is not None:
+        long = long & text.rlike(pattern)
+    far = keys.where(long).withColumn("_key_text", text)
+    near = keys.where(~F.coalesce(long, F.lit(False)))
+    pieces = far.select("_key_text").distinct().select("_key_text", F.explode(
+        substring_keys(F.col("_key_text"), GRAM, min_len=GRAM)).alias("_piece"))
+    shared = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    anchors = (pieces.join(shared, "_piece").groupBy("_key_text")
+               .agg(F.min(F.struct("_n", "_piece")).alias("_a")).select("_key_text", F.col("_a._piece").alias("_anchor")))
+    exploded = lists.withColumn("_piece", F.explode(substring_keys(F.col(list_col), GRAM, key_chars=key_chars, min_len=GRAM)))
+    held = (F.col("_anchor") == F.col("_piece")) & (F.instr(F.col(list_col), F.col("_key_text")) > 0)
+    found = far.join(anchors, "_key_text").join(exploded, held, how).drop("_key_text", "_anchor", "_piece")
+    short = lists.withColumn("_sub", F.explode(substring_keys(F.col(list_col), GRAM - 1, pattern, key_chars)))
+    return found.unionByName(_left_via_inner(near, key_col, short, "_sub", how))
 
 
 def token_join(keys: DataFrame, key_col: str, lists: DataFrame, list_col: str,
