@@ -70,4 +70,4 @@ def with_v2(names: str, body: str) -> str:
 
 
 # importing the sections registers their keys
-from . import catalogue_aggs, catalogue_basic, catalogue_reports  # noqa: E402,F401
+from . import catalogue_aggs, catalogue_basic, catalogue_long, catalogue_reports  # noqa: E402,F401
