@@ -13,9 +13,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, IntegralType, NumericType, TimestampType
 
 from ..functions.aggs import id_list
+from .ordered import with_position
 
 class Child(NamedTuple):
     """One child table feeding an id array: ``df.fk`` refers to the parent."""
@@ -145,20 +146,26 @@ def to_document(df: DataFrame, keep_nulls: bool = True, out: str = "document") -
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), opts).alias(out))
 
 
-def section_facts(name: str, df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """A report section as rows (section, row_key, field, number, text), one
-    for each non-NULL field, so that a whole report is a union of sections
-    and no row grows with the data.  ``row_key`` joins the keys with ``|``
-    (NULL as empty); numbers come as double, timestamps as text."""
+def section_facts(name: str, df: DataFrame, keys: Sequence[str], fields: Sequence[str],
+                  order: Sequence[str] | None = None) -> DataFrame:
+    """A report section as rows (section, row_key, position, field, number,
+    exact, text), one for each non-NULL field, so that a whole report is a
+    union of sections and no row grows with the data.  ``row_key`` is the
+    array of the keys' texts (NULLs kept), ``position`` the row's place in
+    the section's ``order`` (``-name`` descending; NULL without one).
+    Numbers come as double and, if they are decimals or integers, as exact
+    text; timestamps as text."""
     def fact(c: str) -> Column:
         kind = df.schema[c].dataType
-        number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+        number, exact, text = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(None).cast("string")
         if isinstance(kind, NumericType):
             number = F.col(c).cast("double")
+            exact = F.col(c).cast("string") if isinstance(kind, (DecimalType, IntegralType)) else exact
         else:
             text = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if isinstance(kind, (DateType, TimestampType)) else F.col(c)
-        return F.struct(F.lit(c).alias("field"), number.alias("number"), text.alias("text"))
+        return F.struct(F.lit(c).alias("field"), number.alias("number"), exact.alias("exact"), text.alias("text"))
 
-    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys])
-    facts = df.select(F.lit(name).alias("section"), key.alias("row_key"), F.inline(F.array(*[fact(c) for c in fields])))
+    key = F.array(*[F.col(c).cast("string") for c in keys]).cast("array<string>")
+    rows = with_position(df, order) if order else df.withColumn("position", F.lit(None).cast("long"))
+    facts = rows.select(F.lit(name).alias("section"), key.alias("row_key"), "position", F.inline(F.array(*[fact(c) for c in fields])))
     return facts.where("number is not null or text is not null")

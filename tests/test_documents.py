@@ -3,16 +3,22 @@
 import json
 import os
 import tempfile
+from decimal import Decimal
 
 from tallyforge.operators.nested import section_facts
 from tallyforge.sources.sinks import write_json_lines
 
 
 def test_section_facts_one_row_a_field(spark):
-    df = spark.createDataFrame([(1, None, 2.5, "x", None), (None, "b", None, None, None)],
-                               "k bigint, l string, n double, s string, t timestamp")
-    got = {tuple(r) for r in section_facts("sec", df, ["k", "l"], ["n", "s", "t"]).collect()}
-    assert got == {("sec", "1|", "n", 2.5, None), ("sec", "1|", "s", None, "x")}
+    wide = Decimal("99999999999999999999.25")
+    df = spark.createDataFrame([(1, None, 2.5, "x", None, wide), (None, "b", None, None, None, None), (7, "", 1.0, None, None, None)],
+                               "k bigint, l string, n double, s string, t timestamp, d decimal(38,2)")
+    rows = section_facts("sec", df, ["k", "l"], ["n", "s", "t", "d"], order=["-k"]).collect()
+    got = {(r.section, tuple(r.row_key), r.position, r.field, r.number, r.exact, r.text) for r in rows}
+    assert got == {("sec", ("1", None), 2, "n", 2.5, None, None), ("sec", ("1", None), 2, "s", None, None, "x"),
+                   ("sec", ("1", None), 2, "d", float(wide), "99999999999999999999.25", None),
+                   ("sec", ("7", ""), 1, "n", 1.0, None, None)}
+    assert {r.position for r in section_facts("sec", df, [], ["n"]).collect()} == {None}
     assert section_facts("sec", df.limit(0), ["k"], ["n"]).count() == 0
 
 
