@@ -44,6 +44,7 @@ MAP_BITS = 26         # a bit map of hashes: 8 MB
 BLOCK = 400_000       # phrases in a trie
 PASS_BYTES = 64 << 20
 BATCH = 2 << 20
+SPLITS = 4            # of the input, read by one task
 SUM_BITS = 40         # of a hash, where its occurrences are summed
 HELD = 1_000_000      # hashes that a task counts at once
 PART = 1 << 13        # counts that travel together
@@ -458,6 +459,8 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, block: int = BLOCK
     """``docs`` (text, lang) -> the first ``top`` phrases of each language:
     lang, rank, phrase, a, l, r, n, score."""
     docs = docs.where("text is not null").select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    splits = docs.rdd.getNumPartitions()          # more text in a task: more is summed before it moves
+    docs = docs.coalesce(max(1, splits // SPLITS, min(splits, docs.sparkSession.sparkContext.defaultParallelism)))
     words = cut(word_counts(docs))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
