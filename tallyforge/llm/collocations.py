@@ -44,7 +44,7 @@ MAP_BITS = 26         # a bit map of hashes: 8 MB
 BLOCK = 400_000       # phrases in a trie
 PASS_BYTES = 64 << 20
 BATCH = 2 << 20
-SPLITS = 4            # of the input, read by one task
+SPLITS = 2            # of the input, read by one task
 SUM_BITS = 40         # of a hash, where its occurrences are summed
 HELD = 1_000_000      # hashes that a task counts at once
 PART = 1 << 13        # counts that travel together
