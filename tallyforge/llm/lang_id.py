@@ -108,9 +108,7 @@ class Model:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """Fitted on at most about ``per_language`` documents of each language;
-    documents shorter than 20 characters are not learnt from while longer
-    ones are there."""
+    """Fitted on at most about ``per_language`` documents of each language."""
     seen = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in seen.groupBy("lang").agg(F.count("*").alias("n")).collect()}   # one row per language
     if not counts:

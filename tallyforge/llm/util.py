@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.once import checkpoint_folder
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,13 +17,9 @@ def read(spark: SparkSession, base_dir: str, name: str, *columns: str) -> DataFr
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors
-    share; a private one is set only when the setting is absent (local
-    tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
-    return (named or sc.getCheckpointDir()).rstrip("/")
+    share; a private one only for local sessions (tests), an error on a
+    cluster without the setting."""
+    return checkpoint_folder(spark)
 
 
 def cut(df: DataFrame, rows: int = 100_000) -> DataFrame:
