@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut, few, semi
+from .util import cut, semi
 
 
-SMALL_GROUP = 32      # nodes of a key that are compared pair by pair at once
+PIVOT_ROUNDS = 4      # at most; a round without a new link is the last
 
 
 def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
@@ -57,21 +57,22 @@ def shared_only(keys: DataFrame, unique: bool) -> DataFrame:
         dup = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     else:
         dup = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    return cut(semi(keys, cut(dup.select("key")), "key").distinct())
+    shared = semi(keys, cut(dup.select("key")), "key")
+    return cut(shared if unique else shared.distinct())
 
 
 def with_sketch(sets: DataFrame) -> DataFrame:
-    """Adds n, the set's size, and a 512-bit parity sketch: every element
-    flips one bit, so the Hamming distance of two sketches is at most the
-    symmetric difference of the sets."""
-    flip = lambda a, h: a.bitwiseXOR(F.call_function(
-        "shiftleft", F.lit(1).cast("long"), F.shiftright(h, 3).bitwiseAND(F.lit(63).cast("long")).cast("int")))
-
-    def word(w: int):
-        return F.aggregate(F.filter("hashes", lambda h: h.bitwiseAND(F.lit(7).cast("long")) == w), F.lit(0).cast("long"), flip)
-
-    words = [word(w) for w in range(8)]
-    return sets.select("node", F.size("hashes").alias("n"), F.array(*words).alias("sketch"))
+    """``sets`` (node, hashes; each node once, its hashes distinct) -> node,
+    n, the set's size, and a 512-bit parity sketch: every element flips one
+    bit, so the Hamming distance of two sketches is at most the symmetric
+    difference of the sets."""
+    low = lambda c, bits: c.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    h = sets.select("node", F.explode("hashes").alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low(F.shiftright("h", 3), 6).cast("int"))
+    h = h.select("node", low(F.col("h"), 3).alias("w"), bit.alias("bit"))
+    words = [F.bit_xor(F.when(F.col("w") == w, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(8)]
+    out = h.groupBy("node").agg(F.count("*").cast("int").alias("n"), *words)
+    return out.select("node", "n", F.array(*[F.col(f"w{w}") for w in range(8)]).alias("sketch"))
 
 
 def _apart(a, b):
@@ -103,68 +104,75 @@ def _likely(percent: int):
 
 
 def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
-                      percent: int, rounds: int = 2) -> DataFrame:
+                      percent: int, own_set: Callable[[Column], Column] = lambda c: c) -> DataFrame:
     """Components of the links (Jaccard similarity of at least ``percent``)
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
     only, ``profiles`` (node, n, sketch, perhaps wide) their nodes; both are materialised.
-    ``fetch`` takes materialised nodes and gives their sets (node, hashes).
-
-    Keys of up to ``SMALL_GROUP`` nodes are compared pair by pair at once.
-    For larger ones, each round compares a key's nodes with one pivot node
-    and merges what links, so a group of g copies takes g comparisons instead of g * g.  What
-    is left in a key afterwards, nodes of different components, is compared
-    pair by pair.  Pairs whose sizes or parity sketches rule a link out are
-    not compared: no link is lost, and pairs inside a component, which can't
-    change the result, are never made."""
+    ``fetch`` takes materialised nodes and gives rows (node, own), ``own_set``
+    makes the set, distinct hashes, of an ``own``: what travels to a pair may
+    be smaller than its set.
+
+    Each round compares every key's nodes with one of them, its pivot, and
+    merges what links, so a group of g copies takes g comparisons instead of
+    g * g; keys whose nodes have become one component are dropped, and the
+    next round's pivots are others.  Once a round finds no new link, or after
+    ``PIVOT_ROUNDS``, what is left in a key, nodes of different components,
+    is compared pair by pair.  Pairs whose sizes or parity sketches rule a
+    link out are not compared: no link is lost, and pairs inside a component,
+    which can't change the result, are never made."""
     wide, every = "wide" in profiles.columns, profiles
     profiles = every.select("node", "n", "sketch")
     second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
-
-    def every_pair(here: DataFrame) -> DataFrame:
-        here = here.join(profiles, "node")
-        there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
-        return here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
-
-    large = cut(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SMALL_GROUP).select("key"))
-    small, keys = keys.join(few(large), "key", "left_anti"), cut(semi(keys, large, "key"))
     tested = edges = labels = None
-    for r in range(-1, rounds + 1):
-        here = _with_components(small if r < 0 else keys, labels)
-        if r < 0:
-            pairs = every_pair(here)
-        elif r < rounds:
-            order = F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "comp")
-            pivot = (here.groupBy("key").agg(F.min(order).alias("p"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                     .where("lo < hi").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc")))
-            pairs = here.join(pivot, "key").where("comp != pc").select("node", F.col("pn").alias("node2")).distinct()
-            pairs = pairs.join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
-        else:
+    links, rounds = 0, 0
+    while True:
+        last = rounds >= PIVOT_ROUNDS
+        here = _with_components(keys, labels)
+        if rounds:
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            pairs = every_pair(cut(here.join(mixed, "key", "left_semi")))
+            here = cut(semi(here, cut(mixed), "key"))
+            keys = here.select("key", "node")
+        if last:
+            here = here.join(profiles, "node")
+            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
+            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
+        else:
+            order = F.struct(F.xxhash64(F.lit(rounds), "node").alias("h"), "node", "comp")
+            pivot = here.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc"))
+            pairs = here.join(pivot, "key").where("comp != pc").select(F.least("node", "pn").alias("node"), F.greatest("node", "pn").alias("node2"))
+            pairs = pairs.distinct().join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
         pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if wide:
-            pairs = cut(_wide_enough(pairs, every, percent))
-        sets = fetch(cut(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
-        good = _similar(pairs, sets, percent)
-        edges = cut(good if edges is None else edges.unionByName(good))
-        labels = cut(components(edges))
+        found = 0
+        if not pairs.isEmpty():
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            if wide:
+                pairs = cut(_wide_enough(pairs, every, percent))
+            nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+            good = _similar(pairs, fetch(cut(nodes.distinct())), percent, own_set)
+            edges = cut(good if edges is None else edges.unionByName(good))
+            found, links = edges.count() - links, edges.count()
+            if found:
+                labels = cut(components(edges))
+        if last:
+            break
+        rounds = rounds + 1 if found else PIVOT_ROUNDS
     if labels is None:
         return profiles.select("node", F.col("node").alias("comp")).limit(0)
     return labels
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, compared exactly."""
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("x", "y")))
-    return both.where(100 * F.col("i") >= percent * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int, own_set: Callable[[Column], Column]) -> DataFrame:
+    """The pairs whose sets are similar enough, compared exactly (each set is
+    made once: a filter on computed columns would compute them again)."""
+    left = sets.select(F.col("node").alias("a"), F.col("own").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
+    both = F.array(F.struct(own_set(F.col("x")).alias("x"), own_set(F.col("y")).alias("y")))
+    sizes = F.transform(both, lambda s: F.struct(F.size(F.array_intersect(s.x, s.y)).alias("i"), (F.size(s.x) + F.size(s.y)).alias("n")))
+    enough = F.get(F.transform(sizes, lambda s: 100 * s.i >= percent * (s.n - s.i)), 0)
+    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
 
 
 def _with_components(keys: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -1,21 +1,23 @@
 """Fuzzy line deduplication by MinHash, DataFrame functions only.
 
 A line's set is its character shingles: the 12 characters from every place
-(the whole line if it is shorter).  24 MinHashes are the halves of 12 seeded
-64-bit hashes of a shingle's hash, which order a set independently of each
-other; they are minima, so they are reduced per distinct line before the
-shuffle, and equal lines fall together there.  Eight bands of three (recall
-0.997 at similarity 0.8, tested on sets of 5 to 20) give the candidates,
-which are verified by exact Jaccard similarity of the shingle sets;
-union-find joins verified links, and the first line of each component (by
-doc_id, text hash, line number) stays.
+(the whole line if it is shorter), cut from its UTF-32 bytes, where every
+character takes four.  12 MinHashes are the halves of 6 seeded 64-bit hashes
+of a shingle's hash, which order a set independently of each other; they are
+minima, so they are reduced per distinct line before the shuffle, and equal
+lines fall together there.  Six bands of two (recall 0.998 at similarity 0.8,
+tested on sets of 5 to 20) give the candidates, which are verified by exact
+Jaccard similarity of the shingle sets; union-find joins verified links, and
+the first line of each component (by doc_id, text hash, line number) stays.
 
 Defined results: lines of fewer than ``least`` characters (spaces at the
-ends not counted) are too short to tell and always stay; null text stays
-null; a document all of whose lines go keeps an empty text (``dedup_lines``)
-or goes (``keep_documents``); rows equal in doc_id and text are one document
-and share their fate; a null doc_id sorts first; an empty table gives an
-empty result.  Input columns named like an output column are replaced.
+ends not counted) are too short to compare by shingles and are repeats only
+if equal; lines without a character beyond white space always stay; null
+text stays null; a document all of whose lines go keeps an empty text
+(``dedup_lines``) or goes (``keep_documents``); rows equal in doc_id and text
+are one document and share their fate; a null doc_id sorts first; an empty
+table gives an empty result.  Input columns named like an output column are
+replaced, other extra columns are kept whatever their names.
 """
 
 from __future__ import annotations
@@ -24,32 +26,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only, with_sketch
-from .util import cut, semi, without
+from .util import WORD, cut, few, fresh, semi, without
 
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 6, 2
 LEAST = 24
 PERCENT = 80
-PIECES = r"(?s)(?=(.{12}|\A.{1,11}(?!.)))."
+SHINGLE = 12
 OUT = ("n_lines", "n_removed")
 
 
-def pieces(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(PIECES), 1)
+def starts(code: Column) -> Column:
+    """Where the shingles of a line in UTF-32 begin, counted in bytes from 1."""
+    return F.sequence(F.lit(1), F.greatest(F.length(code) - F.lit(4 * SHINGLE - 1), F.lit(1)), F.lit(4))
 
 
-def line_rows(docs: DataFrame, least: int) -> DataFrame:
-    """(doc_id, text_hash, line_no, node, line) of the lines long enough."""
+def piece(code: Column, at: Column) -> Column:
+    return F.xxhash64(F.substring(code, at, F.lit(4 * SHINGLE)))
+
+
+def line_set(line: Column) -> Column:
+    """The distinct hashes of a line's shingles (bound to ``code`` once)."""
+    sets = F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.array_distinct(F.transform(starts(c), lambda i: piece(c, i))))
+    return F.get(sets, 0)
+
+
+def line_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, line_no, node, line) of the lines that aren't blank."""
     d = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"),
                                               F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    d = d.withColumn("line", F.trim(F.col("line"))).where(F.length("line") >= least)
+    d = d.withColumn("line", F.trim(F.col("line"))).where(F.col("line").rlike(WORD))
     return d.withColumn("node", F.xxhash64("line"))
 
 
 def set_keys(shingles: DataFrame) -> DataFrame:
-    """(node, keys) of the sets given as rows (node, p): a key for each band."""
-    h = shingles.select("node", F.xxhash64("p").alias("h"))
-    h = h.select("node", *[F.xxhash64(F.lit(i), "h").alias(f"x{i}") for i in range(BANDS * ROWS // 2)])
-    halves = [f(F.col(f"x{i}")) for i in range(BANDS * ROWS // 2) for f in (
+    """(node, keys) of the sets given as rows (node, h): a key for each band."""
+    hashes = BANDS * ROWS // 2
+    h = shingles.select("node", *[F.xxhash64(F.lit(i), "h").alias(f"x{i}") for i in range(hashes)])
+    halves = [f(F.col(f"x{i}")) for i in range(hashes) for f in (
         lambda x: F.shiftright(x, 32), lambda x: F.shiftright(F.shiftleft(x, 32), 32))]
     sig = h.groupBy("node").agg(*[F.min(x).alias(f"m{i}") for i, x in enumerate(halves)])
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
@@ -58,43 +71,60 @@ def set_keys(shingles: DataFrame) -> DataFrame:
 
 def band_keys(lines: DataFrame) -> DataFrame:
     """(key, node): a row for each band of each distinct line."""
-    keys = set_keys(lines.select("node", F.explode(pieces(F.col("line"))).alias("p")))
+    code = lines.select("node", F.encode("line", "UTF-32").alias("code"))
+    at = code.select("node", "code", F.explode(starts(F.col("code"))).alias("at"))
+    keys = set_keys(at.select("node", piece(F.col("code"), F.col("at")).alias("h")))
     return cut(keys, 50_000).select(F.explode("keys").alias("key"), "node")
 
 
 def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go."""
-    lines = line_rows(docs.select("doc_id", "text"), least)
-    keys = shared_only(band_keys(lines), unique=True)
+    lines = line_rows(docs.select("doc_id", "text"))
+    wide = lines.where(F.length("line") >= least).select("node", "line")
+    keys = shared_only(band_keys(wide), unique=True)
     nodes = cut(keys.select("node").distinct())
-    sets = semi(lines.select("node", "line"), nodes, "node").dropDuplicates(["node"]).select(
-        "node", F.array_distinct(F.transform(pieces(F.col("line")), lambda p: F.xxhash64(p))).alias("hashes"))
-    sets = cut(sets, 10_000)
-    labels = linked_components(keys, cut(with_sketch(sets)), lambda _: sets, percent)
-    found = lines.select("doc_id", "text_hash", "line_no", "node").join(labels, "node", "left").select(
-        "doc_id", "text_hash", "line_no", F.coalesce("comp", "node").alias("comp"))
-    found = cut(found)
+    texts = cut(semi(wide, nodes, "node").groupBy("node").agg(F.first("line").alias("line")), 10_000)
+    profiles = cut(with_sketch(texts.select("node", line_set(F.col("line")).alias("hashes"))))
+    labels = linked_components(keys, profiles, lambda wanted: semi(texts, wanted, "node").select("node", F.col("line").alias("own")),
+                               percent, own_set=line_set)
     at = F.struct("doc_id", "text_hash", "line_no")
-    first = found.groupBy("comp").agg(F.min(at).alias("f"), F.max(at).alias("l")).where("f < l").select("comp", "f")
-    gone = found.join(first, "comp").where(at != F.col("f"))
+    seen = lines.groupBy("node").agg(F.min(at).alias("f"), F.max(at).alias("l")).join(labels, "node", "left")
+    seen = cut(seen.where("f < l or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "f"))
+    first = seen.groupBy("comp").agg(F.min("f").alias("first"))
+    seen = cut(seen.join(first, "comp").select("node", "first"))
+    gone = lines.join(few(seen), "node").where(at != F.col("first"))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed"))
 
 
+def few_lists(gone: DataFrame, removed: str) -> DataFrame:
+    """``gone`` (materialised), marked for broadcast if its rows and line
+    numbers come to at most 32 MB; beyond, its join shuffles."""
+    size = gone.agg(F.sum(F.lit(64) + 4 * F.size(removed)).alias("b")).first().b or 0
+    return F.broadcast(gone) if size <= 32 << 20 else gone
+
+
+def _shortened(docs: DataFrame, least: int, percent: int, counts: tuple[str, str]) -> DataFrame:
+    """``docs`` with the text less its repeated lines, and two counts."""
+    own, text_hash, removed, lines = fresh(docs, "own", "text_hash", "removed", "lines")
+    gone = cut(removed_lines(docs, least, percent).toDF(own, text_hash, removed))
+    d = docs.join(few_lists(gone, removed), (F.xxhash64("text") == F.col(text_hash)) & F.col("doc_id").eqNullSafe(F.col(own)), "left")
+    d = d.withColumn(lines, F.split("text", "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
+    text = F.when(F.col(removed).isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    n_removed = F.when(F.col(removed).isNull(), 0).otherwise(F.size(removed)).cast("long")
+    return d.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+                    n_lines.alias(counts[0]), n_removed.alias(counts[1]))
+
+
 def dedup_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the text less its repeated lines, n_lines, n_removed."""
-    docs = without(docs, *OUT)
-    gone = removed_lines(docs, least, percent).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_t"), "removed")
-    d = docs.join(gone, (F.xxhash64("text") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    d = d.withColumn("_lines", F.split("text", "\n"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("removed"))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n"))
-    return (d.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long"))
-            .withColumn("n_removed", F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long"))
-            .withColumn("text", text).select(*docs.columns, *OUT))
+    return _shortened(without(docs, *OUT), least, percent, OUT)
 
 
 def keep_documents(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
     """The columns of ``docs``; documents all of whose lines went are gone."""
-    d = dedup_lines(docs, least, percent)
-    return d.where("n_removed = 0 or text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select(*docs.columns)
+    counts = fresh(docs, *OUT)
+    d = _shortened(docs, least, percent, counts)
+    return d.where((F.col(counts[1]) == 0) | F.col("text").rlike(WORD)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
-from .util import cut, few, semi
+from .util import cut, few, fresh, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
@@ -133,7 +133,7 @@ def _sets(k: int):
             w = split_words(batch.column("text"), SPACE_WORDS)
             found = [shingles(w, d, k) for d in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_hashes(s)[0] if len(s) else 0 for s in found], pa.int64()), _lists(found)], ["node", "hashes"])
+                [pa.array([set_hashes(s)[0] if len(s) else 0 for s in found], pa.int64()), _lists(found)], ["node", "own"])
 
     return run
 
@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
         one = semi(full, wanted.withColumnRenamed("node", "h1"), "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
         one = cut(one.select(F.col("r.text_hash").alias("text_hash"), F.col("r.doc_id").alias("_id")))
         texts = d.join(few(one), "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
-        return cut(texts.mapInArrow(_sets(k), "node long, hashes array<long>").dropDuplicates(["node"]), 2_000)
+        return cut(texts.mapInArrow(_sets(k), "node long, own array<long>").dropDuplicates(["node"]), 2_000)
 
     labels = linked_components(keys, profiles, fetch, percent)
     classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
@@ -178,11 +178,13 @@ def keep_first(docs: DataFrame, k: int, percent: int) -> DataFrame:
     found = near_duplicates(docs, k, percent)
     first = found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
     alone = found.where("n_shingles = 0").select(F.struct("doc_id", "text_hash").alias("r"))
-    keep = first.select("r").unionByName(alone).select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_t")).distinct()
-    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_n"))
-    keep = cut(keep.join(times, (F.col("_t") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))).select("_id", "_t", "_n"))
-    same = (F.xxhash64("text") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    once = docs.join(few(keep.where("_n = 1")), same, "left_semi")
-    again = docs.join(few(keep.where("_n > 1")), same, "left_semi")          # only repeated rows are shuffled
-    number = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")] or ["doc_id"]))
-    return once.unionByName(again.withColumn("_n", number).where("_n = 1").drop("_n"))
+    own, text_hash, times = fresh(docs, "own", "text_hash", "times")
+    keep = first.select("r").unionByName(alone).select(F.col("r.doc_id").alias(own), F.col("r.text_hash").alias(text_hash)).distinct()
+    number = found.groupBy(F.col("doc_id").alias("i"), F.col("text_hash").alias("t")).agg(F.count("*").alias(times))
+    keep = cut(keep.join(number, (F.col(text_hash) == F.col("t")) & F.col(own).eqNullSafe(F.col("i"))).select(own, text_hash, times))
+    same = (F.xxhash64("text") == F.col(text_hash)) & F.col("doc_id").eqNullSafe(F.col(own))
+    once = docs.join(few(keep.where(F.col(times) == 1)), same, "left_semi")
+    again = docs.join(few(keep.where(F.col(times) > 1)), same, "left_semi")          # only repeated rows are shuffled
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*others or [F.col("doc_id")]))
+    return once.unionByName(again.withColumn(times, order).where(F.col(times) == 1).drop(times))

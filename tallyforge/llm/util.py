@@ -50,6 +50,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in names])
 
 
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """``names``, each with as many underscores behind it as it takes to be
+    none of the columns of ``df`` (Spark tells no upper from lower case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return tuple(out)
+
+
 def word_list(text: Column) -> Column:
     """Whitespace-separated words of the whole text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+"), "")
