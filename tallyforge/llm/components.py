@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .util import cut, semi
 
 
-PIVOT_ROUNDS = 4      # at most; a round without a new link is the last
+PIVOT_ROUNDS = 2      # at most; a round without a new link is the last
 
 
 def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
