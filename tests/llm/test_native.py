@@ -220,3 +220,18 @@ def test_lines_without_spaces_link_when_shifted(spark):
     rows = [(0, han), (1, "x" + han), (2, url), (3, ">" + url), (4, han[::-1]), (5, "x" + url[::-1])]
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.n_removed for r in out.collect()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
+
+
+def test_line_dedup_keeps_columns_named_like_its_own(spark):
+    rng = random.Random(31)
+    line = prose(rng, 30)
+    names = ["own", "text_hash", "removed", "lines", "node", "line", "comp", "first", "at", "n_removed"]
+    rows = [(0, f"{line}\nFirst one\nshort\n \n", *range(10)), (1, f"new\n{line}\nshort\n \n", *range(10, 20)), (2, line, *range(20, 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", *names[:-1], "n_lines", "n_removed"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert [got[i].text for i in range(3)] == [rows[0][1], "new\n \n", ""]
+    assert [got[i].n_removed for i in range(3)] == [0, 2, 1] and [got[i].node for i in range(3)] == [4, 14, 24]
+    kept = line_dedup.keep_documents(df)
+    assert kept.columns == df.columns and sorted(r.n_removed for r in kept.collect()) == [9, 19]
