@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from .util import cut, semi
 
 
-PIVOT_ROUNDS = 2      # at most; a round without a new link is the last
+PIVOTS = (1, 4)       # for each key, round by round; a round without a new link is the last
+CROWD = 32            # further pivots stand for as many nodes at least; fewer are soon compared pair by pair
 
 
 def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
@@ -62,35 +63,42 @@ def shared_only(keys: DataFrame, unique: bool) -> DataFrame:
 
 
 def with_sketch(sets: DataFrame) -> DataFrame:
-    """``sets`` (node, hashes; each node once, its hashes distinct) -> node,
-    n, the set's size, and a 512-bit parity sketch: every element flips one
-    bit, so the Hamming distance of two sketches is at most the symmetric
-    difference of the sets."""
-    low = lambda c, bits: c.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-    h = sets.select("node", F.explode("hashes").alias("h"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low(F.shiftright("h", 3), 6).cast("int"))
-    h = h.select("node", low(F.col("h"), 3).alias("w"), bit.alias("bit"))
-    words = [F.bit_xor(F.when(F.col("w") == w, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"w{w}") for w in range(8)]
-    out = h.groupBy("node").agg(F.count("*").cast("int").alias("n"), *words)
-    return out.select("node", "n", F.array(*[F.col(f"w{w}") for w in range(8)]).alias("sketch"))
-
-
-def _apart(a, b):
-    """Hamming distance of two sketches of equal length."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    """``sets`` (node, hashes; each node once, its hashes distinct, rows dealt
+    by node) -> node, n, the set's size, and a parity sketch: every element
+    flips one bit, so the Hamming distance of two sketches is at most the
+    symmetric difference of the sets.  It has 512 bits, and for sets of more
+    than 256 the power of two from twice their size on."""
+    long = lambda c: c.cast("long")
+    words = F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / 32))).cast("int"))
+    sized = sets.select("node", "hashes", F.size("hashes").alias("n")).select("node", "n", "hashes", words.alias("words"))
+    place = F.transform("hashes", lambda h: F.struct(
+        h.bitwiseAND(long(F.col("words") - 1)).cast("int").alias("w"),
+        F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned(h, 58).cast("int")).alias("bit")))
+    blank = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda w: F.struct(w.alias("w"), long(F.lit(0)).alias("bit")))
+    bits = sized.select("node", "n", F.explode(F.concat(place, blank)).alias("p"))
+    done = bits.groupBy("node", "n", F.col("p.w").alias("w")).agg(F.bit_xor("p.bit").alias("bits"))
+    done = done.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all"))
+    return done.select("node", "n", F.col("all.bits").alias("sketch"))
+
+
+def _apart(x: Column, y: Column) -> Column:
+    """Hamming distance of two sketches.  The longer of two is folded (its
+    halves xor-ed), which keeps the bound; sets that may link differ by at
+    most one doubling."""
+    half = lambda c: F.floor(F.size(c) / 2).cast("int")
+    fold = lambda c: F.zip_with(F.slice(c, 1, half(c)), F.slice(c, half(c) + 1, half(c)), lambda p, q: p.bitwiseXOR(q))
+    a = F.when(F.size(x) > F.size(y), fold(x)).otherwise(x)
+    b = F.when(F.size(y) > F.size(x), fold(y)).otherwise(y)
+    return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
 
 
 def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) less those that the sketches of large sets rule out.
     512 bits say nothing about sets of thousands; ``wide`` has a bit for each
     element, its length a power of two, and is empty for sets that ``sketch``
-    serves.  The longer of two is folded (its halves xor-ed), which keeps the
-    bound; sets that may link differ by at most one doubling."""
+    serves."""
     x, y = F.col("wide"), F.col("wide2")
-    half = lambda c: F.floor(F.size(c) / 2).cast("int")
-    fold = lambda c: F.zip_with(F.slice(c, 1, half(c)), F.slice(c, half(c) + 1, half(c)), lambda p, q: p.bitwiseXOR(q))
-    apart = _apart(F.when(F.size(x) > F.size(y), fold(x)).otherwise(x), F.when(F.size(y) > F.size(x), fold(y)).otherwise(y))
-    fits = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
+    fits = (100 + percent) * _apart(x, y) <= (100 - percent) * (F.col("n") + F.col("n2"))
     both = pairs.join(profiles.select(F.col("node").alias("a"), "n", "wide"), "a").join(
         profiles.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("wide").alias("wide2")), "b")
     return both.where((F.size(x) == 0) | (F.size(y) == 0) | fits).select("a", "b")
@@ -112,11 +120,11 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     makes the set, distinct hashes, of an ``own``: what travels to a pair may
     be smaller than its set.
 
-    Each round compares every key's nodes with one of them, its pivot, and
-    merges what links, so a group of g copies takes g comparisons instead of
-    g * g; keys whose nodes have become one component are dropped, and the
-    next round's pivots are others.  Once a round finds no new link, or after
-    ``PIVOT_ROUNDS``, what is left in a key, nodes of different components,
+    Each round compares every key's nodes with a few of them, its pivots
+    (``PIVOTS``), and merges what links, so a group of g copies takes g
+    comparisons instead of g * g; keys whose nodes have become one component
+    are dropped, and the next round's pivots are others.  Once a round finds
+    no new link, or after the last, what is left in a key, nodes of different components,
     is compared pair by pair.  Pairs whose sizes or parity sketches rule a
     link out are not compared: no link is lost, and pairs inside a component,
     which can't change the result, are never made."""
@@ -126,7 +134,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     tested = edges = labels = None
     links, rounds = 0, 0
     while True:
-        last = rounds >= PIVOT_ROUNDS
+        last = rounds >= len(PIVOTS)
         here = _with_components(keys, labels)
         if rounds:
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
@@ -138,7 +146,9 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
         else:
             order = F.struct(F.xxhash64(F.lit(rounds), "node").alias("h"), "node", "comp")
-            pivot = here.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc"))
+            part = F.pmod("node", F.lit(PIVOTS[rounds]))
+            pivot = here.groupBy("key", part.alias("part")).agg(F.min(order).alias("p"), F.count("*").alias("g"))
+            pivot = pivot.where(f"part = 0 or g >= {CROWD}").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc"))
             pairs = here.join(pivot, "key").where("comp != pc").select(F.least("node", "pn").alias("node"), F.greatest("node", "pn").alias("node2"))
             pairs = pairs.distinct().join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
         pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
@@ -158,7 +168,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
                 labels = cut(components(edges))
         if last:
             break
-        rounds = rounds + 1 if found else PIVOT_ROUNDS
+        rounds = rounds + 1 if found else len(PIVOTS)
     if labels is None:
         return profiles.select("node", F.col("node").alias("comp")).limit(0)
     return labels

@@ -84,7 +84,7 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     keys = shared_only(band_keys(wide), unique=True)
     nodes = cut(keys.select("node").distinct())
     texts = cut(semi(wide, nodes, "node").groupBy("node").agg(F.first("line").alias("line")), 10_000)
-    profiles = cut(with_sketch(texts.select("node", line_set(F.col("line")).alias("hashes"))))
+    profiles = cut(with_sketch(texts.repartition("node").select("node", line_set(F.col("line")).alias("hashes"))))
     labels = linked_components(keys, profiles, lambda wanted: semi(texts, wanted, "node").select("node", F.col("line").alias("own")),
                                percent, own_set=line_set)
     at = F.struct("doc_id", "text_hash", "line_no")
