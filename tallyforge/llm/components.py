@@ -15,6 +15,7 @@ from .util import cut, semi
 
 
 PIVOTS = (1, 4)       # for each key, round by round; a round without a new link is the last
+FIRSTS = 16           # smallest keys of a node, to tell a pair's first common key by
 CROWD = 32            # further pivots stand for as many nodes at least; fewer are soon compared pair by pair
 
 
@@ -71,14 +72,14 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     long = lambda c: c.cast("long")
     words = F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / 32))).cast("int"))
     sized = sets.select("node", "hashes", F.size("hashes").alias("n")).select("node", "n", "hashes", words.alias("words"))
-    place = F.transform("hashes", lambda h: F.struct(
-        h.bitwiseAND(long(F.col("words") - 1)).cast("int").alias("w"),
-        F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned(h, 58).cast("int")).alias("bit")))
-    blank = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda w: F.struct(w.alias("w"), long(F.lit(0)).alias("bit")))
-    bits = sized.select("node", "n", F.explode(F.concat(place, blank)).alias("p"))
-    done = bits.groupBy("node", "n", F.col("p.w").alias("w")).agg(F.bit_xor("p.bit").alias("bits"))
-    done = done.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all"))
-    return done.select("node", "n", F.col("all.bits").alias("sketch"))
+    bit = F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned("h", 58).cast("int"))
+    bits = sized.select("node", "n", "words", F.explode("hashes").alias("h"))
+    word = F.col("h").bitwiseAND(long(F.col("words") - 1)).cast("int")
+    done = bits.groupBy("node", "n", "words", word.alias("w")).agg(F.bit_xor(bit).alias("bits"))
+    done = done.groupBy("node", "n", "words").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("some"))
+    found = F.map_from_entries("some")
+    filled = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda w: F.coalesce(F.try_element_at(found, w), long(F.lit(0))))
+    return done.select("node", "n", F.when(F.size("some") == F.col("words"), F.col("some.bits")).otherwise(filled).alias("sketch"))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -141,9 +142,12 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             here = cut(semi(here, cut(mixed), "key"))
             keys = here.select("key", "node")
         if last:
-            here = here.join(profiles, "node")
-            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), *second)
-            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent))
+            firsts = here.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, FIRSTS).alias("firsts"))
+            here = here.join(profiles, "node").join(firsts, "node")
+            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), F.col("firsts").alias("firsts2"), *second)
+            before = F.array_min(F.array_intersect("firsts", "firsts2"))      # a pair comes once, with its first common key
+            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent)
+                              & (before.isNull() | (F.col("key") <= before)))
         else:
             order = F.struct(F.xxhash64(F.lit(rounds), "node").alias("h"), "node", "comp")
             part = F.pmod("node", F.lit(PIVOTS[rounds]))

@@ -282,3 +282,45 @@ def test_license_repeats_close_together_and_long_insertions(spark):
     for r in got.values():
         spans = sorted((m.start, m.end) for m in r.matches if m.license == r.matches[0].license)
         assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_native_sketches_bound_the_difference(spark):
+    """Sets of 1 to 5,000 hashes: the size is kept, the sketch has two bits an
+    element at least, and the distance of two sketches, folded to the shorter,
+    is at most their sets' difference and not far below it."""
+    from tallyforge.llm.components import _apart, with_sketch
+    rng = random.Random(11)
+    sets = {}
+    for i, n in enumerate([1, 5, 40, 250, 260, 900, 1030, 5000]):
+        s = [rng.randrange(-2**63, 2**63) for _ in range(n)]
+        sets[2 * i] = s
+        sets[2 * i + 1] = s[n // 10:] + [rng.randrange(-2**63, 2**63) for _ in range(n // 20)]
+    rows = spark.createDataFrame(list(sets.items()), "node long, hashes array<long>")
+    done = with_sketch(rows.repartition("node")).cache()
+    for r in done.collect():
+        assert r.n == len(sets[r.node]) and len(r.sketch) * 64 >= max(512, 2 * r.n)
+        assert len(r.sketch) & (len(r.sketch) - 1) == 0
+    pairs = done.where("node % 2 = 0").select("node", F.col("sketch").alias("x")).join(
+        done.where("node % 2 = 1").select((F.col("node") - 1).alias("node"), F.col("sketch").alias("y")), "node")
+    apart = {r.node: r.d for r in pairs.select("node", _apart(F.col("x"), F.col("y")).alias("d")).collect()}
+    assert len(apart) == 8
+    for node, d in apart.items():
+        real = len(set(sets[node]) ^ set(sets[node + 1]))
+        assert 0.8 * real <= d <= real, (node, d, real)
+
+
+def test_groups_left_to_pairs_lose_no_link(spark):
+    """One key holds a chain: each set links only with its neighbours, so no
+    pivot reaches far; keys are repeated so that pairs share several."""
+    from tallyforge.llm.components import linked_components, with_sketch
+    chains, steps, n = 3, 40, 100
+    sets = {}
+    for c in range(chains):
+        for i in range(steps):
+            sets[c * 1000 + i] = [c * 10**6 + v * 7919 * 10**9 for v in range(i * 8, i * 8 + n)]
+    rows = spark.createDataFrame(list(sets.items()), "node long, hashes array<long>").cache()
+    keys = spark.createDataFrame([(k, node) for node in sets for k in range(25)], "key long, node long").cache()
+    labels = linked_components(keys, with_sketch(rows.repartition("node")).cache(),
+                               lambda wanted: rows.join(wanted, "node", "left_semi").selectExpr("node", "hashes as own"), 80)
+    got = {r.node: r.comp for r in labels.collect()}
+    assert got == {node: node // 1000 * 1000 for node in sets}
