@@ -8,12 +8,15 @@ leave of a run is a candidate, too.  The network is trained on
 labelled findings: the windows of rule matches, with and without the
 name that gives them away (positive; bare digit runs, which are mostly card numbers,
 negative), and of candidates that are plainly words and numbers (``plain``;
-negative), in a bounded sample of ``SAMPLE_DOCS`` documents, whole texts.
+negative), all distinct ones of all documents, whole texts.
 Other candidates have no label: a bare key among them must not be taught to
-be clean.  The scores are calibrated on held-out windows; the threshold is the highest at which
-``MIN_RECALL`` of the held-out positives pass.
+be clean.  Windows are dealt into shards of about ``SHARD`` of each label (the
+rarer label's go to several); in each of ``EPOCHS`` rounds every shard trains
+on from the common weights, which then are the shards' mean.  The scores are
+calibrated on held-out windows, a quarter of all; the threshold is the highest at which
+``MIN_RECALL`` of the held-out positives pass (to 2 ** -40 of a raw score).
 
-Defined results: null text is empty; without positive labels the network
+Defined results: null text is empty; without windows of both labels the network
 adds nothing; repeated rows are scanned alike; an empty table gives an
 empty result.  Spans are code points, end exclusive.  Input columns named
 like an output column are replaced.
@@ -21,6 +24,7 @@ like an output column are replaced.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
 from collections.abc import Iterator
@@ -30,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import without
+from .util import cut, without
 
 KINDS = ("assign", "access", "hex", "cnn")
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -39,8 +43,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SIGNS, PLAIN = re.compile(r"[+/_=-]+"), re.compile(r"[A-Z]?[a-z]{0,15}|[A-Z]{1,15}|[0-9]{1,8}")
-SAMPLE_DOCS = 6_000
-SAMPLE_WINDOWS = 3_000      # of each label
+SHARD = 3_000               # windows of each label
+EPOCHS = 12
+SUM = "decimal(30,18)"      # weights are summed as decimals: the same in any order
 MIN_RECALL = 0.98
 BEFORE, INSIDE, AFTER = 16, 32, 8
 WIDTH = BEFORE + INSIDE + AFTER
@@ -118,6 +123,9 @@ class CharNet:
         self.span = span
         self.p = {"emb": r.normal(0, 0.3, (127, depth)), "conv": r.normal(0, 0.3, (span * depth, filters)),
                   "bias": np.zeros(filters), "out": r.normal(0, 0.3, filters), "off": np.zeros(1)}
+        self.m = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.v = {k: np.zeros_like(v) for k, v in self.p.items()}
+        self.t = 0
         self.slope, self.shift, self.threshold = 1.0, 0.0, 1.0
 
     def _forward(self, x: np.ndarray):
@@ -129,54 +137,61 @@ class CharNet:
         h = np.maximum(best, 0)
         return places, e, top, best, h, h @ self.p["out"] + self.p["off"][0]
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *[self._forward(x[i:i + 512])[-1] for i in range(0, len(x), 512)]])
+
     def score(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probabilities."""
-        if not len(x):
-            return np.zeros(0)
-        raw = np.concatenate([self._forward(x[i:i + 512])[-1] for i in range(0, len(x), 512)])
+        return self.probability(self.raw(x))
+
+    def probability(self, raw):
         return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.shift, -30, 30)))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 12, rate: float = 0.01, seed: int = 6) -> CharNet:
-        r = np.random.default_rng(seed)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(q) for k, q in self.p.items()}
+    def state(self) -> np.ndarray:
+        """All weights with both of Adam's means, in one row."""
+        return np.concatenate([d[k].ravel() for d in (self.p, self.m, self.v) for k in self.p])
+
+    def set_state(self, flat: np.ndarray) -> None:
+        at = 0
+        for d in (self.p, self.m, self.v):
+            for k, old in self.p.items():
+                d[k] = flat[at:at + old.size].reshape(old.shape)
+                at += old.size
+
+    def epoch(self, x: np.ndarray, y: np.ndarray, r: np.random.Generator, rate: float = 0.01) -> CharNet:
+        """One pass of Adam over some windows."""
         weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-        t = 0
-        for _ in range(epochs):
-            for rows in np.array_split(r.permutation(len(y)), max(1, len(y) // 64)):
-                places, e, top, best, h, raw = self._forward(x[rows])
-                d = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[rows]) * weight[rows] / len(rows)
-                dh = np.outer(d, self.p["out"]) * (best > 0)
-                picked = np.take_along_axis(e, top[:, :, None], 1)                         # n, filters, span * depth
-                g = {"out": h.T @ d, "off": d.sum(keepdims=True), "bias": dh.sum(0),
-                     "conv": np.einsum("nf,nfk->kf", dh, picked), "emb": np.zeros_like(self.p["emb"])}
-                back = (dh[:, :, None] * self.p["conv"].T[None]).reshape(len(rows), dh.shape[1], self.span, -1)
-                np.add.at(g["emb"], np.take_along_axis(places, top[:, :, None], 1), back)
-                t += 1
-                for k in self.p:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                    self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
+        for rows in np.array_split(r.permutation(len(y)), max(1, len(y) // 64)):
+            places, e, top, best, h, raw = self._forward(x[rows])
+            d = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[rows]) * weight[rows] / len(rows)
+            dh = np.outer(d, self.p["out"]) * (best > 0)
+            picked = np.take_along_axis(e, top[:, :, None], 1)                         # n, filters, span * depth
+            g = {"out": h.T @ d, "off": d.sum(keepdims=True), "bias": dh.sum(0),
+                 "conv": np.einsum("nf,nfk->kf", dh, picked), "emb": np.zeros_like(self.p["emb"])}
+            back = (dh[:, :, None] * self.p["conv"].T[None]).reshape(len(rows), dh.shape[1], self.span, -1)
+            np.add.at(g["emb"], np.take_along_axis(places, top[:, :, None], 1), back)
+            self.t += 1
+            for k in self.p:
+                self.m[k] = 0.9 * self.m[k] + 0.1 * g[k]
+                self.v[k] = 0.999 * self.v[k] + 0.001 * g[k] ** 2
+                self.p[k] = self.p[k] - rate * (self.m[k] / (1 - 0.9 ** self.t)) / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-8)
         return self
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float) -> CharNet:
-        """Slope and offset by gradient steps on held-out windows, then the
-        highest threshold that keeps the recall."""
-        raw = np.concatenate([self._forward(x[i:i + 512])[-1] for i in range(0, len(x), 512)])
-        a, b = 1.0, 0.0
+    def calibrate(self, raw: np.ndarray, y: np.ndarray, n: np.ndarray) -> CharNet:
+        """Slope and offset by gradient steps on n windows of each raw score
+        and label."""
+        a, b, share = 1.0, 0.0, n / n.sum()
         for _ in range(300):
-            d = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30))) - y
-            a, b = a - 0.05 * float((d * raw).mean()), b - 0.05 * float(d.mean())
+            d = (1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30))) - y) * share
+            a, b = a - 0.05 * float((d * raw).sum()), b - 0.05 * float(d.sum())
         self.slope, self.shift = a, b
-        s = np.sort(self.score(x[y == 1]))
-        self.threshold = float(s[int((1 - recall) * len(s))]) if len(s) else 1.0
         return self
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for text in batch.column("text").to_pylist():
+        for text in set(batch.column("text").to_pylist()):
             text = text or ""
             rules = rule_spans(text)
             for a, k, b in rules:
@@ -187,26 +202,99 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     near = text[max(0, a - BEFORE):a]
                     rows.append((window(near + text[v:w + AFTER], len(near), len(near) + w - v), found))
             rows += [(w, 0) for a, b in other_candidates(text, rules) if plain(text[a:b]) for w in windows(text, a, b)]
+        rows = sorted(set(rows))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32())],
                                          ["window", "label"])
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> CharNet | None:
-    """A network fitted on a bounded sample; None without both labels."""
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
-    picked = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found = picked.mapInArrow(_labelled, "window binary, label int")
-    by = F.xxhash64("window", F.lit(3))
-    rows = [r for k in (0, 1) for r in found.where(F.col("label") == k).select("window", "label", by.alias("h"))
-            .distinct().orderBy("h", "window").limit(sample_windows).collect()]
-    if len({r.label for r in rows}) < 2:
+def _codes(windows: bytes) -> np.ndarray:
+    return np.frombuffer(windows, np.uint8).reshape(-1, WIDTH).astype(np.int64)
+
+
+def _shards(rows: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """``rows`` (window, label, h) -> a row for each shard: its windows, one
+    behind the other, and their labels.  Every shard has windows of both
+    labels in like number: of the rarer label a window goes to several."""
+    most = max(sizes.values())
+    shards = (most - 1) // SHARD + 1
+    copies = F.when(F.col("label") == 1, min(shards, most // sizes[1])).otherwise(min(shards, most // sizes[0]))
+    dealt = rows.withColumn("j", F.explode(F.sequence(F.lit(0), copies - 1)))
+    dealt = dealt.withColumn("shard", F.pmod(F.shiftright("h", 2) + F.col("j"), F.lit(shards)))
+    packed = dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("h", "window", "label"))).alias("r"))
+    return packed.select("shard", F.col("r.window").alias("window"), F.col("r.label").alias("label")).repartition(shards).checkpoint()
+
+
+def _train_round(net: CharNet, number: int, shards: int):
+    """A pass over each shard from the common weights; its share of the new."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                own = copy.deepcopy(net)
+                x, y = _codes(b"".join(r["window"])), np.array(r["label"])
+                flat = own.epoch(x, y, np.random.default_rng([6, number, r["shard"]])).state() / shards
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), own.t))],
+                                                 ["i", "w", "t"])
+
+    return run
+
+
+def _raw_scores(net: CharNet):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = net.raw(_codes(b"".join(batch.column("window").to_pylist())))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(raw)], ["label", "raw"])
+
+    return run
+
+
+def _order_statistic(values: DataFrame, place: int) -> float:
+    """The value ``v`` with ``place`` smaller ones, or up to 2 ** -40 less:
+    found by counts in cells, then in the cells of that cell, so at most some
+    ten thousand counts are gathered at once."""
+    low, wide = None, 2.0 ** -8
+    for width in (wide, 2.0 ** -24, 2.0 ** -40):
+        cell = F.floor(F.col("v") / F.lit(width))
+        some = values if low is None else values.where((F.col("v") >= low) & (F.col("v") < low + wide))
+        for r in sorted(some.groupBy(cell.alias("c")).count().collect()):
+            if place < r[1]:
+                low, wide = r.c * width, width
+                break
+            place -= r[1]
+    return low
+
+
+def train(docs: DataFrame) -> CharNet | None:
+    """A network fitted on the labelled windows of all documents; None
+    without both labels."""
+    found = docs.select("text").mapInArrow(_labelled, "window binary, label int").distinct()
+    rows = cut(found.withColumn("h", F.xxhash64("window", F.lit(3))))
+    held = F.pmod("h", F.lit(4)) == 0
+    n = {(r.label, r.held): r["count"] for r in rows.groupBy("label", held.alias("held")).count().collect()}
+    if len({label for label, _ in n}) < 2:
         return None
-    x = np.array([list(r.window) for r in rows], np.int64)
-    y, held = np.array([r.label for r in rows]), np.array([r.h % 4 == 0 for r in rows])
-    held &= (y == 0) | ((y[held] == 1).sum() >= 5)
-    net = CharNet().fit(x[~held], y[~held])
-    return net.calibrate(x[held], y[held], MIN_RECALL) if (y[held] == 1).any() else net.calibrate(x, y, MIN_RECALL)
+    split = n.get((1, True), 0) >= 5            # else all positives are trained and calibrated on
+    fit = rows.where(~held | (F.lit(not split) & (F.col("label") == 1)))
+    sizes = {0: n.get((0, False), 0), 1: n.get((1, False), 0) + (0 if split else n.get((1, True), 0))}
+    if min(sizes.values()) == 0:                # a handful of windows
+        fit, sizes = rows, {k: n.get((k, True), 0) + n.get((k, False), 0) for k in (0, 1)}
+    shards = _shards(fit, sizes)
+    many, net = shards.count(), CharNet()
+    for i in range(EPOCHS):
+        new = shards.mapInArrow(_train_round(net, i, many), "i long, w double, t long")
+        new = new.groupBy("i").agg(F.sum(F.col("w").cast(SUM)).cast("double").alias("w"), F.max("t").alias("t")).collect()
+        flat = np.zeros(len(new))
+        flat[[r.i for r in new]] = [r.w for r in new]
+        net.set_state(flat)
+        net.t = max(r.t for r in new)
+    scores = cut((rows.where(held) if split else rows).select("window", "label").mapInArrow(_raw_scores(net), "label int, raw double"))
+    cell = F.round(F.greatest(F.least("raw", F.lit(100.0)), F.lit(-100.0)) * 256) / 256
+    counts = np.array([tuple(r) for r in sorted(scores.groupBy(cell.alias("c"), "label").count().collect())], float)
+    net.calibrate(counts[:, 0], counts[:, 1], counts[:, 2])
+    place = int((1 - MIN_RECALL) * counts[counts[:, 1] == 1, 2].sum())
+    z = F.greatest(F.least(F.col("raw") * net.slope + net.shift, F.lit(30.0)), F.lit(-30.0))
+    low = _order_statistic(scores.where("label = 1").select(z.alias("v")), place)
+    net.threshold = float(1 / (1 + np.exp(-low)))
+    return net
 
 
 def best_scores(model: CharNet, lists: list[list[bytes]]) -> np.ndarray:

@@ -139,3 +139,41 @@ def test_candidates_keep_what_rules_leave():
     long = "a" * 50 + "Zx9Kq2Lm8Rt4Vb7Nw1Zx9Kq2Lm8Rt4Vb"
     assert len(secret_scan.windows(long, 0, len(long))) == len(long) - secret_scan.INSIDE + 1
     assert secret_scan.windows(long, 0, len(long))[-1][16:48].decode() == long[-32:]
+
+
+def test_network_learns_from_every_document(spark):
+    rng = random.Random(11)
+    key = lambda n: "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGH0123456789") for _ in range(n))
+    texts = [f"{prose(rng, 3)} word-and-more-{i} {prose(rng, 3)}" for i in range(6_800)]
+    secrets = spark.createDataFrame([(f"{prose(rng, 5)} secret={key(24)}",) for _ in range(900)], "text string")
+    high = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) >= int(0.9 * (1 << 30))      # where a sample of 6,000 ends
+    texts += [r.text for r in secrets.where(high).collect()]
+    net = secret_scan.train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    assert net is not None
+    bare = spark.createDataFrame([(f"key is {key(24)} here",) for _ in range(40)], "text string")
+    assert secret_scan.scan(bare, net).where("spans like 'cnn%'").count() >= 30
+
+
+def test_training_in_shards(spark, monkeypatch):
+    rng = random.Random(12)
+    key = lambda n: "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGH0123456789") for _ in range(n))
+    texts = [f"{prose(rng, 9)} secret={key(24)} {rng.randrange(10**15, 10**16)}" for _ in range(300)]
+    texts += [f"{prose(rng, 9)} word-and-more-{i}" for i in range(900)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(secret_scan, "SHARD", 200)
+    one, again = secret_scan.train(docs.repartition(3)), secret_scan.train(docs.repartition(7))
+    assert one.threshold == again.threshold and (one.state() == again.state()).all()
+    got = secret_scan.scan(docs, one).collect()
+    scores = sorted(f.score for r in got for f in r.findings if f.kind == "assign")
+    assert scores[len(scores) // 20] >= one.threshold                # most findings pass
+    assert sum("cnn" in r.spans for r in got if "word-and" in r.text) <= 9
+    bare = spark.createDataFrame([(f"key is {key(24)} here",) for _ in range(40)], "text string")
+    assert secret_scan.scan(bare, one).where("spans like 'cnn%'").count() >= 30
+
+
+def test_order_statistic(spark):
+    rng = random.Random(13)
+    values = [rng.choice((rng.uniform(-30, 30), rng.gauss(2, 1e-9), 30.0, -30.0)) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for place in (0, 7, 250, 499):
+        assert 0 <= sorted(values)[place] - secret_scan._order_statistic(df, place) <= 2 ** -40
