@@ -21,7 +21,8 @@ Tokenizers that drop white space and never look across it are asked for new
 words only (cut at some marks, too, and with A-Z folded, if that is the same
 to them), many at a time with a special token between them; others get whole
 texts.  ``drops_spaces``, ``parts_marks``, ``folds_case`` and ``separator``
-probe for that.  Words are told apart by 64-bit hashes.
+probe for that.  Words are told apart by 64-bit hashes, and a worker process
+keeps those it met from task to task (``encoder``).
 
 Defined results: null and empty text have no ids but the end id; null
 doc_ids come first, ties by text hash; repeated rows are all written; an
@@ -32,6 +33,7 @@ ignored.
 from __future__ import annotations
 
 import json
+import os
 import posixpath
 import struct
 import uuid
@@ -51,9 +53,9 @@ from .vector import SPACE_WORDS, chunks, gathered, hash_spans, text_buffer
 MAGIC = b"TFPLANE1"
 FOOTER = struct.Struct("<6Q2I8s")     # documents at, size; index at, size; ids; documents; block; planes; magic
 BLOCK = 1 << 17
-BATCH = 4 << 20           # bytes of text encoded at once
+BATCH = 2 << 20           # bytes of text encoded at once
 RUN = 2_000               # words or texts in one call of the tokenizer
-KNOWN = 500_000           # words a task remembers
+KNOWN = 300_000           # words a worker process remembers
 GROUP = 1024              # files whose ids are summed in one step of the prefix sum
 MARKS = ",.;:!?\"()"
 LOWER = np.arange(256, dtype=np.uint8)
@@ -290,7 +292,9 @@ class Encoder:
         hashes, at, which = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > KNOWN:
             self._forget()
-        new = ~np.isin(hashes, self.known, assume_unique=True)
+        new = np.ones(len(hashes), bool)
+        if len(self.known):
+            new = self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] != hashes
         data = buf.tobytes()
         size, flat = self._encode([data[i:j].decode() for i, j in zip(starts[at[new]].tolist(), ends[at[new]].tolist())])
         known = np.concatenate((self.known, hashes[new]))
@@ -318,6 +322,20 @@ class Encoder:
         return n + 1, out
 
 
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, end_id: int) -> Encoder:
+    """This process's encoder: a worker that serves task after task loads the
+    tokenizer once and keeps the words it met.  A changed file is a new one."""
+    file = os.stat(path)
+    key = (path, end_id, file.st_ino, file.st_size, file.st_mtime_ns)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, end_id)
+    return _ENCODERS[key]
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block: int = BLOCK, planes: int = 4) -> None:
     """Write the ids of ``docs`` (doc_id, text) into new files of ``folder``
     (which all executors share) and their manifest.  ``planes``: 32 bit or 4
@@ -335,7 +353,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, bloc
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.planes"
         for batch in chunks(gathered(batches, "text", BATCH), "text", BATCH):
             if writer is None:
-                writer, encode = Writer(f"{folder}/{name}", block, planes), Encoder(tokenizer, end_id)
+                writer, encode = Writer(f"{folder}/{name}", block, planes), encoder(tokenizer, end_id)
             writer.add(batch.column("doc_id"), *encode(batch.column("text")))
         if writer is not None:
             n_docs = writer.close()

@@ -1,8 +1,10 @@
 """Token files: exact round trip, ids as the tokenizer gives them."""
 
+import os
 import random
 import struct
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -96,3 +98,20 @@ def test_empty_table_and_lost_files(spark, tmp_path):
     assert [(r.doc_id, r.start) for r in tp.read_tokens(spark, f"{tmp_path}/some", "string").orderBy("start").collect()] == [("a", 0), ("b", 2)]
     with pytest.raises(ValueError):
         tp.write_tokens(docs, f"{tmp_path}/bad", PATH, 2, planes=5)
+
+
+def test_a_worker_loads_a_tokenizer_once(tmp_path):
+    path = tmp_path / "t.json"
+    path.write_bytes(Path(PATH).read_bytes())
+    one = tp.encoder(str(path), 2)
+    texts = pa.array(["some words, and some more", None, "Words again"])
+    first, known = one(texts), len(one.known)
+    again = tp.encoder(str(path), 2)
+    assert again is one and tp.encoder(str(path), 3) is not one
+    assert known and len(again.known) == known
+    for got in (again(texts), tp.Encoder(str(path), 2)(texts)):
+        assert all((x == y).all() for x, y in zip(first, got, strict=True))
+    assert len(again.known) == known
+    again = tp.encoder(str(path), 2)
+    os.utime(path, ns=(1, 1))
+    assert tp.encoder(str(path), 2) is not again
