@@ -4,12 +4,14 @@ A document's set is its distinct 3-word shingles (A-Z lower-cased; with
 fewer words the whole sequence).  Equal sets form one class.  Sets of
 Jaccard similarity >= p % differ in at most d = (a + b)(100 - p) // (100 + p)
 shingles.  Per size band the sketch has half again as many words as d + 1,
-of 1,024 bits, d taken at the band's upper end; every shingle flips one bit,
+of 2 ** 32 bits (a sparse one: only its set bits are held), d taken at the band's upper end; every shingle flips one bit,
 so the sketches' Hamming distance, and with it the number of differing
 words, is at most the symmetric difference: of m words two linked sets agree
 in at least m - d.  Ordered by set bits (most first) and hash, an order that
 is the same for all sets, one of these words is among the first d + 1 of
-both: the words of few bits, which agree by chance, are never needed.
+both: words without a bit, which always agree, are seldom needed.  Unequal
+words of so many bits agree once in 2 ** 32 pairs at most, so unrelated sets
+share no key by chance.
 Classes are joined on (band, word number, word); sets near the top of a band
 are also sketched for the next one.  Of the candidates, those whose sizes and
 sketches (512 bits, a bit an element for larger sets) allow a link are verified by exact set similarity
@@ -37,7 +39,7 @@ from .util import cut, few, fresh, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
-WORD_BITS = 1024
+WORD_BITS = 1 << 32
 
 
 def band_bounds(most: int, ratio: float = 1.4) -> list[int]:

@@ -324,3 +324,20 @@ def test_groups_left_to_pairs_lose_no_link(spark):
                                lambda wanted: rows.join(wanted, "node", "left_semi").selectExpr("node", "hashes as own"), 80)
     got = {r.node: r.comp for r in labels.collect()}
     assert got == {node: node // 1000 * 1000 for node in sets}
+
+
+def test_many_unrelated_sets_share_no_block_key():
+    """With words of 1,024 bits, chance keys grew with the square of the sets."""
+    from collections import Counter
+
+    import numpy as np
+
+    from tallyforge.llm.parity_join import band_bounds, block_keys
+
+    rng = np.random.default_rng(8)
+    bounds = band_bounds(1 << 12)
+    holders = Counter()
+    for _ in range(3000):
+        own = np.unique(rng.integers(0, 1 << 64, int(rng.integers(150, 200)), dtype=np.uint64))
+        holders.update(set(block_keys(own, 80, bounds).tolist()))
+    assert sum(n for n in holders.values() if n > 1) <= 4
