@@ -7,6 +7,8 @@ cut into the shared checkpoint folder, nothing is gathered anywhere.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,7 +75,8 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     words = F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / 32))).cast("int"))
     sized = sets.select("node", "hashes", F.size("hashes").alias("n")).select("node", "n", "hashes", words.alias("words"))
     bit = F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned("h", 58).cast("int"))
-    bits = sized.select("node", "n", "words", F.explode("hashes").alias("h"))
+    # outer: the other's own filter is put before the shuffle and makes every set twice
+    bits = sized.select("node", "n", "words", F.explode_outer("hashes").alias("h")).where("h is not null")
     word = F.col("h").bitwiseAND(long(F.col("words") - 1)).cast("int")
     done = bits.groupBy("node", "n", "words", word.alias("w")).agg(F.bit_xor(bit).alias("bits"))
     done = done.groupBy("node", "n", "words").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("some"))
@@ -93,6 +96,15 @@ def _apart(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
 
 
+def _coarsely_apart(x: Column, y: Column) -> Column:
+    """Hamming distance of two sketches folded to 512 bits, at most that of
+    ``_apart``; 0 if one has more than 32 words.  It is compiled code without
+    lambdas, to rule out most pairs before those run."""
+    folded = lambda c, i: reduce(Column.bitwiseXOR, [F.coalesce(F.get(c, F.lit(i + j)), F.lit(0).cast("long")) for j in (0, 8, 16, 24)])
+    apart = reduce(add, [F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))) for i in range(8)])
+    return F.when((F.size(x) <= 32) & (F.size(y) <= 32), apart).otherwise(0)
+
+
 def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) less those that the sketches of large sets rule out.
     512 bits say nothing about sets of thousands; ``wide`` has a bit for each
@@ -107,9 +119,8 @@ def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFra
 
 def _likely(percent: int):
     """What a link's sizes and parity sketches must satisfy."""
-    apart = _apart(F.col("sketch"), F.col("sketch2"))
-    return ((100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
-            & ((100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))))
+    fits = lambda apart: (100 + percent) * apart(F.col("sketch"), F.col("sketch2")) <= (100 - percent) * (F.col("n") + F.col("n2"))
+    return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & fits(_coarsely_apart) & fits(_apart)
 
 
 def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
@@ -123,8 +134,8 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
 
     Each round compares every key's nodes with a few of them, its pivots
     (``PIVOTS``), and merges what links, so a group of g copies takes g
-    comparisons instead of g * g; keys whose nodes have become one component
-    are dropped, and the next round's pivots are others.  Once a round finds
+    comparisons instead of g * g.  A pivot has then met all nodes of its key and
+    leaves it; keys whose other nodes have become one component are dropped.  Once a round finds
     no new link, or after the last, what is left in a key, nodes of different components,
     is compared pair by pair.  Pairs whose sizes or parity sketches rule a
     link out are not compared: no link is lost, and pairs inside a component,
@@ -132,12 +143,13 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     wide, every = "wide" in profiles.columns, profiles
     profiles = every.select("node", "n", "sketch")
     second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
-    tested = edges = labels = None
+    tested = edges = labels = spent = None
     links, rounds = 0, 0
     while True:
         last = rounds >= len(PIVOTS)
         here = _with_components(keys, labels)
-        if rounds:
+        if spent is not None:
+            here = cut(here.join(spent, ["key", "node"], "left_anti"))
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
             here = cut(semi(here, cut(mixed), "key"))
             keys = here.select("key", "node")
@@ -149,10 +161,13 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent)
                               & (before.isNull() | (F.col("key") <= before)))
         else:
-            order = F.struct(F.xxhash64(F.lit(rounds), "node").alias("h"), "node", "comp")
             part = F.pmod("node", F.lit(PIVOTS[rounds]))
-            pivot = here.groupBy("key", part.alias("part")).agg(F.min(order).alias("p"), F.count("*").alias("g"))
-            pivot = pivot.where(f"part = 0 or g >= {CROWD}").select("key", F.col("p.node").alias("pn"), F.col("p.comp").alias("pc"))
+            least = F.min("node").alias("pn"), F.min_by("comp", "node").alias("pc")
+            if labels is None:
+                least = F.min("node").alias("pn"), F.min("node").alias("pc")
+            pivot = here.groupBy("key", part.alias("part")).agg(*least, F.count("*").alias("g"))
+            pivot = pivot.where(f"part = 0 or g >= {CROWD}").select("key", "pn", "pc")
+            spent = pivot.select("key", F.col("pn").alias("node"))
             pairs = here.join(pivot, "key").where("comp != pc").select(F.least("node", "pn").alias("node"), F.greatest("node", "pn").alias("node2"))
             pairs = pairs.distinct().join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
         pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
@@ -180,13 +195,14 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int, own_set: Callable[[Column], Column]) -> DataFrame:
     """The pairs whose sets are similar enough, compared exactly (each set is
-    made once: a filter on computed columns would compute them again)."""
+    made once: a filter on computed columns would compute them again, one
+    behind an explode doesn't)."""
     left = sets.select(F.col("node").alias("a"), F.col("own").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
     both = F.array(F.struct(own_set(F.col("x")).alias("x"), own_set(F.col("y")).alias("y")))
-    sizes = F.transform(both, lambda s: F.struct(F.size(F.array_intersect(s.x, s.y)).alias("i"), (F.size(s.x) + F.size(s.y)).alias("n")))
-    enough = F.get(F.transform(sizes, lambda s: 100 * s.i >= percent * (s.n - s.i)), 0)
-    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
+    made = pairs.join(left, "a").join(right, "b").select("a", "b", F.explode_outer(both).alias("s"))
+    shared, sizes = F.size(F.array_intersect("s.x", "s.y")), F.size("s.x") + F.size("s.y")
+    return made.where((100 + percent) * shared >= percent * sizes).select("a", "b")
 
 
 def _with_components(keys: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A line's set is its character shingles: the 12 characters from every place
 (the whole line if it is shorter), cut from its UTF-32 bytes, where every
-character takes four.  12 MinHashes are the halves of 6 seeded 64-bit hashes
-of a shingle's hash, which order a set independently of each other; they are
-minima, so they are reduced per distinct line before the shuffle, and equal
-lines fall together there.  Six bands of two (recall 0.998 at similarity 0.8,
+character takes four.  12 MinHashes come from 6 seeded 64-bit hashes
+of a shingle's hash, whose upper and lower halves order a set independently
+of each other; they are minima, so they are reduced per distinct line before
+the shuffle, and equal lines fall together there.  Six bands of two (recall 0.998 at similarity 0.8,
 tested on sets of 5 to 20) give the candidates, which are verified by exact
 Jaccard similarity of the shingle sets; union-find joins verified links, and
 the first line of each component (by doc_id, text hash, line number) stays.
@@ -26,18 +26,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only, with_sketch
-from .util import WORD, cut, few, fresh, semi, without
+from .util import SPACES, WORD, cut, few, fresh, semi, without
 
 BANDS, ROWS = 6, 2
 LEAST = 24
 PERCENT = 80
 SHINGLE = 12
+STEP = 2              # shingles to a row while their MinHashes are reduced
 OUT = ("n_lines", "n_removed")
 
 
+def last_start(code: Column) -> Column:
+    return F.greatest(F.length(code) - F.lit(4 * SHINGLE - 1), F.lit(1))
+
+
 def starts(code: Column) -> Column:
     """Where the shingles of a line in UTF-32 begin, counted in bytes from 1."""
-    return F.sequence(F.lit(1), F.greatest(F.length(code) - F.lit(4 * SHINGLE - 1), F.lit(1)), F.lit(4))
+    return F.sequence(F.lit(1), last_start(code), F.lit(4))
 
 
 def piece(code: Column, at: Column) -> Column:
@@ -46,25 +51,29 @@ def piece(code: Column, at: Column) -> Column:
 
 def line_set(line: Column) -> Column:
     """The distinct hashes of a line's shingles (bound to ``code`` once)."""
-    sets = F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.array_distinct(F.transform(starts(c), lambda i: piece(c, i))))
-    return F.get(sets, 0)
+    all_hashes = F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.transform(starts(c), lambda i: piece(c, i)))
+    return F.array_distinct(F.get(all_hashes, 0))      # outside the lambda, where it is compiled
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, node, line) of the lines that aren't blank."""
+    """(doc_id, text_hash, line_no, node, line) of the lines that aren't blank
+    (an outer explode: the other's own filter would split every text again)."""
     d = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_hash"),
-                                              F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    d = d.withColumn("line", F.trim(F.col("line"))).where(F.col("line").rlike(WORD))
+                                              F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    d = d.withColumn("line", F.trim(F.col("line"))).where(F.btrim(F.col("line"), F.lit(SPACES)) != "")
     return d.withColumn("node", F.xxhash64("line"))
 
 
 def set_keys(shingles: DataFrame) -> DataFrame:
-    """(node, keys) of the sets given as rows (node, h): a key for each band."""
+    """(node, keys) of the sets given as rows of node and one or more of its
+    shingles' hashes: a key for each band."""
+    some = [c for c in shingles.columns if c != "node"]
     hashes = BANDS * ROWS // 2
-    h = shingles.select("node", *[F.xxhash64(F.lit(i), "h").alias(f"x{i}") for i in range(hashes)])
-    halves = [f(F.col(f"x{i}")) for i in range(hashes) for f in (
-        lambda x: F.shiftright(x, 32), lambda x: F.shiftright(F.shiftleft(x, 32), 32))]
-    sig = h.groupBy("node").agg(*[F.min(x).alias(f"m{i}") for i, x in enumerate(halves)])
+    h = shingles.select("node", *[F.xxhash64(F.lit(i), c).alias(f"x{i}_{c}") for i in range(hashes) for c in some])
+    orders = [f(F.col(f"x{i}_{c}")) for i in range(hashes) for f in (lambda x: x, lambda x: F.shiftleft(x, 32)) for c in some]
+    least = [F.least(*orders[i:i + len(some)]) if len(some) > 1 else orders[i] for i in range(0, len(orders), len(some))]
+    row = h.select("node", *[x.alias(f"x{i}") for i, x in enumerate(least)])
+    sig = row.groupBy("node").agg(*[F.shiftright(F.min(f"x{i}"), 32).alias(f"m{i}") for i in range(BANDS * ROWS)])
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)])
     return sig.select("node", keys.alias("keys"))
 
@@ -72,8 +81,10 @@ def set_keys(shingles: DataFrame) -> DataFrame:
 def band_keys(lines: DataFrame) -> DataFrame:
     """(key, node): a row for each band of each distinct line."""
     code = lines.select("node", F.encode("line", "UTF-32").alias("code"))
-    at = code.select("node", "code", F.explode(starts(F.col("code"))).alias("at"))
-    keys = set_keys(at.select("node", piece(F.col("code"), F.col("at")).alias("h")))
+    code = code.select("node", "code", last_start(F.col("code")).alias("last"))
+    at = code.select("node", "code", "last", F.explode(F.sequence(F.lit(1), "last", F.lit(4 * STEP))).alias("at"))
+    some = [piece(F.col("code"), F.least(F.col("at") + 4 * i, "last")).alias(f"h{i}") for i in range(STEP)]
+    keys = set_keys(at.select("node", *some))
     return cut(keys, 50_000).select(F.explode("keys").alias("key"), "node")
 
 
@@ -88,6 +99,7 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     labels = linked_components(keys, profiles, lambda wanted: semi(texts, wanted, "node").select("node", F.col("line").alias("own")),
                                percent, own_set=line_set)
     at = F.struct("doc_id", "text_hash", "line_no")
+    lines = cut(lines.select("doc_id", "text_hash", "line_no", "node"))
     seen = lines.groupBy("node").agg(F.min(at).alias("f"), F.max(at).alias("l")).join(labels, "node", "left")
     seen = cut(seen.where("f < l or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "f"))
     first = seen.groupBy("comp").agg(F.min("f").alias("first"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.once import checkpoint_folder
 
 SPACE = r"[\x20\x09-\x0D]"
+SPACES = " \t\n\x0b\x0c\r"           # the characters of SPACE
 WORD = r"[^\x20\x09-\x0D]+"
 
 

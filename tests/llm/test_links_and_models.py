@@ -309,6 +309,27 @@ def test_native_sketches_bound_the_difference(spark):
         assert 0.8 * real <= d <= real, (node, d, real)
 
 
+def test_coarse_distance_is_at_most_the_full_one(spark):
+    from tallyforge.llm.components import _apart, _coarsely_apart
+    rng = random.Random(4)
+    sketch = lambda n: [rng.randrange(-2**63, 2**63) for _ in range(n)]
+    rows = [(sketch(n), sketch(m)) for n, m in ((8, 8), (8, 16), (16, 8), (16, 16), (16, 32), (32, 32), (64, 32), (64, 64))]
+    x, y = F.col("x"), F.col("y")
+    got = spark.createDataFrame(rows, "x array<long>, y array<long>").select(F.size("x").alias("n"), F.size("y").alias("m"),
+                                                                             _coarsely_apart(x, y).alias("c"), _apart(x, y).alias("d")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.c <= r.d and (r.c > 150) == (max(r.n, r.m) <= 32) and (r.c == r.d or (r.n, r.m) != (8, 8))
+
+
+def test_sketched_sets_are_made_once(spark):
+    from tallyforge.llm.components import with_sketch
+    from tallyforge.llm.line_dedup import line_set
+    texts = spark.createDataFrame([(1, "a line of some length that is long enough")], "node long, line string")
+    sets = with_sketch(texts.repartition("node").select("node", line_set(F.col("line")).alias("hashes")))
+    assert sets._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 1
+
+
 def test_groups_left_to_pairs_lose_no_link(spark):
     """One key holds a chain: each set links only with its neighbours, so no
     pivot reaches far; keys are repeated so that pairs share several."""

@@ -213,6 +213,22 @@ def test_minhash_recall_on_small_sets(spark):
         assert missed <= 0.01 * pairs, (n, missed)      # 0.3 % for independent hashes
 
 
+def test_texts_are_split_once_and_blank_lines_go(spark):
+    texts = ["a\n\n \t \x0b\x0c\r\n  b \r", "", " ", "\u00a0\n\u3000", None]
+    lines = line_dedup.line_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert plan_of(lines).split("== Physical Plan ==")[1].count("split(text") == 1
+    got = {(r.doc_id, r.line_no, r.line) for r in lines.collect()}
+    assert got == {(0, 0, "a"), (0, 3, "b \r"), (3, 0, "\u00a0"), (3, 1, "\u3000")}
+
+
+def test_keys_are_the_same_with_several_shingles_to_a_row(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(-2**63, 2**63) for _ in range(2 * rng.randrange(1, 12))]) for i in range(50)]
+    one = spark.createDataFrame([(i, h) for i, s in rows for h in s], "node long, h long")
+    two = spark.createDataFrame([(i, s[j], s[j + 1]) for i, s in rows for j in range(0, len(s), 2)], "node long, h0 long, h1 long")
+    assert sorted(line_dedup.set_keys(one).collect()) == sorted(line_dedup.set_keys(two).collect())
+
+
 def test_lines_without_spaces_link_when_shifted(spark):
     rng = random.Random(8)
     han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(80))
