@@ -13,11 +13,12 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import cut, semi
+from .util import counted, cut, semi
 
 
 PIVOTS = (1, 4)       # for each key, round by round; a round without a new link is the last
 FIRSTS = 16           # smallest keys of a node, to tell a pair's first common key by
+WIDE_ROWS, SET_ROWS = 10_000, 2_000      # pairs to a task, at least, whose wide sketches or sets are compared
 CROWD = 32            # further pivots stand for as many nodes at least; fewer are soon compared pair by pair
 
 
@@ -32,15 +33,15 @@ def _stars(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     out = both.join(least, "a").where("b > a" if large else "b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not large:
         out = out.unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where("a != b").coalesce(parts).distinct()
+    return out.where("a != b").coalesce(parts).distinct().coalesce(parts)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``edges`` (a, b) -> (node, comp): comp is the smallest node reachable;
-    only nodes with an edge appear.  Large-star and small-star rounds until
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
+    """``edges`` (a, b), at most ``most`` if known -> (node, comp): comp is the
+    smallest node reachable; only nodes with an edge appear.  Large-star and small-star rounds until
     every component is a star; a node's neighbours are only ever reduced to
     a minimum, so a hub is pre-aggregated before the shuffle."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), most=most)
     seen = None
     while True:
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
@@ -54,15 +55,16 @@ def components(edges: DataFrame) -> DataFrame:
         roots.select("node", F.col("node").alias("comp")))
 
 
-def shared_only(keys: DataFrame, unique: bool) -> DataFrame:
-    """Rows (key, node) of the keys that more than one node has; ``unique``
-    says that no (key, node) comes twice, so that a count tells."""
+def shared_only(keys: DataFrame, unique: bool, most: int | None = None) -> tuple[DataFrame, int]:
+    """Rows (key, node) of the keys that more than one node has, and how many;
+    ``unique`` says that no (key, node) comes twice, so that a count tells,
+    ``most`` bounds the rows of ``keys``, if known."""
     if unique:
         dup = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     else:
         dup = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    shared = semi(keys, cut(dup.select("key")), "key")
-    return cut(shared if unique else shared.distinct())
+    shared = semi(keys, cut(dup.select("key"), most=most), "key")
+    return counted(shared if unique else shared.distinct(), most=most)
 
 
 def with_sketch(sets: DataFrame) -> DataFrame:
@@ -124,11 +126,11 @@ def _likely(percent: int):
 
 
 def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
-                      percent: int, own_set: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+                      percent: int, own_set: Callable[[Column], Column] = lambda c: c, n_keys: int | None = None) -> DataFrame:
     """Components of the links (Jaccard similarity of at least ``percent``)
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
     only, ``profiles`` (node, n, sketch, perhaps wide) their nodes; both are materialised.
-    ``fetch`` takes materialised nodes and gives rows (node, own), ``own_set``
+    ``n_keys`` is the number of rows of ``keys``, if known.  ``fetch`` takes materialised nodes and gives rows (node, own), ``own_set``
     makes the set, distinct hashes, of an ``own``: what travels to a pair may
     be smaller than its set.
 
@@ -145,13 +147,14 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     second = [F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch")]
     tested = edges = labels = spent = None
     links, rounds = 0, 0
+    left = keys.count() if n_keys is None else n_keys
     while True:
         last = rounds >= len(PIVOTS)
         here = _with_components(keys, labels)
         if spent is not None:
-            here = cut(here.join(spent, ["key", "node"], "left_anti"))
+            here, left = counted(here.join(spent, ["key", "node"], "left_anti"), most=left)
             mixed = here.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            here = cut(semi(here, cut(mixed), "key"))
+            here, left = counted(semi(here, cut(mixed, most=left), "key"), most=left)
             keys = here.select("key", "node")
         if last:
             firsts = here.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, FIRSTS).alias("firsts"))
@@ -173,18 +176,18 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
         pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
+        pairs, n = counted(pairs, most=None if last else left * PIVOTS[rounds])
         found = 0
-        if not pairs.isEmpty():
+        if n:
             tested = pairs if tested is None else tested.unionByName(pairs)
             if wide:
-                pairs = cut(_wide_enough(pairs, every, percent))
+                pairs = cut(_wide_enough(pairs, every, percent).coalesce(n // WIDE_ROWS + 1))
             nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-            good = _similar(pairs, fetch(cut(nodes.distinct())), percent, own_set)
-            edges = cut(good if edges is None else edges.unionByName(good))
-            found, links = edges.count() - links, edges.count()
+            good = _similar(pairs, fetch(cut(nodes.distinct(), most=2 * n)), percent, own_set).coalesce(n // SET_ROWS + 1)
+            edges, all_links = counted(good if edges is None else edges.unionByName(good))
+            found, links = all_links - links, all_links
             if found:
-                labels = cut(components(edges))
+                labels = cut(components(edges, links), most=2 * links)
         if last:
             break
         rounds = rounds + 1 if found else len(PIVOTS)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only, with_sketch
-from .util import SPACES, WORD, cut, few, fresh, semi, without
+from .util import SPACES, WORD, counted, cut, few, fresh, semi, without
 
 BANDS, ROWS = 6, 2
 LEAST = 24
@@ -78,34 +78,37 @@ def set_keys(shingles: DataFrame) -> DataFrame:
     return sig.select("node", keys.alias("keys"))
 
 
-def band_keys(lines: DataFrame) -> DataFrame:
-    """(key, node): a row for each band of each distinct line."""
+def band_keys(lines: DataFrame) -> tuple[DataFrame, int]:
+    """(key, node): a row for each band of each distinct line; and how many."""
     code = lines.select("node", F.encode("line", "UTF-32").alias("code"))
     code = code.select("node", "code", last_start(F.col("code")).alias("last"))
     at = code.select("node", "code", "last", F.explode(F.sequence(F.lit(1), "last", F.lit(4 * STEP))).alias("at"))
     some = [piece(F.col("code"), F.least(F.col("at") + 4 * i, "last")).alias(f"h{i}") for i in range(STEP)]
-    keys = set_keys(at.select("node", *some))
-    return cut(keys, 50_000).select(F.explode("keys").alias("key"), "node")
+    keys, n = counted(set_keys(at.select("node", *some)), 50_000)
+    return keys.select(F.explode("keys").alias("key"), "node"), n * BANDS
 
 
 def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, removed): the line numbers that go."""
     lines = line_rows(docs.select("doc_id", "text"))
     wide = lines.where(F.length("line") >= least).select("node", "line")
-    keys = shared_only(band_keys(wide), unique=True)
-    nodes = cut(keys.select("node").distinct())
-    texts = cut(semi(wide, nodes, "node").groupBy("node").agg(F.first("line").alias("line")), 10_000)
-    profiles = cut(with_sketch(texts.repartition("node").select("node", line_set(F.col("line")).alias("hashes"))))
+    every, n = band_keys(wide)
+    keys, n_keys = shared_only(every, unique=True, most=n)
+    nodes, n = counted(keys.select("node").distinct(), most=n_keys)
+    texts = cut(semi(wide, nodes, "node").groupBy("node").agg(F.first("line").alias("line")), 10_000, most=n)
+    profiles = with_sketch(texts.repartition("node").select("node", line_set(F.col("line")).alias("hashes")))
+    profiles = cut(profiles.coalesce(n // 5_000 + 1))
     labels = linked_components(keys, profiles, lambda wanted: semi(texts, wanted, "node").select("node", F.col("line").alias("own")),
-                               percent, own_set=line_set)
+                               percent, own_set=line_set, n_keys=n_keys)
     at = F.struct("doc_id", "text_hash", "line_no")
-    lines = cut(lines.select("doc_id", "text_hash", "line_no", "node"))
+    lines, n = counted(lines.select("doc_id", "text_hash", "line_no", "node"))
     seen = lines.groupBy("node").agg(F.min(at).alias("f"), F.max(at).alias("l")).join(labels, "node", "left")
-    seen = cut(seen.where("f < l or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "f"))
+    seen = seen.where("f < l or comp is not null").select("node", F.coalesce("comp", "node").alias("comp"), "f")
+    seen, n_seen = counted(seen, most=n)
     first = seen.groupBy("comp").agg(F.min("f").alias("first"))
-    seen = cut(seen.join(first, "comp").select("node", "first"))
+    seen = cut(seen.join(first, "comp").select("node", "first"), most=n_seen)
     gone = lines.join(few(seen), "node").where(at != F.col("first"))
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed"))
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("removed")).coalesce(n // 50_000 + 1)
 
 
 def few_lists(gone: DataFrame, removed: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import linked_components, shared_only
-from .util import cut, few, fresh, semi
+from .util import counted, cut, few, fresh, semi
 from .vector import SPACE_WORDS, U, chunks, mix, shingles, split_words
 
 CHUNK = 2 << 20
@@ -147,25 +147,26 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     id_type = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {id_type}, text_hash long, n_shingles long, h1 long, h2 long, sketch array<long>, wide array<long>, keys array<long>"
-    rows = cut(d.mapInArrow(_summaries(k, percent), schema), 5_000)
+    rows, n_rows = counted(d.mapInArrow(_summaries(k, percent), schema), 5_000)
     full = rows.where("n_shingles > 0")
     keys = full.select(F.explode("keys").alias("key"), F.col("h1").alias("node"))
-    keys = shared_only(keys, unique=False)
-    nodes = cut(keys.select(F.col("node").alias("h1")).distinct())
+    keys, n_keys = shared_only(keys, unique=False)
+    nodes, n = counted(keys.select(F.col("node").alias("h1")).distinct(), most=n_keys)
     profiles = semi(full, nodes, "h1").select(F.col("h1").alias("node"), F.col("n_shingles").alias("n"), "sketch", "wide")
-    profiles = cut(profiles.dropDuplicates(["node"]))
+    profiles = cut(profiles.dropDuplicates(["node"]).coalesce(n // 10_000 + 1))
 
     def fetch(wanted: DataFrame) -> DataFrame:
+        n = wanted.count()
         one = semi(full, wanted.withColumnRenamed("node", "h1"), "h1").groupBy("h1").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-        one = cut(one.select(F.col("r.text_hash").alias("text_hash"), F.col("r.doc_id").alias("_id")))
+        one = cut(one.select(F.col("r.text_hash").alias("text_hash"), F.col("r.doc_id").alias("_id")), most=n)
         texts = d.join(few(one), "text_hash").where(F.col("doc_id").eqNullSafe(F.col("_id"))).select("text")
-        return cut(texts.mapInArrow(_sets(k), "node long, own array<long>").dropDuplicates(["node"]), 2_000)
+        return cut(texts.mapInArrow(_sets(k), "node long, own array<long>").dropDuplicates(["node"]), 2_000, most=n)
 
-    labels = linked_components(keys, profiles, fetch, percent)
+    labels = linked_components(keys, profiles, fetch, percent, n_keys=n_keys)
     classes = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"))
     classes = (classes.join(labels.withColumnRenamed("node", "h1"), "h1", "left")
                .select("h1", "h2", "least", F.coalesce("comp", "h1").alias("comp")))
-    classes = cut(classes)
+    classes = cut(classes, most=n_rows)
     comps = classes.groupBy("comp").agg(F.min("least").alias("component_id"))
     ids = classes.join(comps, "comp").select("h1", "h2", "component_id", "comp")
     out = ["doc_id", "text_hash", "n_shingles", "component_id", "comp"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.once import checkpoint_folder
@@ -23,13 +23,24 @@ def shared_folder(spark: SparkSession) -> str:
     return checkpoint_folder(spark)
 
 
-def cut(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Materialise ``df`` in the shared folder and cut its lineage; a lost
-    executor loses nothing.  A small result is read in fewer partitions, of
-    about ``rows`` rows, so that the steps after it stay small, too."""
+def counted(df: DataFrame, rows: int = 100_000, most: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` materialised in the shared folder, its lineage cut, and its
+    rows; a lost executor loses nothing.  A small result is read in fewer
+    partitions, of about ``rows`` rows, so that the steps after it stay small,
+    too.  With ``most``, a bound on its rows, it is also written by as few
+    tasks: each leaves two files, and for a file Hadoop's local file system
+    starts a process, which for a moment shares all of its executor's memory."""
     shared_folder(df.sparkSession)
-    done = df.checkpoint()
-    return done.coalesce(done.count() // rows + 1)
+    if most is not None:
+        df = df.coalesce(most // rows + 1)
+    seen = Observation()
+    done = df.observe(seen, F.count(F.lit(1)).alias("n")).checkpoint()
+    n = seen.get["n"]
+    return done.coalesce(n // rows + 1), n
+
+
+def cut(df: DataFrame, rows: int = 100_000, most: int | None = None) -> DataFrame:
+    return counted(df, rows, most)[0]
 
 
 BROADCAST_KEYS = 1_500_000      # long keys: about 40 MB as a hash table

@@ -362,3 +362,34 @@ def test_many_unrelated_sets_share_no_block_key():
         own = np.unique(rng.integers(0, 1 << 64, int(rng.integers(150, 200)), dtype=np.uint64))
         holders.update(set(block_keys(own, 80, bounds).tolist()))
     assert sum(n for n in holders.values() if n > 1) <= 4
+
+
+def test_small_results_are_written_by_few_tasks(spark, tmp_path):
+    from pathlib import Path
+
+    from tallyforge.llm.components import shared_only
+    from tallyforge.llm.util import counted, shared_folder
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        root = Path(shared_folder(spark).split(":")[-1])
+        files = lambda: set(root.rglob("part-*"))
+        before = files()
+        rows = spark.range(1000).groupBy((F.col("id") % 100).alias("key")).agg(F.min("id").alias("node"))
+        done, n = counted(rows, 60, most=100)
+        assert n == 100 and done.count() == 100 and len(files() - before) == 2
+        before = files()
+        empty, n = counted(rows.where("node < 0"), most=100)
+        assert n == 0 and empty.count() == 0 and len(files() - before) <= 1
+        before = files()
+        keys = spark.range(1000).select((F.col("id") % 400).alias("key"), F.col("id").alias("node"))
+        shared, n = shared_only(keys.where("id >= 300"), unique=True, most=1000)
+        assert n == 600 and shared.count() == 600 and len(files() - before) < 20
+        before = files()
+        labels = components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long").repartition(40), most=60)
+        assert {r.comp for r in labels.collect()} == {0} and len(files() - before) < 20      # 40 to a round else
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
