@@ -213,6 +213,19 @@ def test_minhash_recall_on_small_sets(spark):
         assert missed <= 0.01 * pairs, (n, missed)      # 0.3 % for independent hashes
 
 
+def test_minhashes_take_two_hashes_of_a_shingle_and_blanks_one_trim(spark):
+    one = spark.createDataFrame([(1, 5), (1, -7), (2, 5)], "node long, h long")
+    keys = line_dedup.set_keys(one)
+    hashes = plan_of(keys).split("== Physical Plan ==")[1].split("Project")[-1]
+    assert hashes.count("xxhash64(") == 2, hashes           # the shingle's own is the third
+    assert len(keys.collect()) == 2
+    bits = spark.range(1).select(F.lit(0x0123_4567_89AB_CDEF).alias("x")).select(*[f(F.col("x")) for f in line_dedup.PARTS]).first()
+    assert [b >> 32 & 0xFFFF_FFFF for b in bits] == [0x0123_4567, 0x4567_89AB, 0x89AB_CDEF, 0xCDEF_0123]
+    lines = line_dedup.line_rows(spark.createDataFrame([(0, "a\n\t \n b\t")], "doc_id long, text string"))
+    assert "BOTH" not in plan_of(lines) and "btrim" not in plan_of(lines).lower()
+    assert {r.line for r in lines.collect()} == {"a", "b\t"}
+
+
 def test_texts_are_split_once_and_blank_lines_go(spark):
     texts = ["a\n\n \t \x0b\x0c\r\n  b \r", "", " ", "\u00a0\n\u3000", None]
     lines = line_dedup.line_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
