@@ -74,17 +74,20 @@ def with_sketch(sets: DataFrame) -> DataFrame:
     symmetric difference of the sets.  It has 512 bits, and for sets of more
     than 256 the power of two from twice their size on."""
     long = lambda c: c.cast("long")
-    words = F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / 32))).cast("int"))
-    sized = sets.select("node", "hashes", F.size("hashes").alias("n")).select("node", "n", "hashes", words.alias("words"))
-    bit = F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned("h", 58).cast("int"))
+    zero, eight = long(F.lit(0)), [f"w{i}" for i in range(8)]
+    blocks = F.greatest(F.lit(1), F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / 256))).cast("int"))      # of 8 words
+    sized = sets.select("node", "hashes", F.size("hashes").alias("n")).select("node", "n", "hashes", blocks.alias("blocks"))
     # outer: the other's own filter is put before the shuffle and makes every set twice
-    bits = sized.select("node", "n", "words", F.explode_outer("hashes").alias("h")).where("h is not null")
-    word = F.col("h").bitwiseAND(long(F.col("words") - 1)).cast("int")
-    done = bits.groupBy("node", "n", "words", word.alias("w")).agg(F.bit_xor(bit).alias("bits"))
-    done = done.groupBy("node", "n", "words").agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("some"))
+    bits = sized.select("node", "n", "blocks", F.explode_outer("hashes").alias("h")).where("h is not null")
+    bit = F.call_function("shiftleft", long(F.lit(1)), F.shiftrightunsigned("h", 58).cast("int"))
+    bits = bits.select("node", "n", F.shiftright("h", 3).bitwiseAND(long(F.col("blocks") - 1)).cast("int").alias("block"),
+                       F.col("h").bitwiseAND(F.lit(7)).cast("int").alias("w"), bit.alias("bit"))
+    done = bits.groupBy("node", "n", "block").agg(*[F.bit_xor(F.when(F.col("w") == i, F.col("bit")).otherwise(zero)).alias(w)
+                                                    for i, w in enumerate(eight)])
+    done = done.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("block", F.array(*eight).alias("words")))).alias("some"))
     found = F.map_from_entries("some")
-    filled = F.transform(F.sequence(F.lit(0), F.col("words") - 1), lambda w: F.coalesce(F.try_element_at(found, w), long(F.lit(0))))
-    return done.select("node", "n", F.when(F.size("some") == F.col("words"), F.col("some.bits")).otherwise(filled).alias("sketch"))
+    filled = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.coalesce(F.try_element_at(found, b), F.array(*[zero] * 8)))
+    return done.select("node", "n", F.flatten(F.when(F.size("some") == blocks, F.col("some.words")).otherwise(filled)).alias("sketch"))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -98,17 +101,27 @@ def _apart(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda p, q: p + q)
 
 
-def _coarsely_apart(x: Column, y: Column) -> Column:
+def _coarse(c: Column) -> list[Column]:
+    """A sketch's first 32 words folded to 8."""
+    word = lambda i: F.coalesce(F.get(c, F.lit(i)), F.lit(0).cast("long"))
+    return [reduce(Column.bitwiseXOR, [word(i + j) for j in (0, 8, 16, 24)]) for i in range(8)]
+
+
+def _bits_apart(a: list[Column], b: list[Column]) -> Column:
+    return reduce(add, [F.bit_count(p.bitwiseXOR(q)) for p, q in zip(a, b, strict=True)])
+
+
+def _coarsely_apart(x: Column, y: Column, bits: Column | None = None) -> Column:
     """Hamming distance of two sketches folded to 512 bits, at most that of
     ``_apart``; 0 if one has more than 32 words.  It is compiled code without
-    lambdas, to rule out most pairs before those run."""
-    folded = lambda c, i: reduce(Column.bitwiseXOR, [F.coalesce(F.get(c, F.lit(i + j)), F.lit(0).cast("long")) for j in (0, 8, 16, 24)])
-    apart = reduce(add, [F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))) for i in range(8)])
-    return F.when((F.size(x) <= 32) & (F.size(y) <= 32), apart).otherwise(0)
+    lambdas, to rule out most pairs before those run.  ``bits`` is the folded
+    sketches' distance, if they are at hand."""
+    bits = _bits_apart(_coarse(x), _coarse(y)) if bits is None else bits
+    return F.when((F.size(x) <= 32) & (F.size(y) <= 32), bits).otherwise(0)
 
 
 def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) less those that the sketches of large sets rule out.
+    """``pairs`` (a, b, sizes) less those that the sketches of large sets rule out.
     512 bits say nothing about sets of thousands; ``wide`` has a bit for each
     element, its length a power of two, and is empty for sets that ``sketch``
     serves."""
@@ -116,13 +129,16 @@ def _wide_enough(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFra
     fits = (100 + percent) * _apart(x, y) <= (100 - percent) * (F.col("n") + F.col("n2"))
     both = pairs.join(profiles.select(F.col("node").alias("a"), "n", "wide"), "a").join(
         profiles.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("wide").alias("wide2")), "b")
-    return both.where((F.size(x) == 0) | (F.size(y) == 0) | fits).select("a", "b")
+    return both.where((F.size(x) == 0) | (F.size(y) == 0) | fits).select("a", "b", "sizes")
 
 
-def _likely(percent: int):
-    """What a link's sizes and parity sketches must satisfy."""
-    fits = lambda apart: (100 + percent) * apart(F.col("sketch"), F.col("sketch2")) <= (100 - percent) * (F.col("n") + F.col("n2"))
-    return (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & fits(_coarsely_apart) & fits(_apart)
+def _likely(percent: int, bits: Column | None = None) -> Column:
+    """What a link's sizes and parity sketches must satisfy; of sketches of 8
+    words the coarse distance is the whole one."""
+    x, y = F.col("sketch"), F.col("sketch2")
+    fits = lambda apart: (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("n2"))
+    return ((100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")) & fits(_coarsely_apart(x, y, bits))
+            & ((F.size(x) + F.size(y) <= 16) | fits(_apart(x, y))))
 
 
 def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[DataFrame], DataFrame],
@@ -131,7 +147,7 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
     among nodes with a common key.  ``keys`` (key, node) holds shared keys
     only, ``profiles`` (node, n, sketch, perhaps wide) their nodes; both are materialised.
     ``n_keys`` is the number of rows of ``keys``, if known.  ``fetch`` takes materialised nodes and gives rows (node, own), ``own_set``
-    makes the set, distinct hashes, of an ``own``: what travels to a pair may
+    makes the set's hashes, which may repeat, of an ``own``: what travels to a pair may
     be smaller than its set.
 
     Each round compares every key's nodes with a few of them, its pivots
@@ -158,10 +174,14 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             keys = here.select("key", "node")
         if last:
             firsts = here.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, FIRSTS).alias("firsts"))
-            here = here.join(profiles, "node").join(firsts, "node")
-            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), F.col("firsts").alias("firsts2"), *second)
+            words = [f"w{i}" for i in range(8)]       # folded once a row, as its pairs may be many
+            folded = [c.alias(w) for c, w in zip(_coarse(F.col("sketch")), words, strict=True)]
+            here = here.join(profiles.select("*", *folded), "node").join(firsts, "node")
+            there = here.select(F.col("key").alias("key2"), F.col("comp").alias("comp2"), F.col("firsts").alias("firsts2"),
+                                *[F.col(w).alias(f"{w}2") for w in words], *second)
+            bits = _bits_apart([F.col(w) for w in words], [F.col(f"{w}2") for w in words])
             before = F.array_min(F.array_intersect("firsts", "firsts2"))      # a pair comes once, with its first common key
-            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent)
+            pairs = here.join(there, (F.col("key") == F.col("key2")) & (F.col("comp") < F.col("comp2")) & _likely(percent, bits)
                               & (before.isNull() | (F.col("key") <= before)))
         else:
             part = F.pmod("node", F.lit(PIVOTS[rounds]))
@@ -173,9 +193,9 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
             spent = pivot.select("key", F.col("pn").alias("node"))
             pairs = here.join(pivot, "key").where("comp != pc").select(F.least("node", "pn").alias("node"), F.greatest("node", "pn").alias("node2"))
             pairs = pairs.distinct().join(profiles, "node").join(profiles.select(*second), "node2").where(_likely(percent))
-        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+        pairs = pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), (F.col("n") + F.col("n2")).alias("sizes")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         pairs, n = counted(pairs, most=None if last else left * PIVOTS[rounds])
         found = 0
         if n:
@@ -197,15 +217,12 @@ def linked_components(keys: DataFrame, profiles: DataFrame, fetch: Callable[[Dat
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int, own_set: Callable[[Column], Column]) -> DataFrame:
-    """The pairs whose sets are similar enough, compared exactly (each set is
-    made once: a filter on computed columns would compute them again, one
-    behind an explode doesn't)."""
+    """The pairs (a, b, sizes) whose sets are similar enough, compared exactly:
+    what their sizes, added, are more than their union is what they share."""
     left = sets.select(F.col("node").alias("a"), F.col("own").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("own").alias("y"))
-    both = F.array(F.struct(own_set(F.col("x")).alias("x"), own_set(F.col("y")).alias("y")))
-    made = pairs.join(left, "a").join(right, "b").select("a", "b", F.explode_outer(both).alias("s"))
-    shared, sizes = F.size(F.array_intersect("s.x", "s.y")), F.size("s.x") + F.size("s.y")
-    return made.where((100 + percent) * shared >= percent * sizes).select("a", "b")
+    union = F.size(F.array_union(own_set(F.col("x")), own_set(F.col("y"))))
+    return pairs.join(left, "a").join(right, "b").where(100 * F.col("sizes") >= (100 + percent) * union).select("a", "b")
 
 
 def _with_components(keys: DataFrame, labels: DataFrame | None) -> DataFrame:

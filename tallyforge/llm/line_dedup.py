@@ -52,10 +52,14 @@ def piece(code: Column, at: Column) -> Column:
     return F.xxhash64(F.substring(code, at, F.lit(4 * SHINGLE)))
 
 
+def line_hashes(line: Column) -> Column:
+    """The hashes of a line's shingles, from every place (the line's bytes are bound once)."""
+    return F.get(F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.transform(starts(c), lambda i: piece(c, i))), 0)
+
+
 def line_set(line: Column) -> Column:
-    """The distinct hashes of a line's shingles (bound to ``code`` once)."""
-    all_hashes = F.transform(F.array(F.encode(line, "UTF-32")), lambda c: F.transform(starts(c), lambda i: piece(c, i)))
-    return F.array_distinct(F.get(all_hashes, 0))      # outside the lambda, where it is compiled
+    """The distinct ones (outside the lambda, where it is compiled)."""
+    return F.array_distinct(line_hashes(line))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def removed_lines(docs: DataFrame, least: int = LEAST, percent: int = PERCENT) -
     profiles = with_sketch(texts.repartition("node").select("node", line_set(F.col("line")).alias("hashes")))
     profiles = cut(profiles.coalesce(n // 5_000 + 1))
     labels = linked_components(keys, profiles, lambda wanted: semi(texts, wanted, "node").select("node", F.col("line").alias("own")),
-                               percent, own_set=line_set, n_keys=n_keys)
+                               percent, own_set=line_hashes, n_keys=n_keys)
     at = F.struct("doc_id", "text_hash", "line_no")
     lines, n = counted(lines.select("doc_id", "text_hash", "line_no", "node"))
     seen = lines.groupBy("node").agg(F.min(at).alias("f"), F.max(at).alias("l")).join(labels, "node", "left")

@@ -393,3 +393,23 @@ def test_small_results_are_written_by_few_tasks(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_sketches_are_grouped_by_blocks_of_eight_words(spark):
+    from tallyforge.llm.components import with_sketch
+    sets = spark.createDataFrame([(1, [5, 9, -3]), (2, list(range(700)))], "node long, hashes array<long>")
+    done = with_sketch(sets.repartition("node"))
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("bit_xor(CASE WHEN") == 8
+    assert {r.node: len(r.sketch) for r in done.collect()} == {1: 8, 2: 32}
+
+
+def test_pairs_are_compared_by_their_union(spark):
+    """Hashes may repeat; no set is made distinct or written out for it."""
+    from tallyforge.llm.components import _similar
+    sets = {1: [1, 2, 3, 4, 4, 4], 2: [4, 3, 2, 1, 5, 5], 3: [1, 2, 3, 6, 7], 4: [-1, -1]}
+    rows = spark.createDataFrame(list(sets.items()), "node long, own array<long>")
+    pairs = spark.createDataFrame([(a, b, len(set(sets[a])) + len(set(sets[b]))) for a in sets for b in sets if a < b], "a long, b long, sizes int")
+    good = _similar(pairs, rows, 80, lambda c: c)
+    assert {(r.a, r.b) for r in good.collect()} == {(1, 2)}
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_union") == 1 and "Generate" not in plan and "array_distinct" not in plan
