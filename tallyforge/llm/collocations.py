@@ -1,4 +1,4 @@
-"""Phrase collocations counted with broadcast double-array tries.
+"""Phrase collocations counted with double-array tries.
 
 Apriori, level by level.  The words of each language are counted first; a
 phrase can only be frequent if its words are, and a phrase of three only if
@@ -7,14 +7,15 @@ over hashes of the words, pairs and triples whose hashes come up often
 enough: equal hashes only add to such a sum, so a wrong pass adds a candidate
 and no frequent phrase is lost (Apriori-safe).
 
-Candidates are dealt by hash to blocks of ``BLOCK`` phrases.  A task makes
-each block into a double-array trie (base and check arrays; a word is two
-symbols, so that a state has a bounded number of children); blocks are
-broadcast, as many at once as ``PASS_BYTES`` holds, and further ones in
-further passes over the texts, so no broadcast grows with the data.  numpy
-advances the states of all text positions of a batch together, word by word,
-bincounts the accepting ones, and the shards' counts are summed.  Words and
-phrases travel as 64-bit hashes of language and spelling.
+The occurrences of what passes are dealt by the hashes of their first two
+words to 2 ** ``DEAL_BITS`` parts, those of a stretch of text that are alike as
+one with its count, so the texts are read once for all phrases, however many
+there are.  A task takes part after part; of the phrases that come there, those
+whose hashes again come often enough are made into double-array tries (base and
+check arrays; a word is two symbols, so that a state has a bounded number of
+children) of ``BLOCK`` phrases.  numpy advances the states of all occurrences
+of a part together, word by word, and sums the counts of the accepting ones.
+Words and phrases travel as 64-bit hashes of language and spelling.
 
 Scores are exact (decimals; products may pass 64 bits).
 
@@ -41,13 +42,15 @@ LEAST = 10            # occurrences of a candidate
 SHARE = 50            # percent: of a phrase's occurrences inside one longer candidate that drop it
 TOP = 2_000
 MAP_BITS = 26         # a bit map of hashes: 8 MB
-BLOCK = 400_000       # phrases in a trie
-PASS_BYTES = 64 << 20
+BLOCK = 400_000       # phrases in a trie, and occurrences counted at once unless a part has more
+PASS_BYTES = 64 << 20     # of a part's occurrences; beyond, those alike are added up
 BATCH = 2 << 20
 SPLITS = 2            # of the input, read by one task
 SUM_BITS = 40         # of a hash, where its occurrences are summed
 HELD = 1_000_000      # hashes that a task counts at once
-PART = 1 << 13        # counts that travel together
+DEAL_BITS = 12        # of a pair's hash: the part that its occurrences are dealt to
+ROW = {"k1": U, "k2": U, "k3": U, "n": np.uint32}     # an occurrence; without a third word k3 is 0
+FIRST = 64            # shares of a language's phrases, ranked apart at first
 RADIX = 1024          # a word is the symbols id // RADIX and id % RADIX
 
 PARTS = [ord(c) for c in ".,;:!?\n\v\f\r"]
@@ -173,23 +176,55 @@ def _hash_sums(words, pairs=None):
     return run
 
 
-def _candidates(words, pairs, triples):
-    """Distinct pairs (words x, y) and triples (pair's hash x, word y) of a
-    batch that the maps let pass."""
+def _dealt(words, pairs, triples):
+    """Occurrences of the pairs that the maps let pass, with the third word
+    of a triple that passes, too; packed by part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for p in _batches(batches):
             at, two = _passing(p, words.value, pairs.value)
             on, three = _triples(p, at, two)
-            on = on[triples.value.has(three)]
-            x, y = np.concatenate((p.keys[at], two[on])), np.concatenate((p.keys[at + 1], p.keys[at[on] + 2]))
-            size = np.repeat([2, 3], [len(at), len(on)])
-            _, first = np.unique(pair_hash(x, y), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x[first].view(np.int64)), pa.array(y[first].view(np.int64)), pa.array(size[first], pa.int64())],
-                                             ["x", "y", "size"])
+            ok = triples.value.has(three)
+            on, whole, third = on[ok], two.copy(), np.zeros(len(at), U)
+            whole[on], third[on] = three[ok], p.keys[at[on] + 2]
+            held.append((whole, two, p.keys[at], p.keys[at + 1], third))
+            size += len(at)
+            if size > HELD:
+                yield _packed(held)
+                held, size = [], 0
+        if size:
+            yield _packed(held)
 
     return run
 
 
+def _packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """A row for each part, with the columns of its occurrences as bytes."""
+    whole, two, *keys = (np.concatenate(c) for c in zip(*held))
+    _, first, n = np.unique(whole, return_index=True, return_counts=True)
+    part = (two[first] >> U(64 - DEAL_BITS)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    part, first = part[order], first[order]
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+    columns = [np.ascontiguousarray(c, k) for c, k in zip([*(k[first] for k in keys), n[order]], ROW.values())]
+    packed = [pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * c.itemsize).astype(np.int32)), pa.py_buffer(c)]) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]].astype(np.int32)), *packed], ["part", *ROW])
+
+
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Parts and columns of their occurrences, in the batch's order."""
+    part = batch.column("part").to_numpy()
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+    columns = []
+    for name, kind in ROW.items():
+        c = batch.column(name).cast(pa.binary())
+        offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
+        values = np.frombuffer(c.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind)
+        columns.append((values, (offsets - offsets[0]) // values.itemsize))
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(part[i]), [v[at[i]:at[j]] for v, at in columns]
+
+
 # ---- the trie
 
 class Trie:
@@ -251,6 +286,22 @@ class Trie:
             on &= known[at + level + 1]
             at, state = at[on], state[on]
 
+    def tally(self, keys: np.ndarray, n: np.ndarray, out: np.ndarray) -> None:
+        """Adds ``n`` to each phrase that a row of word hashes begins with."""
+        own = np.minimum(np.searchsorted(self.words, keys), len(self.words) - 1)
+        ids = np.where(self.words[own] == keys, own, -1)
+        at = np.flatnonzero(ids[:, 0] >= 0)
+        state = np.ones(len(at), np.int64)
+        for level in range(keys.shape[1]):
+            word = ids[at, level]
+            state = self.step(self.step(state, word // RADIX), word % RADIX)
+            hit = self.phrase[state]
+            ok = (hit >= 0) & (state > 0)
+            out += np.bincount(hit[ok], n[at[ok]], len(out)).astype(np.int64)
+            if level + 1 < keys.shape[1]:
+                on = (state > 0) & (ids[at, level + 1] >= 0)
+                at, state = at[on], state[on]
+
     def dump(self) -> bytes:
         sink = pa.BufferOutputStream()
         arrays = [pa.array([getattr(self, n).tobytes()], pa.large_binary()) for n in self.NAMES]
@@ -322,53 +373,73 @@ class _Builder:
         return self.base[:self.end + 1], self.check[:self.end + 1]
 
 
-def _tries(t: pa.Table) -> pa.Table:
-    keys = np.stack([t.column(c).to_numpy().view(U) for c in ("k1", "k2", "k3")], 1)
-    sizes = t.column("size").to_numpy()
-    data = Trie.of(keys, sizes).dump()
-    return pa.table({"block": t.column("block").slice(0, 1), "trie": pa.array([data], pa.binary()),
-                     "keys": pa.array([keys.tobytes()], pa.binary()), "sizes": pa.array([sizes.astype(np.int8).tobytes()], pa.binary())})
+def _often(hashes: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Which hashes come ``least`` times, with those that end alike."""
+    bits = len(hashes).bit_length() + 2
+    at = (hashes & U((1 << bits) - 1)).astype(np.int64)
+    return np.bincount(at, n, 1 << bits)[at] >= least
 
 
-def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The phrases of the blocks and their places in the tries."""
-    for batch in batches:
-        for block, keys, sizes in zip(*[batch.column(c).to_pylist() for c in ("block", "keys", "sizes")]):
-            rows = np.frombuffer(keys, np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), block)), pa.array(np.arange(len(rows))), *[pa.array(rows[:, i]) for i in range(3)],
-                                              pa.array(np.frombuffer(sizes, np.int8).astype(np.int64))], ["block", "at", "k1", "k2", "k3", "size"])
+def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*held)]
 
 
-def _counts(blocks):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = {block: Trie.load(sent.value) for block, sent in blocks.items()}
-        sums = {block: np.zeros(int(t.phrase.max(initial=-1)) + 1, np.int64) for block, t in tries.items()}
-        for p in _batches(batches):
-            for block, trie in tries.items():
-                trie.count(p, 3, sums[block])
-        for block, n in sums.items():
-            for part in range(0, len(n), PART):
-                at = np.flatnonzero(n[part:part + PART])
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([part]), pa.array([at.astype("<u2").tobytes()], pa.binary()),
-                                                      pa.array([n[part + at].astype("<u4").tobytes()], pa.binary())], ["block", "part", "at", "n"])
+def _added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Occurrences that are alike as one with the sum of their counts."""
+    *keys, n = _joined(held)
+    _, first, which = np.unique(_hashes(*keys)[1], return_index=True, return_inverse=True)
+    return [*(k[first] for k in keys), np.bincount(which, n).astype(np.int64)]
+
+
+def _hashes(k1: np.ndarray, k2: np.ndarray, k3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the first two words, and of all."""
+    two = pair_hash(k1, k2)
+    return two, np.where(k3 > 0, pair_hash(two, k3), two)
 
-    return run
 
+def _frequent(held: list[list[np.ndarray]], least: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Phrases that come ``least`` times in whole parts, counted by tries."""
+    k1, k2, k3, n = _joined(held)
+    two, whole = _hashes(k1, k2, k3)
+    pair = _often(two, n, least)                       # a triple's pairs come as often as it does
+    k1, k2, k3, n, two, whole = (c[pair] for c in (k1, k2, k3, n, two, whole))
+    third = np.flatnonzero(k3 > 0)
+    third = third[_often(whole[third], n[third], least)]
+    pairs, triples = np.unique(two, return_index=True)[1], third[np.unique(whole[third], return_index=True)[1]]
+    occurring = np.stack((k1, k2, k3), 1)
+    keys = occurring[np.concatenate((pairs, triples))]
+    keys[:len(pairs), 2] = 0
+    sizes = np.repeat([2, 3], [len(pairs), len(triples)])
+    for i in range(0, len(keys), block):
+        own, size = keys[i:i + block], sizes[i:i + block]
+        a = np.zeros(len(own), np.int64)
+        Trie.of(own, size).tally(occurring, n, a)
+        ok = a >= least
+        yield pa.RecordBatch.from_arrays([*(pa.array(k[ok].view(np.int64)) for k in np.ascontiguousarray(own.T)), pa.array(size[ok]), pa.array(a[ok])],
+                                         ["k1", "k2", "k3", "size", "a"])
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up the shards' counts; a part's rows are in one task."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for r in batch.to_pylist():
-            out = sums.setdefault((r["block"], r["part"]), np.zeros(PART, np.int64))
-            out[np.frombuffer(r["at"], "<u2")] += np.frombuffer(r["n"], "<u4")
-    for (block, part), n in sums.items():
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), block)), pa.array(part + at), pa.array(n[at])], ["block", "at", "a"])
 
+def _counts(least: int, block: int, pass_bytes: int):
+    """Takes rows in order of their parts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last, room = [], 0, None, 0
+        for batch in batches:
+            for part, rows in _unpacked(batch):
+                if part != last:
+                    if size >= block:
+                        yield from _frequent(held, least, block)
+                        held, size = [], 0
+                    last, room = part, size + pass_bytes // sum(np.dtype(k).itemsize for k in ROW.values())
+                held.append(rows)
+                size += len(rows[0])
+                if size > room:
+                    held = [_added_up(held)]
+                    size = len(held[0][0])
+                    room = max(room, 2 * size)
+        if size:
+            yield from _frequent(held, least, block)
 
-PHRASE = "k1 long, k2 long, k3 long, size long"
+    return run
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -378,7 +449,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
-    """Phrases of two and three words that may occur ``least`` times."""
+    """Occurrences of phrases of two and three words that may come ``least``
+    times, packed by part (part, k1, k2, k3, n)."""
     send = docs.sparkSession.sparkContext.broadcast
 
     def sums(run) -> BitMap:
@@ -388,46 +460,14 @@ def candidates(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
     word_map = send(BitMap.of(words.where(F.col("f") >= least)))
     pair_map = sums(_hash_sums(word_map))
     triple_map = sums(_hash_sums(word_map, pair_map))
-    rows = docs.mapInArrow(_candidates(word_map, pair_map, triple_map), "x long, y long, size long")
-    rows = cut(rows.groupBy("x", "y", "size").agg(F.count("*").alias("c")).drop("c"))
-    two = rows.where("size = 2").select(F.col("x").alias("k1"), F.col("y").alias("k2"))
-    pair = cut(two.mapInArrow(_hashed, "k1 long, k2 long, x long"))
-    three = rows.where("size = 3").select("x", F.col("y").alias("k3")).join(pair, "x").select("k1", "k2", "k3", F.lit(3).cast("long").alias("size"))
-    return cut(two.select("k1", "k2", F.lit(0).cast("long").alias("k3"), F.lit(2).cast("long").alias("size")).unionByName(three))
-
-
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = [c.to_numpy().view(U) for c in batch.columns]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair_hash(a, b).view(np.int64))], ["k1", "k2", "x"])
-
-
-def phrase_counts(docs: DataFrame, phrases: DataFrame, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """``phrases`` (k1, k2, k3, size) that occur in ``docs``, with a, their
-    occurrences."""
-    n = max(1, -(-phrases.count() // block))
-    dealt = phrases.withColumn("block", F.pmod(F.xxhash64("k1", "k2", "k3"), F.lit(n)))
-    tries = cut(dealt.groupBy("block").applyInArrow(_tries, "block long, trie binary, keys binary, sizes binary"), rows=1)
-    sizes = [(r.block, r.b) for r in tries.select("block", F.length("trie").alias("b")).orderBy("block").toLocalIterator()]
-    passes, room = [], 0
-    for b, size in sizes:
-        if not passes or size > room:
-            passes.append([])
-            room = pass_bytes
-        passes[-1].append(b)
-        room -= size
-    found = None
-    for blocks in passes:
-        sent = {b: docs.sparkSession.sparkContext.broadcast(bytes(tries.where(F.col("block") == b).select("trie").first().trie)) for b in blocks}
-        sums = docs.mapInArrow(_counts(sent), "block long, part long, at binary, n binary").repartition("block", "part")
-        sums = cut(sums.mapInArrow(_summed, "block long, at long, a long"))
-        for s in sent.values():
-            s.unpersist()
-        found = sums if found is None else found.unionByName(sums)
-    if found is None:
-        return phrases.withColumn("a", F.lit(0).cast("long"))
-    rows = tries.select("block", "keys", "sizes").mapInArrow(_phrases, f"block long, at long, {PHRASE}")
-    return rows.join(found, ["block", "at"]).select("k1", "k2", "k3", "size", "a")
+    return docs.mapInArrow(_dealt(word_map, pair_map, triple_map), "part int, k1 binary, k2 binary, k3 binary, n binary")
+
+
+def phrase_counts(occurring: DataFrame, least: int, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """Phrases (k1, k2, k3, size) of ``occurring`` (as ``candidates`` gives
+    it) that come ``least`` times, with a, their occurrences."""
+    dealt = occurring.repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(_counts(least, block, pass_bytes), "k1 long, k2 long, k3 long, size long, a long")
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
@@ -464,10 +504,12 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, block: int = BLOCK
     words = cut(word_counts(docs))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
-    found = phrase_counts(docs, candidates(docs, words, least), block, pass_bytes).where(F.col("a") >= least)
-    rows = scored(cut(found), frequent)
-    few = F.rank().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a")))      # ties are settled by the spelling
-    rows = cut(rows.withColumn("place", few).where(F.col("place") <= top).drop("place"))
+    found = phrase_counts(candidates(docs, words, least), least, block, pass_bytes)
+    rows = scored(cut(found), frequent).withColumn("share", F.pmod(F.xxhash64("k1", "k2", "k3"), F.lit(FIRST)))
+    for own in (["lang", "share"], ["lang"]):         # a phrase's place in a share is no later than in its language
+        few = F.rank().over(Window.partitionBy(*own).orderBy(F.desc("score"), F.desc("a")))      # ties are settled by the spelling
+        rows = rows.withColumn("place", few).where(F.col("place") <= top).drop("place")
+    rows = cut(rows.drop("share"))
     for i in (1, 2, 3):
         side = frequent.select(F.col("key").alias(f"k{i}"), F.col("word").alias(f"w{i}"))
         rows = rows.join(side, f"k{i}", "left" if i == 3 else "inner")

@@ -69,6 +69,22 @@ def test_more_tries_than_one_pass_holds(spark):
     check(spark, rows, 4, 30, block=200, pass_bytes=1)
 
 
+def test_texts_are_read_as_often_for_many_phrases_as_for_few(spark):
+    """Four times: for the words, the pairs, the triples and the counts."""
+    rows = [(t, g) for t, g in texts(5, 60) if t is not None]
+    for block, pass_bytes in ((co.BLOCK, co.PASS_BYTES), (20, 1)):
+        seen = spark.sparkContext.accumulator(0)
+
+        def passed(batches, seen=seen):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        docs = spark.createDataFrame(rows, "text string, lang string").repartition(2).mapInArrow(passed, "text string, lang string")
+        assert sorted(map(tuple, co.mine(docs, 3, 50, block, pass_bytes).collect())) == brute(rows, 3, 50)
+        assert seen.value == 4 * len(rows)
+
+
 def test_wrong_passes_only_add_candidates(spark, monkeypatch):
     """With maps that let everything pass the result is the same."""
     monkeypatch.setattr(co.BitMap, "of", staticmethod(lambda keys, bits=64: co.BitMap(np.full(1 << (co.MAP_BITS - 3), 255, np.uint8))))
