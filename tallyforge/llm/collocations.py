@@ -47,8 +47,10 @@ PASS_BYTES = 64 << 20     # of a part's occurrences; beyond, those alike are add
 BATCH = 2 << 20
 SPLITS = 2            # of the input, read by one task
 SUM_BITS = 40         # of a hash, where its occurrences are summed
-HELD = 1_000_000      # hashes that a task counts at once
-DEAL_BITS = 12        # of a pair's hash: the part that its occurrences are dealt to
+HELD = 1_000_000      # occurrences that a task gathers before they move
+SUMMED = 4_000_000    # of hashes alone
+DEAL_BITS = 12        # of a hash: the part that it is dealt to
+SUM = {"low": np.uint32, "n": np.uint32}              # the rest of a hash, and its count
 ROW = {"k1": U, "k2": U, "k3": U, "n": np.uint32}     # an occurrence; without a third word k3 is 0
 FIRST = 64            # shares of a language's phrases, ranked apart at first
 RADIX = 1024          # a word is the symbols id // RADIX and id % RADIX
@@ -137,9 +139,89 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(n, pa.int64())], ["key", "lang", "word", "f"])
 
 
+def _packed(part: np.ndarray, columns: list[np.ndarray], kinds: dict) -> pa.RecordBatch:
+    """A row for each part (sorted) with its columns as bytes."""
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+    columns = [np.ascontiguousarray(c, k) for c, k in zip(columns, kinds.values())]
+    packed = [pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * c.itemsize).astype(np.int32)), pa.py_buffer(c)]) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]].astype(np.int32)), *packed], ["part", *kinds])
+
+
+def _unpacked(batch: pa.RecordBatch, kinds: dict) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Parts and their columns, in the batch's order."""
+    part = batch.column("part").to_numpy()
+    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+    columns = []
+    for name, kind in kinds.items():
+        c = batch.column(name).cast(pa.binary())
+        offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
+        values = np.frombuffer(c.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind)
+        columns.append((values, (offsets - offsets[0]) // values.itemsize))
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield int(part[i]), [v[at[i]:at[j]] for v, at in columns]
+
+
+def _whole(batches: Iterator[pa.RecordBatch], kinds: dict, least: int, most_bytes: int, add_up) -> Iterator[list[list[np.ndarray]]]:
+    """Rows of whole parts, which come in their order: of as many as it takes
+    for ``least`` rows.  A part of more than ``most_bytes`` is added up."""
+    held, size, last, room = [], 0, None, 0
+    for batch in batches:
+        for part, rows in _unpacked(batch, kinds):
+            if part != last:
+                if size >= least:
+                    yield held
+                    held, size = [], 0
+                last, room = part, size + most_bytes // sum(np.dtype(k).itemsize for k in kinds.values())
+            held.append([np.full(len(rows[0]), part, U), *rows])
+            size += len(rows[0])
+            if size > room:
+                held = [add_up(held)]
+                size = len(held[0][0])
+                room = max(room, 2 * size)
+    if size:
+        yield held
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Each part in one task, a task's parts one after the other."""
+    return rows.repartition("part").sortWithinPartitions("part")
+
+
+def _often(hashes: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Which hashes come ``least`` times, with those that end alike."""
+    bits = len(hashes).bit_length() + 2
+    at = (hashes & U((1 << bits) - 1)).astype(np.int64)
+    return np.bincount(at, n, 1 << bits)[at] >= least
+
+
+def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*held)]
+
+
 def _sums(keys: list[np.ndarray]) -> pa.RecordBatch:
     keys, n = np.unique(np.concatenate(keys), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "f"])
+    return _packed((keys >> U(SUM_BITS - DEAL_BITS)).astype(np.int32), [keys & U((1 << SUM_BITS - DEAL_BITS) - 1), n], SUM)
+
+
+def _summed(held: list[list[np.ndarray]], least: int = 1) -> list[np.ndarray]:
+    """Parts, rests and counts of the hashes that come ``least`` times."""
+    part, low, n = _joined(held)
+    keys = part << U(SUM_BITS - DEAL_BITS) | low
+    ok = _often(keys, n, least)
+    keys, which = np.unique(keys[ok], return_inverse=True)
+    n = np.bincount(which, n[ok], len(keys)).astype(np.int64)
+    keys, n = keys[n >= least], n[n >= least]
+    return [keys >> U(SUM_BITS - DEAL_BITS), keys & U((1 << SUM_BITS - DEAL_BITS) - 1), n]
+
+
+def _frequent_hashes(least: int):
+    """The first SUM_BITS bits of the hashes that come ``least`` times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _whole(batches, SUM, HELD, PASS_BYTES, _summed):
+            part, low, _ = _summed(held, least)
+            yield pa.RecordBatch.from_arrays([pa.array((part << U(SUM_BITS - DEAL_BITS) | low).view(np.int64))], ["key"])
+
+    return run
 
 
 def _passing(p: Positions, words: BitMap, pairs: BitMap | None) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +249,7 @@ def _hash_sums(words, pairs=None):
             found = _passing(p, words.value, pairs and pairs.value)
             held.append((_triples(p, *found) if pairs else found)[1] >> U(64 - SUM_BITS))
             size += len(held[-1])
-            if size > HELD:
+            if size > SUMMED:
                 yield _sums(held)
                 held, size = [], 0
         if size:
@@ -190,39 +272,21 @@ def _dealt(words, pairs, triples):
             held.append((whole, two, p.keys[at], p.keys[at + 1], third))
             size += len(at)
             if size > HELD:
-                yield _packed(held)
+                yield _occurrences(held)
                 held, size = [], 0
         if size:
-            yield _packed(held)
+            yield _occurrences(held)
 
     return run
 
 
-def _packed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """A row for each part, with the columns of its occurrences as bytes."""
-    whole, two, *keys = (np.concatenate(c) for c in zip(*held))
+def _occurrences(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    whole, two, *keys = _joined(held)
     _, first, n = np.unique(whole, return_index=True, return_counts=True)
     part = (two[first] >> U(64 - DEAL_BITS)).astype(np.uint16)
     order = np.argsort(part, kind="stable")
-    part, first = part[order], first[order]
-    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
-    columns = [np.ascontiguousarray(c, k) for c, k in zip([*(k[first] for k in keys), n[order]], ROW.values())]
-    packed = [pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * c.itemsize).astype(np.int32)), pa.py_buffer(c)]) for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]].astype(np.int32)), *packed], ["part", *ROW])
-
-
-def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Parts and columns of their occurrences, in the batch's order."""
-    part = batch.column("part").to_numpy()
-    edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
-    columns = []
-    for name, kind in ROW.items():
-        c = batch.column(name).cast(pa.binary())
-        offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
-        values = np.frombuffer(c.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind)
-        columns.append((values, (offsets - offsets[0]) // values.itemsize))
-    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        yield int(part[i]), [v[at[i]:at[j]] for v, at in columns]
+    first = first[order]
+    return _packed(part[order], [*(k[first] for k in keys), n[order]], ROW)
 
 
 # ---- the trie
@@ -373,22 +437,11 @@ class _Builder:
         return self.base[:self.end + 1], self.check[:self.end + 1]
 
 
-def _often(hashes: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
-    """Which hashes come ``least`` times, with those that end alike."""
-    bits = len(hashes).bit_length() + 2
-    at = (hashes & U((1 << bits) - 1)).astype(np.int64)
-    return np.bincount(at, n, 1 << bits)[at] >= least
-
-
-def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    return [np.concatenate(c) for c in zip(*held)]
-
-
 def _added_up(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     """Occurrences that are alike as one with the sum of their counts."""
-    *keys, n = _joined(held)
+    part, *keys, n = _joined(held)
     _, first, which = np.unique(_hashes(*keys)[1], return_index=True, return_inverse=True)
-    return [*(k[first] for k in keys), np.bincount(which, n).astype(np.int64)]
+    return [*(k[first] for k in (part, *keys)), np.bincount(which, n).astype(np.int64)]
 
 
 def _hashes(k1: np.ndarray, k2: np.ndarray, k3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -399,7 +452,7 @@ def _hashes(k1: np.ndarray, k2: np.ndarray, k3: np.ndarray) -> tuple[np.ndarray,
 
 def _frequent(held: list[list[np.ndarray]], least: int, block: int) -> Iterator[pa.RecordBatch]:
     """Phrases that come ``least`` times in whole parts, counted by tries."""
-    k1, k2, k3, n = _joined(held)
+    _, k1, k2, k3, n = _joined(held)
     two, whole = _hashes(k1, k2, k3)
     pair = _often(two, n, least)                       # a triple's pairs come as often as it does
     k1, k2, k3, n, two, whole = (c[pair] for c in (k1, k2, k3, n, two, whole))
@@ -420,23 +473,8 @@ def _frequent(held: list[list[np.ndarray]], least: int, block: int) -> Iterator[
 
 
 def _counts(least: int, block: int, pass_bytes: int):
-    """Takes rows in order of their parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last, room = [], 0, None, 0
-        for batch in batches:
-            for part, rows in _unpacked(batch):
-                if part != last:
-                    if size >= block:
-                        yield from _frequent(held, least, block)
-                        held, size = [], 0
-                    last, room = part, size + pass_bytes // sum(np.dtype(k).itemsize for k in ROW.values())
-                held.append(rows)
-                size += len(rows[0])
-                if size > room:
-                    held = [_added_up(held)]
-                    size = len(held[0][0])
-                    room = max(room, 2 * size)
-        if size:
+        for held in _whole(batches, ROW, block, pass_bytes, _added_up):
             yield from _frequent(held, least, block)
 
     return run
@@ -454,8 +492,8 @@ def candidates(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
     send = docs.sparkSession.sparkContext.broadcast
 
     def sums(run) -> BitMap:
-        found = docs.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
-        return send(BitMap.of(found.where(F.col("f") >= least), SUM_BITS))
+        found = _in_order(docs.mapInArrow(run, "part int, low binary, n binary")).mapInArrow(_frequent_hashes(least), "key long")
+        return send(BitMap.of(found, SUM_BITS))
 
     word_map = send(BitMap.of(words.where(F.col("f") >= least)))
     pair_map = sums(_hash_sums(word_map))
@@ -466,8 +504,7 @@ def candidates(docs: DataFrame, words: DataFrame, least: int) -> DataFrame:
 def phrase_counts(occurring: DataFrame, least: int, block: int = BLOCK, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Phrases (k1, k2, k3, size) of ``occurring`` (as ``candidates`` gives
     it) that come ``least`` times, with a, their occurrences."""
-    dealt = occurring.repartition("part").sortWithinPartitions("part")
-    return dealt.mapInArrow(_counts(least, block, pass_bytes), "k1 long, k2 long, k3 long, size long, a long")
+    return _in_order(occurring).mapInArrow(_counts(least, block, pass_bytes), "k1 long, k2 long, k3 long, size long, a long")
 
 
 def score(a: Column, l: Column, r: Column) -> Column:  # noqa: E741
